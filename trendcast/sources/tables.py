@@ -63,7 +63,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: boo
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite")
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     elif fmt == "parquet":
         writer.parquet(path)
     else:
