@@ -80,10 +80,11 @@ def fold_forecast(
             F.concat(acc["path"], F.array(row)).cast(f"array<{cell}>").alias("path"),
         )
 
+    # The outer explode keeps the optimizer from folding twice, once to test for emptiness.
     path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), state, step, lambda acc: acc["path"])
     carried = _carried(features)
     return start.withColumn("__path", path).select(
-        *keys, *carried, "last_period", F.posexplode("__path").alias("__step", "__row"),
+        *keys, *carried, "last_period", F.posexplode_outer("__path").alias("__step", "__row"),
     ).select(
         *keys, (F.col("last_period") + F.col("__step") + 1).cast("int").alias(period),
         *[F.col(f"__row.{n}").alias(n) for n in PATH_FIELDS[:-1]],
@@ -161,7 +162,7 @@ def loop_forecast(
             state = cut_lineage(state)
     return state.select(
         *keys, *carried, *[f"{s}_lag_1" for s in carried], "last_period",
-        F.posexplode(F.array(*done)).alias("__step", "__row"),
+        F.posexplode_outer(F.array(*done)).alias("__step", "__row"),
     ).select(
         *keys, (F.col("last_period") + F.col("__step") + 1).cast("int").alias(period),
         *[F.col(f"__row.{n}").alias(n) for n in PATH_FIELDS[:-1]],

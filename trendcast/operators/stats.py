@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,16 +11,29 @@ from trendcast.functions.statistics import safe_corr
 from trendcast.operators.cleaning import present
 
 
-def flag_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson matrix in long form (feature_a, feature_b, r). One pass, both triangles reported."""
-    columns = present(df, columns)
-    pairs = [(a, b) for a, b in combinations(columns, 2)] + [(a, a) for a in columns]
-    wide = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"__r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"__r{i}").alias("r")))
-    return wide.select(F.inline(F.array(*cells)))
+def flag_correlation(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """Pearson matrix of 0/1 flags in long form (feature_a, feature_b, r), over rows where both are present.
+
+    Rows with the same flags are counted first, so the pairs are formed on at
+    most 3^k combinations (0, 1, missing) and not on the events.
+    """
+    flags = present(df, flags)
+    combinations = df.groupBy(*flags).agg(F.count(F.lit(1)).cast("double").alias("__w"))
+    cells = F.array(*[
+        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a in flags for b in flags
+    ])
+    w, x, y = F.col("__w"), F.col("x"), F.col("y")
+    mean = lambda c: F.sum(w * c) / F.sum(w)
+    return (
+        combinations.select("__w", F.inline(cells))
+        .filter(x.isNotNull() & y.isNotNull())
+        .groupBy("feature_a", "feature_b")
+        .agg(mean(x).alias("mx"), mean(y).alias("my"), mean(x * x).alias("xx"), mean(y * y).alias("yy"), mean(x * y).alias("xy"))
+        .select("feature_a", "feature_b", F.try_divide(
+            F.expr("xy - mx * my"), F.sqrt(F.expr("xx - mx * mx")) * F.sqrt(F.expr("yy - my * my"))).alias("r"))
+    )
 
 
 def feature_evidence(
@@ -29,36 +41,24 @@ def feature_evidence(
 ) -> DataFrame:
     """Missing count, mean, sample deviation and correlation with the target per feature.
 
-    Sorted by absolute correlation, then name; a constant feature has no
+    The period table is small, so the features are stacked and summarised by
+    name. Sorted by absolute correlation, then name; a constant feature has no
     correlation and sorts last.
     """
     features = present(period_df, features)
-    stats = []
-    for i, c in enumerate(features):
-        x = F.col(c).cast("double")
-        stats += [
-            F.count_if(x.isNull()).alias(f"__m{i}"),
-            F.avg(x).alias(f"__a{i}"),
-            F.stddev_samp(x).alias(f"__s{i}"),
-            safe_corr(x, F.col(target)).alias(f"__r{i}"),
-        ]
-    rows = F.array(*[
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.col(f"__m{i}").alias("missing_count"),
-            F.round(f"__a{i}", digits).alias("mean"),
-            F.round(f"__s{i}", digits).alias("std"),
-            F.round(f"__r{i}", digits).alias("correlation_with_target"),
-            F.round(F.abs(f"__r{i}"), digits).alias("abs_correlation_with_target"),
-        )
-        for i, c in enumerate(features)
-    ])
+    doubles = [F.col(c).cast("double").alias(c) for c in features]
+    long = period_df.select(F.col(target).alias("__y"), *doubles).unpivot("__y", features, "feature", "x")
+    r = F.round("__r", digits)
     return (
-        period_df.agg(*stats)
-        .select(F.inline(rows))
-        .withColumn("feature_group", feature_group(F.col("feature")))
-        .select("feature", "feature_group", "missing_count", "mean", "std",
-                "correlation_with_target", "abs_correlation_with_target")
+        long.groupBy("feature").agg(
+            F.count_if(F.col("x").isNull()).alias("missing_count"),
+            F.round(F.avg("x"), digits).alias("mean"),
+            F.round(F.stddev_samp("x"), digits).alias("std"),
+            safe_corr(F.col("x"), F.col("__y")).alias("__r"),
+        )
+        .select(
+            "feature", feature_group(F.col("feature")).alias("feature_group"), "missing_count", "mean", "std",
+            r.alias("correlation_with_target"), F.abs(r).alias("abs_correlation_with_target"))
         .orderBy(F.desc_nulls_last("abs_correlation_with_target"), "feature")
     )
 

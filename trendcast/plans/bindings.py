@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendcast.functions.periods import with_period
 from trendcast.operators.splits import Window
-from trendcast.sources.tables import read_events
+from trendcast.sources.tables import read_events, spread_scan
 
 PRIORITY_FLAGS = {
     "kw_urgent": "1-URGENT", "kw_high": "2-HIGH", "kw_medium": "3-MEDIUM",
@@ -72,7 +72,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their labels and simple measures of the text."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs, labels = spread_scan(table(spark, sf_dir, "documents")), table(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id", "left").select(
         "doc_id", "text", "lang", "source", "quality", "toxic",
         F.col("n_chars").cast("double").alias("len_chars"),

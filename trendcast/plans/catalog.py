@@ -16,7 +16,7 @@ from trendcast.plans.bindings import (
     FLAGS, HORIZON, STOP_WORDS, TRAIN_END, TYPES, VAL_END, WINDOWS, document_features, hourly_events, nation_orders,
     order_events, raw_orders, table,
 )
-from trendcast.sources.tables import parse_parameters
+from trendcast.sources.tables import parse_parameters, spread_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,7 +493,8 @@ def segmented_forest(spark, d):
 # --- text vectors and segmentation ----------------------------------------------------------------
 
 def _terms(spark, d):
-    return textvec.add_terms(table(spark, d, "documents").select("doc_id", "lang", "text"), "text", STOP_WORDS)
+    docs = spread_scan(table(spark, d, "documents").select("doc_id", "lang", "text"))
+    return textvec.add_terms(docs, "text", STOP_WORDS)
 
 
 @query

@@ -1,8 +1,9 @@
 from trendcast.sources.tables import (
-    EVENT_SCHEMA, read_events, read_hyperparameters, read_period_table, write_events, write_table,
+    EVENT_SCHEMA, read_events, read_hyperparameters, read_period_table, spread_scan, write_events,
+    write_table,
 )
 
 __all__ = [
-    "EVENT_SCHEMA", "read_events", "read_hyperparameters", "read_period_table", "write_events",
-    "write_table",
+    "EVENT_SCHEMA", "read_events", "read_hyperparameters", "read_period_table", "spread_scan",
+    "write_events", "write_table",
 ]

@@ -58,6 +58,15 @@ def read_events(
     return df
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores if its files give fewer tasks, ahead of costly per-row work.
+
+    An input large enough to keep every core busy passes through unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
     """Overwrite ``path``. ``single_file`` is for report tables only."""
     out = df.coalesce(1) if single_file else df
