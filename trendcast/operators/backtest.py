@@ -23,7 +23,7 @@ from trendcast.operators.models import (
     FOREST, LINEAR, MODEL_NAMES, NAIVE, NaiveModel, check_model_name, coefficient_table, fit_model, importance_table,
 )
 from trendcast.operators.ols import fit_ols, ols_holdout
-from trendcast.operators.splits import Window, window_rows
+from trendcast.operators.splits import Window, window_array, window_rows
 
 T = TypeVar("T")
 R = TypeVar("R")
@@ -49,30 +49,10 @@ def _clipped(df: DataFrame, clip: bool) -> DataFrame:
     return df.withColumn("predicted", clip_non_negative(F.col("predicted"))) if clip else df
 
 
-def rolling_predictions(
-    name: str,
-    rows: DataFrame,
-    features: Sequence[str],
-    windows: Sequence[Window],
-    target: str = "n",
-    keys: Sequence[str] = (),
-    period: str = "period",
-    params: Params | None = None,
-    seed: int = 42,
-    clip: bool = False,
-    threads: int = 4,
+def _tree_predictions(
+    name: str, rows: DataFrame, features: Sequence[str], windows: Sequence[Window], target: str, keys: Sequence[str],
+    period: str, params: Params | None, seed: int, threads: int,
 ) -> DataFrame:
-    """Out-of-sample predictions (keys…, window_id, period, actual, predicted)."""
-    check_model_name(name)
-    by = [*keys, "window_id"]
-    out = [*by, period, "actual", "predicted"]
-    if name in (NAIVE, LINEAR):
-        tagged = window_rows(rows, windows, period)
-        if name == LINEAR:
-            return _clipped(ols_holdout(tagged, features, target, by, period), clip)
-        held = NaiveModel().transform(tagged.filter(F.col("role") == "validation"))
-        return _clipped(held.withColumn("actual", F.col(target).cast("double")).select(out), clip)
-
     p = F.col(period)
 
     def one(job: tuple[int, Window]) -> DataFrame | None:
@@ -90,7 +70,7 @@ def rolling_predictions(
     frames = [f for f in in_parallel(one, enumerate(windows, start=1), threads) if f is not None]
     if not frames:
         raise ValueError("no window has training rows")
-    return _clipped(union_all(frames), clip)
+    return union_all(frames)
 
 
 def window_sizes(
@@ -123,12 +103,32 @@ def rolling_backtest(
     clip: bool = False,
     threads: int = 4,
 ) -> DataFrame:
-    """One row per series and window: bounds, row counts, parameters and metrics rounded to 4 places."""
+    """One row per series and window: bounds, row counts, parameters and metrics rounded to 4 places.
+
+    Windows with an empty side are left out. Naive and linear scores come from
+    the pass that also counts the rows of each window.
+    """
+    check_model_name(name)
     by = [*keys, "window_id"]
-    predictions = rolling_predictions(name, rows, features, windows, target, keys, period, params, seed, clip, threads)
-    scores = forecast_metrics(predictions, by)
-    return window_sizes(rows, windows, keys, period).join(scores, by).select(
-        *keys, F.lit(name).alias("model"), "window_id", "train_start", "train_end", "val_start", "val_end",
+    tagged = window_rows(rows, windows, period)
+    held = F.col("role") == "validation"
+    if name == NAIVE:
+        predicted = NaiveModel().predict({"lag_1": F.col("lag_1")})
+        scored = tagged.withColumns({"actual": F.when(held, F.col(target).cast("double")), "predicted": predicted})
+        counts = [F.min(F.when(~held, F.col(period))), F.count_if(~held), F.count_if(held)]
+    elif name == LINEAR:
+        scored = ols_holdout(tagged, features, target, by, period)
+        counts = [F.min("train_start"), F.min("n_train"), F.count(F.lit(1))]
+    else:
+        predictions = _tree_predictions(name, rows, features, windows, target, keys, period, params, seed, threads)
+        scored = predictions.join(window_sizes(rows, windows, keys, period), by)
+        counts = [F.min("train_start"), F.min("n_train"), F.count(F.lit(1))]
+    scores = _clipped(scored, clip).groupBy(*by).agg(
+        *[c.alias(n) for c, n in zip(counts, ("train_start", "n_train", "n_validation"))], *metric_columns())
+    bounds = F.get(window_array(windows), F.col("window_id") - 1)
+    return scores.filter((F.col("n_train") > 0) & (F.col("n_validation") > 0)).select(
+        *keys, F.lit(name).alias("model"), "window_id", "train_start",
+        *[bounds[c].alias(c) for c in ("train_end", "val_start", "val_end")],
         "n_train", "n_validation", F.lit(params_json(params)).alias("hyperparameters"), *METRICS,
     )
 

@@ -63,8 +63,8 @@ def ols_holdout(
     """Fit on the rows of a group whose role is 'train' and predict its other rows.
 
     Fit and prediction share one grouped pass, so the coefficients are never
-    joined back. Returns (by…, period, actual, predicted); a group without
-    training rows gives none.
+    joined back. Returns (by…, period, actual, predicted) and the first period
+    and number of the training rows; a group without training rows gives none.
     """
     features, by = list(features), list(by)
     schema = T.StructType([
@@ -72,6 +72,8 @@ def ols_holdout(
         df.schema[period],
         T.StructField("actual", T.DoubleType()),
         T.StructField("predicted", T.DoubleType()),
+        T.StructField("train_start", df.schema[period].dataType),
+        T.StructField("n_train", T.LongType()),
     ])
     names = schema.fieldNames()
 
@@ -85,6 +87,8 @@ def ols_holdout(
         out = held[[*by, period]].copy()
         out["actual"] = y[~is_train]
         out["predicted"] = intercept + x[~is_train] @ coef
+        out["train_start"] = pdf.loc[is_train, period].min()
+        out["n_train"] = int(is_train.sum())
         return out
 
     needed = [*by, period, role, target, *features]

@@ -54,9 +54,10 @@ def densify(
     """
     lo = F.lit(start) if isinstance(start, int) else start
     hi = F.lit(end) if isinstance(end, int) else end
-    bounds = counts.agg(F.min(period).alias("lo"), F.max(period).alias("hi"))
-    lo = bounds.select("lo").scalar() if lo is None else lo
-    hi = bounds.select("hi").scalar() if hi is None else hi
+    if lo is None or hi is None:
+        bounds = counts.agg(F.struct(F.min(period).alias("lo"), F.max(period).alias("hi"))).scalar()
+        lo = bounds["lo"] if lo is None else lo
+        hi = bounds["hi"] if hi is None else hi
     w = Window.partitionBy(*keys).orderBy(period)
     p = F.col(period)
     marked = counts.filter(p.isNotNull()).withColumns({

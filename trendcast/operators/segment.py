@@ -25,6 +25,8 @@ K_VALUES = (2, 3, 4, 5, 6)
 RESTARTS = 20
 SAMPLE_SIZE = 5000
 VALUE_BOUND = 1e6
+# Centres travel inside expressions; more clusters than this are refused.
+MAX_CENTRES = 10_000
 
 
 class Segmentation(NamedTuple):
@@ -145,7 +147,7 @@ def silhouette_squared(df: DataFrame, vector: str, label: str) -> DataFrame:
     sums = cells.groupBy(label, "__i").agg(F.sum(F.col("__x").cast("double")).alias("__s")).groupBy(label).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__i", "__s"))), lambda e: e["__s"]).alias("s"))
     sizes = rows.groupBy(label).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("__q").alias("q"))
-    stats = sums.join(sizes, label).agg(F.collect_list(F.struct(F.col(label).alias("c"), "n", "q", "s"))).scalar()
+    stats = _small_list(sums.join(sizes, label), F.col(label).alias("c"), F.col("n"), F.col("q"), F.col("s"))
     product = lambda s: F.aggregate(
         F.zip_with("__v", s, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, x: acc + x)
     # Σ over y in C of |x − y|² = n|x|² − 2 x·Σy + Σ|y|²
@@ -160,6 +162,14 @@ def silhouette_squared(df: DataFrame, vector: str, label: str) -> DataFrame:
     return scored.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
 
 
+def _small_list(table: DataFrame, *fields: Column) -> Column:
+    """The rows of a per-cluster table as one array, with its size checked."""
+    entry = F.collect_list(F.struct(*fields))
+    refusal = F.raise_error(F.lit(f"more than {MAX_CENTRES} clusters"))
+    return table.agg(F.when(F.count(F.lit(1)) > MAX_CENTRES, refusal.cast("string")).isNull().alias("ok"), entry.alias("all")) \
+        .select(F.when(F.col("ok"), F.col("all"))).scalar()
+
+
 def centroids(df: DataFrame, vector: str, label: str) -> DataFrame:
     """Mean vector per label, as (label, centroid)."""
     cells = df.select(label, F.posexplode(vector).alias("i", "x"))
@@ -173,7 +183,7 @@ def nearest_centroid(df: DataFrame, vector: str, centres: DataFrame, label: str,
 
     There is one centre per cluster; their list is carried as a scalar into every row's expression.
     """
-    table = centres.agg(F.collect_list(F.struct(F.col(label).alias("c"), F.col("centroid").alias("m")))).scalar()
+    table = _small_list(centres, F.col(label).alias("c"), F.col("centroid").alias("m"))
     distance = lambda m: F.aggregate(
         F.zip_with(vector, m, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
         F.lit(0.0), lambda acc, x: acc + x)
@@ -202,6 +212,7 @@ def choose_k(
     for k, model in zip(k_values, models):
         labelled = model.setPredictionCol(f"k{k}").transform(labelled)
     scores = silhouette_scores(labelled.drop("features"), vector, [f"k{k}" for k in k_values], sample_size)
+    sample.unpersist()
     return scores.select(
         F.substring_index("labelling", "k", -1).cast("int").alias("k"),
         F.round("silhouette", 4).alias("silhouette_score"),
@@ -327,6 +338,9 @@ def text_segmentation(
     terms are skipped; if none is left, that is an error.
     """
     terms = add_terms(train, text_col, stop_words).select(id_col, "terms").persist()
+    # Only the ids are ranked; the texts of the sample are then picked where they lie.
+    ids = stable_sample(terms.select(id_col), id_col, sample_size, seed)
+    sample = terms.join(F.broadcast(ids), id_col, "left_semi").persist()
     best: tuple[float, dict, TfidfModel, SvdModel, list] | None = None
     tried = []
     for option in grid:
@@ -334,12 +348,11 @@ def text_segmentation(
         if tfidf is None:
             continue
         size = max(2, min(option["svd_components"], len(tfidf.vocabulary) - 1))
-        vectors = tfidf.transform(terms).select(id_col, "tfidf").persist()
+        vectors = tfidf.transform(terms).select("tfidf").persist()
         svd = fit_svd(vectors, size)
-        reduced = _reduce(vectors, svd).select(id_col, "reduced").persist()
-        rows = choose_k(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads).collect()
-        reduced.unpersist()
         vectors.unpersist()
+        reduced = _reduce(tfidf.transform(sample), svd)
+        rows = choose_k(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads).collect()
         variance = round(svd.explained_variance, 4)
         score = rows[0]["silhouette_score"]
         score = -1.0 if score is None else score
@@ -355,6 +368,7 @@ def text_segmentation(
     _, settings, tfidf, svd, rows = best
     reduced = _reduce(tfidf.transform(terms), svd).select(id_col, "reduced")
     _, model = _select_and_fit(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads, rows)
+    sample.unpersist()
     terms.unpersist()
 
     vectors = _reduce(tfidf.transform(add_terms(full, text_col, stop_words)), svd)

@@ -16,14 +16,20 @@ from trendcast.operators.recursive import fold_forecast, forecast_linear, foreca
 
 TOTAL_LABEL = "aggregated_total"
 TREE_FITS = ("per_segment", "pooled")
+# One driver-side fit per segment and split is refused beyond this; pooled fits have no such limit.
+MAX_FITTED_SEGMENTS = 500
 
 
 class SegmentedForecast(NamedTuple):
-    """Metrics (totals, then clusters), summed predictions, and futures per cluster and in total."""
+    """Metrics (totals, then clusters), summed predictions, and futures per cluster and in total.
+
+    ``lags`` is the cached lag table behind them; unpersist it when done.
+    """
 
     metrics: DataFrame
     predictions: DataFrame
     future: DataFrame
+    lags: DataFrame
 
 
 class _Fit(NamedTuple):
@@ -55,7 +61,7 @@ def _expression_fit(
     start = forecast_start(table, SEGMENT_FEATURES, keys, period, target)
     options = dict(period=period, mode=mode, zero_growth=True, clip=clip)
     if name == LINEAR:
-        held = ols_holdout(tagged, SEGMENT_FEATURES, target, [*keys, "split"], period)
+        held = ols_holdout(tagged, SEGMENT_FEATURES, target, [*keys, "split"], period).drop("train_start", "n_train")
         coefs = fit_ols(rows, SEGMENT_FEATURES, target, keys)
         future = forecast_linear(start, coefs, SEGMENT_FEATURES, horizon, keys, **options)
     else:
@@ -78,7 +84,9 @@ def _tree_fit(
     if tree_fit == "pooled":
         scopes = [None]
     else:
-        scopes = [tuple(r) for r in start.select(*keys).collect()]
+        scopes = [tuple(r) for r in start.select(*keys).limit(MAX_FITTED_SEGMENTS + 1).collect()]
+        if len(scopes) > MAX_FITTED_SEGMENTS:
+            raise ValueError(f"more than {MAX_FITTED_SEGMENTS} segments: use tree_fit='pooled'")
 
     def only(df: DataFrame, scope: tuple | None) -> DataFrame:
         for key, value in zip(keys, scope or ()):
@@ -165,7 +173,8 @@ def segmented_forecast(
     total_future = future.groupBy("model", period).agg(F.round(F.sum("predicted"), 4).alias("predicted")).select(
         scheme_col, "model", F.lit(TOTAL_LABEL).alias("cluster"), period, "predicted")
     return SegmentedForecast(
-        metrics, predictions.withColumn("predicted", F.round("predicted", 4)), per_segment.unionByName(total_future))
+        metrics, predictions.withColumn("predicted", F.round("predicted", 4)), per_segment.unionByName(total_future),
+        table)
 
 
 def baseline_rows(metrics: DataFrame, models: Sequence[str] = (LINEAR, FOREST)) -> DataFrame:

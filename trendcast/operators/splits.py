@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from itertools import product
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 class Window(NamedTuple):
@@ -31,14 +31,9 @@ def chrono_split(
     return df.withColumn("split", label).filter(F.col("split").isNotNull())
 
 
-def window_rows(df: DataFrame, windows: Sequence[Window], period: str = "period") -> DataFrame:
-    """Repeat each row once per window it plays a role in, with ``window_id`` and ``role``.
-
-    The windows are a short list fixed by the caller, so they travel inside the
-    expression: no join, no shuffle, and only matching rows are emitted.
-    """
-    p = F.col(period)
-    table = F.array(*[
+def window_array(windows: Sequence[Window]) -> Column:
+    """The windows as one constant array, numbered from 1."""
+    return F.array(*[
         F.struct(
             F.lit(i).alias("window_id"),
             F.lit(w.train_end).alias("train_end"),
@@ -47,7 +42,16 @@ def window_rows(df: DataFrame, windows: Sequence[Window], period: str = "period"
         )
         for i, w in enumerate(windows, start=1)
     ])
-    inside = F.filter(table, lambda w: (p <= w["train_end"]) | p.between(w["val_start"], w["val_end"]))
+
+
+def window_rows(df: DataFrame, windows: Sequence[Window], period: str = "period") -> DataFrame:
+    """Repeat each row once per window it plays a role in, with ``window_id`` and ``role``.
+
+    The windows are a short list fixed by the caller, so they travel inside the
+    expression: no join, no shuffle, and only matching rows are emitted.
+    """
+    p = F.col(period)
+    inside = F.filter(window_array(windows), lambda w: (p <= w["train_end"]) | p.between(w["val_start"], w["val_end"]))
     return df.select("*", F.explode(inside).alias("__w")).select(
         *df.columns, "__w.*", F.when(p <= F.col("__w.train_end"), "train").otherwise("validation").alias("role")
     )
