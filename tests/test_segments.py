@@ -139,9 +139,19 @@ def test_svd_matches_numpy(spark):
     assert model.explained_variance == pytest.approx(np.var(x @ vt[:3].T, axis=0).sum() / np.var(x, axis=0).sum(), abs=1e-6)
 
 
-def test_top_terms_skip_zero_weights(spark):
-    df = spark.createDataFrame([("g", "x", 0.5), ("g", "y", 0.5), ("g", "z", 0.0), ("h", "z", 0.1)], "g string, term string, weight double")
-    assert dict(rows(textvec.top_terms(df, "g"), "g", "top_terms")) == {"g": "y, x", "h": "z"}
+def test_top_terms_skip_zero_weights_and_break_ties(spark):
+    df = spark.createDataFrame([("g", [0.5, 0.5, 0.0]), ("h", [0.0, 0.1, 0.3])], "g string, w array<double>")
+    model = textvec.TfidfModel(("x", "y", "z"), (1.0, 1.0, 1.0))
+    out = df.select("g", textvec.top_terms(array_to_vector("w"), model, 2).alias("t"))
+    assert dict(rows(out, "g", "t")) == {"g": "y, x", "h": "z, y"}
+
+
+def test_lists_carried_by_expressions_are_bounded(blobs, monkeypatch):
+    monkeypatch.setattr(segment, "MAX_CENTRES", 2)
+    for out in (segment.nearest_centroid(blobs, "v", segment.centroids(blobs, "v", "label"), "label"),
+                segment.silhouette_squared(blobs, "v", "label")):
+        with pytest.raises(Exception, match="more than 2 clusters"):
+            out.collect()
 
 
 def test_text_segmentation(titles):

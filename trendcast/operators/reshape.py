@@ -54,13 +54,17 @@ def densify(
     """
     lo = F.lit(start) if isinstance(start, int) else start
     hi = F.lit(end) if isinstance(end, int) else end
+    counts = counts.select(*keys, period, target).filter(F.col(period).isNotNull())
     if lo is None or hi is None:
-        bounds = counts.agg(F.struct(F.min(period).alias("lo"), F.max(period).alias("hi"))).scalar()
+        # Naming the target too makes this read the very shuffle that the rows come from,
+        # so Spark runs the aggregate below it once.
+        parts = [F.min(period).alias("lo"), F.max(period).alias("hi"), F.max(target).alias("top")]
+        bounds = counts.agg(F.struct(*parts)).scalar()
         lo = bounds["lo"] if lo is None else lo
         hi = bounds["hi"] if hi is None else hi
     w = Window.partitionBy(*keys).orderBy(period)
     p = F.col(period)
-    marked = counts.filter(p.isNotNull()).withColumns({
+    marked = counts.withColumns({
         "__from": F.greatest(F.when(F.lag(period).over(w).isNull(), lo).otherwise(p), lo),
         "__to": F.least(F.coalesce(F.lead(period).over(w) - 1, hi), hi),
     })

@@ -17,7 +17,7 @@ from trendcast.functions.coerce import finite
 from trendcast.operators.backtest import in_parallel
 from trendcast.operators.cleaning import present
 from trendcast.operators.textvec import (
-    TEXT_GRID, SvdModel, TfidfModel, add_terms, fit_svd, fit_tfidf, mean_weights, top_terms,
+    TEXT_GRID, SvdModel, TfidfModel, add_terms, fit_svd, fit_tfidf, mean_vector, top_terms,
 )
 
 # Candidate numbers of clusters, KMeans restarts, silhouette sample, value bound.
@@ -243,18 +243,22 @@ def segment_profile(
     means: Mapping[str, tuple[str, int]] | None = None,
     flags: Sequence[str] = (),
     types: Sequence[str] = (),
+    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Size, share, mean period, chosen means and the dominant flag and type of each cluster.
 
-    ``means`` maps an output name to (column, digits). The first flag listed wins a tie.
+    ``means`` maps an output name to (column, digits), ``extra`` an output name
+    to any further aggregate, taken in the same pass. The first flag listed wins
+    a tie.
     """
-    means = means or {}
+    means, extra = means or {}, extra or {}
     flags, types = present(df, flags), present(df, types)
     counts = df.groupBy(cluster).agg(
         F.count(F.lit(1)).alias("n"),
         F.round(F.avg(period), 2).alias("avg_period"),
         *[F.round(F.avg(c), d).alias(name) for name, (c, d) in means.items()],
         *[F.avg(F.col(c).cast("double")).alias(f"__f_{c}") for c in dict.fromkeys([*flags, *types])],
+        *[c.alias(name) for name, c in extra.items()],
     )
     total = df.agg(F.count(F.lit(1))).scalar()
     dominant = []
@@ -264,7 +268,7 @@ def segment_profile(
         dominant.append(first_arg_max({c: F.col(f"__f_{c}") for c in types}).alias("dominant_type"))
     return counts.select(
         F.col(cluster).alias("cluster"), "n", F.round(F.col("n") / total, 4).alias("share"),
-        "avg_period", *means, *dominant,
+        "avg_period", *means, *dominant, *extra,
     ).orderBy("cluster")
 
 
@@ -375,10 +379,8 @@ def text_segmentation(
     ready = vectors.withColumn("__features", array_to_vector("reduced"))
     labelled = model.setFeaturesCol("__features").setPredictionCol(cluster).transform(ready).drop("__features", "reduced", "terms")
     assigned = labelled.drop("tfidf")
-    profile = segment_profile(assigned, cluster, period, means, flags, types).join(
-        top_terms(mean_weights(labelled, tfidf, cluster), cluster).withColumnRenamed(cluster, "cluster"),
-        "cluster", "left",
-    ).orderBy("cluster")
+    profile = segment_profile(labelled, cluster, period, means, flags, types, {"__mean": mean_vector()}) \
+        .withColumn("top_terms", top_terms(F.col("__mean"), tfidf)).drop("__mean")
     fit_end = train.agg(F.max(period)).first()[0]
     spark = full.sparkSession
     sensitivity = spark.createDataFrame(

@@ -513,11 +513,11 @@ def tfidf_weights(spark, d):
 
 @query
 def top_terms(spark, d):
-    """Heaviest terms per language. Rounding keeps equal weights equal whatever the summing order."""
+    """Heaviest terms per language."""
     terms = _terms(spark, d)
     model = textvec.fit_tfidf(terms, 3, 1000)
-    weights = textvec.mean_weights(model.transform(terms), model, "lang")
-    return textvec.top_terms(weights.withColumn("weight", F.round("weight", 9)), "lang")
+    means = model.transform(terms).groupBy("lang").agg(textvec.mean_vector().alias("mean"))
+    return means.select("lang", textvec.top_terms(F.col("mean"), model).alias("top_terms"))
 
 
 @query
