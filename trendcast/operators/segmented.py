@@ -23,13 +23,17 @@ MAX_FITTED_SEGMENTS = 500
 class SegmentedForecast(NamedTuple):
     """Metrics (totals, then clusters), summed predictions, and futures per cluster and in total.
 
-    ``lags`` is the cached lag table behind them; unpersist it when done.
+    The lag table and the held-out predictions behind them stay cached until ``release``.
     """
 
     metrics: DataFrame
     predictions: DataFrame
     future: DataFrame
-    lags: DataFrame
+    cached: tuple[DataFrame, ...]
+
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
 
 
 class _Fit(NamedTuple):
@@ -154,7 +158,7 @@ def segmented_forecast(
             fit = _tree_fit(*args, params_by_model.get(name), seed, tree_fit, threads)
         helds.append(fit.held.withColumn("model", F.lit(name)))
         futures.append(fit.future.withColumn("model", F.lit(name)))
-    held, future = union_all(helds), union_all(futures)
+    held, future = union_all(helds).persist(), union_all(futures)
     scheme_col = F.lit(scheme).alias("scheme")
 
     summed = held.groupBy("model", "split", period).agg(F.sum("predicted").alias("predicted"))
@@ -167,14 +171,12 @@ def segmented_forecast(
         scheme_col, F.col(segment).alias("cluster"), "model", "split", *METRICS)
     metrics = total_metrics.unionByName(segment_metrics, allowMissingColumns=True)
 
-    per_segment = future.select(
-        scheme_col, "model", F.col(segment).cast("string").alias("cluster"), period,
-        F.round("predicted", 4).alias("predicted"))
-    total_future = future.groupBy("model", period).agg(F.round(F.sum("predicted"), 4).alias("predicted")).select(
-        scheme_col, "model", F.lit(TOTAL_LABEL).alias("cluster"), period, "predicted")
+    # Each forecast counts once for its segment and once for the total, in one aggregate.
+    labels = F.explode(F.array(F.col(segment).cast("string"), F.lit(TOTAL_LABEL))).alias("cluster")
+    all_futures = future.select("model", labels, period, "predicted").groupBy("model", "cluster", period).agg(
+        F.round(F.sum("predicted"), 4).alias("predicted")).select(scheme_col, "model", "cluster", period, "predicted")
     return SegmentedForecast(
-        metrics, predictions.withColumn("predicted", F.round("predicted", 4)), per_segment.unionByName(total_future),
-        table)
+        metrics, predictions.withColumn("predicted", F.round("predicted", 4)), all_futures, (table, held))
 
 
 def baseline_rows(metrics: DataFrame, models: Sequence[str] = (LINEAR, FOREST)) -> DataFrame:

@@ -230,7 +230,7 @@ def run_segments(spark: SparkSession, spec: EventSpec, plan: ForecastPlan, out:
         "limitations": segmented.limitations(totals, selections, segment.smallest_segment(balance), plan.horizon),
     }, out, spark)
     for f in forecasts:
-        f.lags.unpersist()
+        f.release()
     baseline = segmented.baseline_rows(spark.read.parquet(f"{out}/model_metrics"), plan.segment_models)
     future = spark.read.parquet(f"{out}/future").select("model", p, "predicted")
     comparisons = _save({
