@@ -130,8 +130,12 @@ def test_svd_matches_numpy(spark):
     rng = random.Random(3)
     texts = [(i, " ".join(rng.choices("aa bb cc dd ee ff gg".split(), [9, 7, 5, 4, 3, 2, 1], k=6))) for i in range(60)]
     terms = textvec.add_terms(spark.createDataFrame(texts, "id int, title string"), "title", stop_words=[])
-    vectors = textvec.fit_tfidf(terms, 1, 50).transform(terms).persist()
-    model = textvec.fit_svd(vectors, 3)
+    tfidf = textvec.fit_tfidf(terms, 1, 50)
+    vectors = tfidf.transform(terms).persist()
+    model = textvec.fit_svd(vectors, 3, len(tfidf.vocabulary))
+    other = textvec._fit_svd_by_passes(vectors, 3, "tfidf")
+    assert np.abs(other.components) == pytest.approx(np.abs(model.components), abs=1e-6)
+    assert other.explained_variance == pytest.approx(model.explained_variance, abs=1e-6)
     x = np.array([r["tfidf"].toArray() for r in vectors.orderBy("id").select("tfidf").collect()])
     u, s, vt = np.linalg.svd(x, full_matrices=False)
     got = np.array([r["reduced"] for r in model.transform(vectors).orderBy("id").select("reduced").collect()])

@@ -44,6 +44,3 @@ def best_row(table: DataFrame, *order: str) -> DataFrame:
     """First row by ``order``, taken without sorting the table as a whole."""
     return table.orderBy(*order).limit(1)
 
-
-def compare_feature_sets(ablation: DataFrame) -> DataFrame:
-    return ablation.orderBy("model", "average_rolling_RMSE", "test_RMSE")

@@ -17,7 +17,7 @@ from trendcast.functions.coerce import finite
 from trendcast.operators.backtest import in_parallel
 from trendcast.operators.cleaning import present
 from trendcast.operators.textvec import (
-    TEXT_GRID, SvdModel, TfidfModel, add_terms, fit_svd, fit_tfidf, mean_vector, top_terms,
+    TEXT_GRID, SvdModel, TfidfModel, add_terms, fit_svd, mean_vector, term_statistics, tfidf_from_statistics, top_terms,
 )
 
 # Candidate numbers of clusters, KMeans restarts, silhouette sample, value bound.
@@ -302,9 +302,8 @@ def numeric_segmentation(
 ) -> Segmentation:
     """Scale and cluster the training rows, then assign every row with the frozen model."""
     scaler = fit_scaler(train, columns)
-    scaled = scaler.transform(train.select(id_col, period, *columns)).select(id_col, "scaled").persist()
+    scaled = scaler.transform(train.select(id_col, *columns)).select(id_col, "scaled")
     rows, model = _select_and_fit(scaled, "scaled", id_col, k_values, restarts, sample_size, seed, threads)
-    scaled.unpersist()
     vectors = scaler.transform(full).withColumn("__features", array_to_vector("scaled"))
     assigned = model.setFeaturesCol("__features").setPredictionCol(cluster).transform(vectors).drop("__features", "scaled")
     fit_end = train.agg(F.max(period)).first()[0]
@@ -341,20 +340,22 @@ def text_segmentation(
     The first option wins a tie. Options whose vocabulary has fewer than two
     terms are skipped; if none is left, that is an error.
     """
-    terms = add_terms(train, text_col, stop_words).select(id_col, "terms").persist()
+    # The terms are larger than the texts, so they are rebuilt for each pass rather than stored.
+    terms = add_terms(train, text_col, stop_words).select(id_col, "terms")
+    floor = min(option["min_df"] for option in grid)
+    stats = term_statistics(terms).filter(F.col("df") >= floor).persist()
+    n_documents = train.count()
     # Only the ids are ranked; the texts of the sample are then picked where they lie.
-    ids = stable_sample(terms.select(id_col), id_col, sample_size, seed)
+    ids = stable_sample(train.select(id_col), id_col, sample_size, seed)
     sample = terms.join(F.broadcast(ids), id_col, "left_semi").persist()
     best: tuple[float, dict, TfidfModel, SvdModel, list] | None = None
     tried = []
     for option in grid:
-        tfidf = fit_tfidf(terms, option["min_df"], option["max_features"])
+        tfidf = tfidf_from_statistics(stats, n_documents, option["min_df"], option["max_features"])
         if tfidf is None:
             continue
         size = max(2, min(option["svd_components"], len(tfidf.vocabulary) - 1))
-        vectors = tfidf.transform(terms).select("tfidf").persist()
-        svd = fit_svd(vectors, size)
-        vectors.unpersist()
+        svd = fit_svd(tfidf.transform(terms), size, len(tfidf.vocabulary))
         reduced = _reduce(tfidf.transform(sample), svd)
         rows = choose_k(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads).collect()
         variance = round(svd.explained_variance, 4)
@@ -373,7 +374,7 @@ def text_segmentation(
     reduced = _reduce(tfidf.transform(terms), svd).select(id_col, "reduced")
     _, model = _select_and_fit(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads, rows)
     sample.unpersist()
-    terms.unpersist()
+    stats.unpersist()
 
     vectors = _reduce(tfidf.transform(add_terms(full, text_col, stop_words)), svd)
     ready = vectors.withColumn("__features", array_to_vector("reduced"))

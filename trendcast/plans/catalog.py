@@ -523,8 +523,9 @@ def top_terms(spark, d):
 @query
 def svd_projection(spark, d):
     terms = _terms(spark, d).select("doc_id", "terms")
-    vectors = textvec.fit_tfidf(terms, 5, 500).transform(terms).persist()
-    out = textvec.fit_svd(vectors, 10).transform(vectors)
+    model = textvec.fit_tfidf(terms, 5, 500)
+    vectors = model.transform(terms)
+    out = textvec.fit_svd(vectors, 10, len(model.vocabulary)).transform(vectors)
     return out.select("doc_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))
 
 
