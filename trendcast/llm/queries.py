@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendcast.llm import mixing, secrets
+from trendcast.llm import mixing, packing, secrets, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,3 +37,17 @@ def op10_secret_scan(spark, d):
     return found.select(
         "doc_id", *[count(k) for k in secrets.BASE], F.sha2(secrets.joined(base), 256).alias("base_sha256"),
         secrets.joined(F.col("findings")).alias("spans"))
+
+
+@query
+def op1_best_fit_packing(spark, d):
+    pieces = packing.token_pieces(table(spark, d, "documents")).select(
+        "doc_id", "piece", "start", F.floor(F.octet_length("ids") / 4).alias("length"),
+        F.crc32("ids").alias("ids_crc32"))
+    return packing.packed_pieces(pieces)
+
+
+@query
+def op5_token_counts(spark, d):
+    counts = tokens.prefix_counts(table(spark, d, "documents"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
