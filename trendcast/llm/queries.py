@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendcast.llm import mixing, packing, secrets, tokens
+from trendcast.llm import lines, mixing, packing, secrets, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -51,3 +51,8 @@ def op1_best_fit_packing(spark, d):
 def op5_token_counts(spark, d):
     counts = tokens.prefix_counts(table(spark, d, "documents"))
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query
+def op6_line_dedup(spark, d):
+    return lines.dedup_lines(table(spark, d, "documents").select("doc_id", "text"))
