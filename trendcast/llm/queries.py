@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendcast.llm import lines, mixing, packing, secrets, tokens
+from trendcast.llm import lines, mixing, packing, secrets, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,3 +56,9 @@ def op5_token_counts(spark, d):
 @query
 def op6_line_dedup(spark, d):
     return lines.dedup_lines(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@query
+def op4_simhash_golay(spark, d):
+    found = simhash.near_duplicates(table(spark, d, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")

@@ -31,3 +31,31 @@ def text_or_empty(df: DataFrame, text: str = "text") -> Column:
 
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b): its root is the smallest node that it can reach.
+
+    Alternates the large-star and small-star steps until nothing changes, a number of rounds that grows with the
+    logarithm of the longest chain. Each round is written to the shared folder. Smallest neighbours are found by
+    partial aggregates, and the joins may be split, so a node with very many edges is no bottleneck.
+    """
+    def summed(df):
+        row = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v") % F.lit(1 << 31)).alias("h")).first()
+        return row["n"], row["h"]
+
+    now = written(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+                  name)
+    state = summed(now)
+    while state[0]:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        nearest = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(nearest, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = written(small.unionByName(nearest.withColumnRenamed("m", "v")).distinct(), name)
+        before, state = state, summed(now)
+        if state == before:
+            break
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
+        now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
