@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendcast.llm import lines, mixing, packing, secrets, simhash, tokens
+from trendcast.llm import lines, mixing, nearest, neardup, packing, secrets, simhash, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -62,3 +62,14 @@ def op6_line_dedup(spark, d):
 def op4_simhash_golay(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"))
     return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_embedding_neardup(spark, d):
+    return neardup.near_duplicates(table(spark, d, "embeddings"))
+
+
+@query
+def op7_nearest_neighbours(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return nearest.search(vectors, vectors.where("vec_id % 50 = 0"))
