@@ -1,10 +1,74 @@
-"""A training corpus from raw documents: each stage is one operator, written as Parquet and read again for the next."""
+"""A training corpus from raw documents: each stage is one operator, written as Parquet and read again for the next.
+
+Documents that are toxic go; lines that repeat an earlier line go, and with them documents of which nothing is left;
+of near duplicates one document stays; the rest is mixed to the target weights of its sources, in shuffled shards;
+and the mixture is packed into sequences. Every stage works on all that the one before it kept.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from trendcast.llm import lines, mixing, packing, simhash, toxicity
+from trendcast.llm.shared import written
+
+TOXIC_FROM = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below ``TOXIC_FROM``. The model learns from the labelled rows of ``docs``."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scores(docs, model).where(F.col("score") < TOXIC_FROM).select(*docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without their repeated lines; ``n_chars`` follows. Those whose lines with words all went, go too."""
+    out = lines.dedup_lines(docs)
+    emptied = (F.col("n_removed") > 0) & (F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")) == "")
+    out = out.where(~F.coalesce(emptied, F.lit(False)))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(kind)).otherwise(
+            F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of each group of near duplicates that names it; of rows that repeat an id, one with that id."""
+    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = written(found.select(F.col("doc_id").alias("k_id"), F.col("fp").alias("k_fp")).distinct(), "kept-documents")
+    small = F.broadcast(kept) if kept.count() <= lines.BROADCAST_ROWS else kept
+    return docs.join(small, docs["doc_id"].eqNullSafe(F.col("k_id")), "left_semi")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture in shard order; a document that is drawn twice stands there twice."""
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences of 4096 tokens."""
+    pieces = packing.token_pieces(docs).select(
+        "doc_id", "piece", "start", F.floor(F.octet_length("ids") / 4).alias("length"),
+        F.crc32("ids").alias("ids_crc32"))
+    return packing.packed_pieces(pieces)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("source mixing", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
+
+# The scores and fingerprints of the first and third stage are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return docs

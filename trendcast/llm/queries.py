@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trendcast.llm import lines, mixing, nearest, neardup, packing, secrets, simhash, tokens
+from trendcast.llm import (
+    language, lines, mixing, nearest, neardup, packing, secrets, simhash, tokens, toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -73,3 +75,20 @@ def op3_embedding_neardup(spark, d):
 def op7_nearest_neighbours(spark, d):
     vectors = table(spark, d, "embeddings")
     return nearest.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+@query
+def op2_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    model = toxicity.fit(docs, table(spark, d, "labels"))
+    scored = toxicity.scores(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(toxicity.fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query
+def op9_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    found = language.predictions(docs, language.fit(docs))
+    return found.select("doc_id", F.coalesce(language.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+                        "lang_pred", "score")
