@@ -6,38 +6,43 @@ place, has a Jaccard similarity of at least ``threshold`` with it; the earliest
 1. Words are ordered by rarity. The order comes from counts of all words in 2^14 hash buckets, a table of fixed size
    that travels inside the expressions; any fixed order gives right results, a good one gives few candidates.
 2. Equal sets collapse to their earliest line by one aggregate.
-3. Each remaining line is sent out under its rarest words, as many as its prefix for the threshold. Groups of one line
-   end there. Words of heavy buckets are spread over several tasks, in proportion.
-4. Star rounds: in every group each line is compared with up to a few of the earliest lines only, so the number of
-   candidates follows the number of rows. In a family of near copies almost all lines find their match here.
-5. Rest: what has no match yet is compared with all earlier lines of those groups that have more lines than centres.
+3. Each remaining line is sent out under its rarest words, as many as its prefix for the threshold. Words of heavy
+   buckets are spread over several tasks, in proportion.
+4. In each group, a line meets the ``NEAREST`` lines before it. That is the whole group in most cases, and in a family
+   of near copies almost all lines find their match there. The work follows the number of rows.
+5. Of larger groups, lines without a match meet some of the earliest lines, and what then has none all earlier ones.
 
-Candidates pass the length, positional and bitmap filters, none of which loses a match, and are then verified on
+Candidates pass the length, positional and parity filters, none of which loses a match, and are then verified on
 their whole word sets, read again from the documents concerned only.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import WORD, text_or_empty, written
+from trendcast.llm.shared import text_or_empty, written
 
-BUCKET_BITS, HASH_BITS = 14, 48
+BUCKET_BITS, HASH_BITS = 14, 54
 BUCKETS = 1 << BUCKET_BITS
-# Earliest lines of a group that all its lines are compared with, in the first and the second star round.
-CENTRES = (4, 16)
-# Documents whose ids are broadcast when lines are fetched for verification; more are joined by a shuffle.
-BROADCAST_ROWS = 400_000
+NEAREST, CENTRES = 8, 16
+# Keys of lines or documents (two numbers each) are broadcast up to so many rows; more are joined by a shuffle.
+BROADCAST_ROWS = 800_000
 KEY = ["doc_id", "place"]
 
 
-def _hashes(line: Column) -> Column:
-    """Hashes of the words of ``line``, repeats included."""
-    return F.transform(F.regexp_extract_all(F.lower(line), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
+def _words(line: Column) -> Column:
+    return F.array_remove(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), "")
+
+
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def _bucket(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - BUCKET_BITS)
+    # The lowest bits, which a word's number keeps.
+    return h.bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -50,33 +55,33 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def rarity(docs: DataFrame) -> tuple[Column, Column]:
-    """Ranks of the word buckets, rarest first, and into how many tasks the lines of a rank are spread. Arrays of fixed
-    size, from all words of all documents."""
-    counts = docs.select(F.explode(_hashes(text_or_empty(docs))).alias("h")).groupBy(
+    """For each word bucket a class of frequency from 0, rare, to 15, and into how many tasks its lines are spread.
+    Arrays of fixed size, from all words of all documents."""
+    counts = docs.select(F.explode(_hashes(_words(text_or_empty(docs)))).alias("h")).groupBy(
         _bucket(F.col("h")).cast("int").alias("bucket")).count().collect()  # at most one row a bucket
     known = {r["bucket"]: r["count"] for r in counts}
-    order = sorted(range(BUCKETS), key=lambda b: (known.get(b, 0), b))
-    ranks, sizes = [0] * BUCKETS, [0] * BUCKETS
-    for rank, b in enumerate(order):
-        ranks[b], sizes[rank] = rank, known.get(b, 0)
-    heavy = max(20_000, 4 * sum(sizes) // BUCKETS)
-    spread = [max(1, -(-n // heavy)) for n in sizes]
+    usual = max(1, sum(known.values()) / BUCKETS)
+    classes = [min(15, max(0, math.ceil(2 * math.log2(max(1, known.get(b, 0)) / usual)))) for b in range(BUCKETS)]
+    heavy = max(20_000, 4 * usual)
+    spread = [math.ceil(max(1, known.get(b, 0)) / heavy) for b in range(BUCKETS)]
 
     def table(numbers):
         return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
 
-    return table(ranks), table(spread)
+    return table(classes), table(spread)
 
 
-def token_set(line: Column, ranks: Column) -> Column:
-    """The words of a line as distinct numbers, rarest first."""
+def token_set(line: Column, classes: Column) -> Column:
+    """The words of a line as distinct numbers, rarest first: by class, then by length, then by hash."""
     low = F.lit((1 << HASH_BITS) - 1)
 
-    def number(h):
-        rank = F.element_at(ranks, (_bucket(h) + 1).cast("int")).cast("long")
-        return F.shiftleft(rank, HASH_BITS) + h.bitwiseAND(low)
+    def number(w, h):
+        rank = F.coalesce(F.element_at(classes, (_bucket(h) + 1).cast("int")), F.lit(0)) * 32 + 31 - F.least(
+            F.length(w), F.lit(31))
+        return F.shiftleft(rank.cast("long"), HASH_BITS) + h.bitwiseAND(low)
 
-    return F.sort_array(F.array_distinct(F.transform(_hashes(line), number)))
+    words = _words(line)
+    return F.sort_array(F.array_distinct(F.zip_with(words, _hashes(words), number)))
 
 
 def _earlier(a: str, b: str) -> Column:
@@ -86,7 +91,7 @@ def _earlier(a: str, b: str) -> Column:
 
 
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """False only if the lines cannot be as similar as asked for: length, positional and bitmap filter."""
+    """False only if the lines cannot be as similar as asked for: length, positional and parity filter."""
     sa, sb, ia, ib = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (a, b))
     least = F.ceil(F.lit(threshold / (1 + threshold)) * (sa + sb) - 1e-6)
     overlap = F.least(ia, ib) + 1 + F.least(sa - ia - 1, sb - ib - 1)
@@ -95,7 +100,7 @@ def _may_match(a: str, b: str, threshold: float) -> Column:
         (sa + sb - differ) >= 2 * least)
 
 
-def _fetched(docs: DataFrame, keys: DataFrame, ranks: Column) -> DataFrame:
+def _fetched(docs: DataFrame, keys: DataFrame, classes: Column) -> DataFrame:
     """(doc_id, place, tokens) of the lines in ``keys``, from the documents that hold them."""
     ids = keys.select("doc_id").distinct()
     n = ids.count()
@@ -105,72 +110,79 @@ def _fetched(docs: DataFrame, keys: DataFrame, ranks: Column) -> DataFrame:
     wanted = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
     found = lines.alias("l").join(wanted.alias("k"), F.col("l.doc_id").eqNullSafe(F.col("k.doc_id")) & (
         F.col("l.place") == F.col("k.place")), "left_semi").distinct()
-    return found.select(*KEY, token_set(F.col("line"), ranks).alias("tokens"))
+    return found.select(*KEY, token_set(F.col("line"), classes).alias("tokens"))
 
 
-def _similar(docs: DataFrame, pairs: DataFrame, ranks: Column, threshold: float) -> DataFrame:
+def _similar(docs: DataFrame, pairs: DataFrame, classes: Column, threshold: float) -> DataFrame:
     """The later lines (doc_id, place) of those ``pairs`` (a, b: structs of a key, a earlier) that are similar."""
     pairs = written(pairs.distinct(), "line-pairs")
     keys = written(pairs.select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct(), "line-keys")
-    sets = written(_fetched(docs, keys, ranks), "line-sets").select(F.struct(*KEY).alias("k"), "tokens")
+    sets = written(_fetched(docs, keys, classes), "line-sets").select(F.struct(*KEY).alias("k"), "tokens")
     both = F.size(F.array_intersect("ta", "tb"))
     similar = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b").where(
         both / (F.size("ta") + F.size("tb") - both) >= F.lit(threshold))
-    return written(similar.select("b").distinct(), "line-matches")
+    return written(similar.select("b.*").distinct(), "line-matches")
+
+
+def _without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose line is not among ``keys``, a written table."""
+    small = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+    return rows.alias("r").join(small.alias("m"), F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")) & (
+        F.col("r.place") == F.col("m.place")), "left_anti")
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
     """(doc_id, place) of the lines that have a similar earlier line. Lines of fewer than ``min_words`` different
     words, and so empty ones, are never among them."""
     docs = docs.select("doc_id", text_or_empty(docs).alias("text"))
-    ranks, spread = rarity(docs)
+    classes, spread = rarity(docs)
     tokens = F.col("tokens")
     one = F.lit(1).cast("long")
-    bits = F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseOR(
+    bits = F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(
         F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
     length = F.size(tokens) - F.ceil(threshold * F.size(tokens) - 1e-6) + 1
-    sets = lines_of(docs).select(*KEY, token_set(F.col("line"), ranks).alias("tokens"))
+    sets = lines_of(docs).select(*KEY, token_set(F.col("line"), classes).alias("tokens"))
     narrow = written(sets.where(F.size("tokens") >= F.lit(max(1, min_words))).select(
         *KEY, F.xxhash64(tokens).alias("set_id"), F.size(tokens).alias("size"), bits.alias("bits"),
         F.slice(tokens, F.lit(1), length.cast("int")).alias("prefix")), "lines")
 
-    # One line for each set; the rarest words of each.
+    # Of equal sets the earliest line goes on.
     key = F.struct(*KEY)
-    firsts = narrow.groupBy("set_id", "size").agg(F.min(key).alias("key"), F.min_by(
-        F.struct("bits", "prefix"), key).alias("of"))
-    rows = firsts.select("key", "size", "of.bits", F.posexplode("of.prefix").alias("at", "token"))
-    rank = F.shiftrightunsigned("token", HASH_BITS).cast("int")
-    rows = rows.withColumn("tasks", F.element_at(spread, rank + 1)).withColumn(
-        "part", F.when(F.col("tasks") > 1, F.pmod(F.xxhash64("key"), F.col("tasks"))).otherwise(F.lit(0)))
+    heads = narrow.groupBy("set_id", "size").agg(F.min(key).alias("key"), F.count("*").alias("n")).where("n > 1")
+    copies = written(narrow.select("set_id", "size", *KEY).join(heads.drop("n"), ["set_id", "size"]).where(
+        key != F.col("key")).select(*KEY), "line-copies")
+    firsts = _without(narrow, copies)
+
+    rows = firsts.select(*KEY, "size", "bits", F.posexplode("prefix").alias("at", "token"))
+    rows = rows.withColumn("tasks", F.element_at(spread, (F.pmod("token", F.lit(BUCKETS)) + 1).cast("int"))).withColumn(
+        "part", F.when(F.col("tasks") > 1, F.pmod(F.xxhash64(*KEY), F.col("tasks"))).otherwise(F.lit(0)))
     group = Window.partitionBy("token", "part")
-    shared = written(rows.withColumn("n", F.count("*").over(group)).where("n > 1 or tasks > 1").select(
-        "token", "key", "size", "at", "bits"), "line-prefixes").select("token", "key.*", "size", "at", "bits")
+    line = F.struct(*KEY, "size", "at", "bits")
+    met = rows.withColumn("before", F.collect_list(line).over(group.orderBy(*KEY).rowsBetween(-NEAREST, -1))).withColumn(
+        "crowded", (F.count("*").over(group) > NEAREST + 1) | (F.col("tasks") > 1))
+    # A crowded line meets itself too, which keeps one row of it.
+    meets = F.when(F.col("crowded"), F.concat("before", F.array(line))).otherwise(F.col("before"))
+    met = met.select("token", "crowded", line.alias("b"), F.explode(meets).alias("a"))
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.place") == F.col("b.place"))
+    met = written(met.withColumn("itself", same).where(F.col("itself") | _may_match(
+        "a", "b", threshold)), "line-groups")
+    crowded = met.where("itself").select("token", "b.*")
 
     def candidates(later, earlier):
         close = later.alias("b").join(earlier.alias("a"), (F.col("a.token") == F.col("b.token"))
                                       & _earlier("a", "b") & _may_match("a", "b", threshold))
         return close.select(F.struct("a.doc_id", "a.place").alias("a"), F.struct("b.doc_id", "b.place").alias("b"))
 
-    def unmatched(rows, found):
-        for m in found:
-            rows = rows.alias("r").join(m.select("b.*").alias("m"), F.col("r.doc_id").eqNullSafe(
-                F.col("m.doc_id")) & (F.col("r.place") == F.col("m.place")), "left_anti")
-        return rows
-
-    found = []
-    for turn, centres in enumerate(CENTRES):
-        salt = F.pmod(F.xxhash64(F.lit(turn), *KEY), F.lit(centres))
-        stars = shared.groupBy("token", salt.alias("salt")).agg(
-            F.min(F.struct(*KEY, "size", "at", "bits")).alias("c"), F.count("*").alias("n"))
-        later = unmatched(shared, found)
-        found.append(_similar(docs, candidates(later, stars.select("token", "c.*")), ranks, threshold))
-        dense = stars.where("n > 1").select("token").distinct()
-    wide = shared.join(dense, "token")
-    found.append(_similar(docs, candidates(unmatched(wide, found), wide), ranks, threshold))
-    matched = found[0].unionByName(found[1]).unionByName(found[2]).select("b.*")
-    heads = narrow.groupBy("set_id", "size").agg(F.min(key).alias("key"), F.count("*").alias("n")).where("n > 1")
-    copies = narrow.join(heads.drop("n"), ["set_id", "size"]).where(key != F.col("key")).select(*KEY)
-    return written(matched.unionByName(copies).distinct(), "repeated-lines")
+    near = met.where("not itself").select(
+        F.struct("a.doc_id", "a.place").alias("a"), F.struct("b.doc_id", "b.place").alias("b"))
+    matched = _similar(docs, near, classes, threshold)
+    left = _without(crowded, matched)
+    salt = F.pmod(F.xxhash64(*KEY), F.lit(CENTRES))
+    centres = crowded.groupBy("token", salt.alias("salt")).agg(F.min(line).alias("c")).select("token", "c.*")
+    again = _similar(docs, candidates(left, centres), classes, threshold)
+    left = _without(left, again)
+    rest = _similar(docs, candidates(left, crowded), classes, threshold)
+    return written(matched.unionByName(again).unionByName(rest).unionByName(copies).distinct(), "repeated-lines")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
