@@ -58,8 +58,8 @@ def forward(word: str, table: dict[str, np.ndarray], longest: int, floor: np.nda
                 total = total + sums[begin] * p
         sums.append(total)
         if end % 16 == 0:  # keep long words from underflow
-            top = total.max()
-            sums = [s / top for s in sums]
+            top, recent = total.max(), max(0, end + 1 - longest)
+            sums[recent:] = [s / top for s in sums[recent:]]
             log_scale += np.log(top)
     return np.log(sums[-1]) + log_scale
 
