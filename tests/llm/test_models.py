@@ -70,11 +70,11 @@ def test_forward_sums_all_segmentations():
             return 1.0
         return sum(table[word[:k]] * scale * slow(word[k:], scale) for k in range(1, len(word) + 1) if word[:k] in table)
 
-    got = np.exp(language.forward("aab", vectors, 2, np.full(2, 1e-7)))
+    got = np.exp(language.Forward(vectors, 2)(["aab", "b"]))[0]
     assert got == pytest.approx([slow("▁aab", 1), slow("▁aab", 0.5)])
     counts = language.expected_counts("aab", table, 2)
     assert sum(len(p) * n for p, n in counts.items()) == pytest.approx(4)
-    assert np.isfinite(language.forward("ab" * 400, vectors, 2, np.full(2, 1e-7))).all()
+    assert np.isfinite(language.Forward(vectors, 2)(["ab" * 400, "zz", "z" * 60, ""])).all()
 
 
 @here

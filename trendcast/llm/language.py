@@ -46,22 +46,46 @@ def vocabulary(path: str) -> list[str]:
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
 
 
-def forward(word: str, table: dict[str, np.ndarray], longest: int, floor: np.ndarray) -> np.ndarray:
-    """Log-probabilities of a word in each language, over all its segmentations."""
-    word = BORDER + word
-    sums, log_scale = [np.ones_like(floor)], 0.0
-    for end in range(1, len(word) + 1):
-        total = sums[end - 1] * floor if word[end - 1] not in table else 0
-        for begin in range(end - longest if end > longest else 0, end):
-            p = table.get(word[begin:end])
-            if p is not None:
-                total = total + sums[begin] * p
-        sums.append(total)
-        if end % 16 == 0:  # keep long words from underflow
-            top, recent = total.max(), max(0, end + 1 - longest)
-            sums[recent:] = [s / top for s in sums[recent:]]
-            log_scale += np.log(top)
-    return np.log(sums[-1]) + log_scale
+class Forward:
+    """Log-probabilities of words in each language, over all their segmentations, many words at a time."""
+
+    def __init__(self, table: dict[str, np.ndarray], languages: int):
+        self.number = {piece: k for k, piece in enumerate(table, 2)}
+        # Row 0 is for strings that are no piece, row 1 for letters that are none.
+        self.rows = np.array([np.zeros(languages), np.full(languages, FLOOR), *table.values()])
+        self.longest = max(map(len, table), default=1)
+
+    def _together(self, words: list[str]) -> np.ndarray:
+        get, longest = self.number.get, self.longest
+        spelled = [BORDER + w for w in words]
+        sizes = np.array([len(w) for w in spelled])
+        n, shape = int(sizes.max()), (len(words), self.rows.shape[1])
+        sums = np.zeros((n + 1, *shape))
+        sums[0] = 1
+        scale, out = np.zeros((len(words), 1)), np.zeros(shape)
+        for end in range(1, n + 1):
+            for begin in range(max(0, end - longest), end):
+                other = 1 if end - begin == 1 else 0
+                at = np.array([get(w[begin:end], other) for w in spelled])
+                if at.any():
+                    sums[end] += sums[begin] * self.rows[at]
+            done = sizes == end
+            if done.any():
+                out[done] = np.log(sums[end][done]) + scale[done]
+            if end % 12 == 0:  # keep long words from underflow
+                top = sums[end].max(axis=1, keepdims=True)
+                top[top == 0] = 1
+                sums[max(0, end + 1 - longest):end + 1] /= top
+                scale += np.log(top)
+        return out
+
+    def __call__(self, words: list[str], block: int = 2048) -> np.ndarray:
+        order = sorted(range(len(words)), key=lambda k: len(words[k]))  # words of like lengths go together
+        out = np.zeros((len(words), self.rows.shape[1]))
+        for k in range(0, len(order), block):
+            part = order[k:k + block]
+            out[part] = self._together([words[i] for i in part])
+        return out
 
 
 def expected_counts(word: str, table: dict[str, float], longest: int) -> dict[str, float]:
@@ -95,7 +119,6 @@ class Model:
 
     def __init__(self, languages: list[str], table: dict[str, np.ndarray]):
         self.languages, self.table = languages, table
-        self.longest = max(map(len, table), default=1)
 
 
 def fit(docs: DataFrame, path: str | None = None, held_out: int = 0, folds: int = 5, sample: int = SAMPLE,
@@ -175,40 +198,40 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, table, longest = model.languages, model.table, model.longest
-        floor = np.full(len(names), FLOOR)
+        names = model.languages
+        forward = Forward(model.table, len(names))
         rows: dict[str, int] = {}
         values = np.zeros((CACHE, len(names)))
 
-        def row(word):
-            if len(rows) >= CACHE:
-                raise OverflowError
-            at = rows[word] = len(rows)
-            values[at] = forward(word, table, longest, floor)
-            return at
-
-        def total(words):
-            found = rows.get
-            try:
-                return values[[k if (k := found(w)) is not None else row(w) for w in words]].sum(axis=0)
-            except OverflowError:
+        def totals(texts: list[list[str]]) -> list[np.ndarray]:
+            """Sums over the words of each text; words not known yet are worked out together."""
+            fresh = list({w for words in texts for w in words}.difference(rows))
+            if len(rows) + len(fresh) > CACHE and rows:
                 rows.clear()
-                if len(words) > 10_000:  # a text may have more words than the cache holds
-                    return total(words[:10_000]) + total(words[10_000:])
-                return total(words)
+                return totals(texts)
+            if len(fresh) > CACHE:  # more words than the cache holds
+                if len(texts) > 1:
+                    return [t for words in texts for t in totals([words])]
+                words = texts[0]
+                return [sum(totals([words[k:k + CACHE]])[0] for k in range(0, len(words), CACHE))]
+            if fresh:
+                begin = len(rows)
+                values[begin:begin + len(fresh)] = forward(fresh)
+                rows.update(zip(fresh, range(begin, begin + len(fresh))))
+            return [values[[rows[w] for w in words]].sum(axis=0) for words in texts]
 
         for batch in batches:
             language, score = [], []
-            for value in batch.column(1):
-                words = words_of(value.as_py())
-                if not words or not names:
-                    language.append("und")
-                    score.append(0.0)
-                    continue
-                logs = total(words)
-                p = np.exp(logs - logs.max())
-                language.append(names[int(np.argmax(p))])
-                score.append(float(p.max() / p.sum()))
+            for k in range(0, batch.num_rows, 128):
+                texts = [words_of(value.as_py()) for value in batch.column(1)[k:k + 128]]
+                for words, logs in zip(texts, totals(texts) if names else texts):
+                    if not words or not names:
+                        language.append("und")
+                        score.append(0.0)
+                        continue
+                    p = np.exp(logs - logs.max())
+                    language.append(names[int(np.argmax(p))])
+                    score.append(float(p.max() / p.sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(language, pa.string()), pa.array(
                 score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
