@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.fixtures import rows
+from trendcast.functions.coerce import finite
 from trendcast.operators import cleaning
 
 RAW = [
@@ -19,7 +20,7 @@ def raw(spark):
 
 
 def test_cleaning_chain(raw):
-    clean = cleaning.clean_events(raw, ["kw_5g"], order_by=["seq"])
+    clean = cleaning.clean_events(raw, ["kw_5g"], "patent_id", ["seq"], ["patent_date"])
     assert rows(clean.orderBy("seq"), "patent_id", "patent_date", "year", "kw_5g") == [
         ("a", dt.date(2010, 12, 31), 2010, 1), ("b", None, 2010, 0), ("d", dt.date(2010, 3, 2), 2035, 0),
         ("f", dt.date(2012, 6, 5), 2012, 0), ("g", dt.date(2013, 6, 5), 2013, 1)]
@@ -27,7 +28,7 @@ def test_cleaning_chain(raw):
 
 def test_first_duplicate_wins_even_if_it_is_dropped_later(spark):
     df = spark.createDataFrame([("x", "1900", 1), ("x", "2000", 2)], "patent_id string, year string, seq int")
-    assert cleaning.clean_events(df, [], order_by=["seq"]).count() == 0
+    assert cleaning.clean_events(df, [], "patent_id", ["seq"], ["patent_date"]).count() == 0
 
 
 def test_null_ids_are_one_id_and_hot_ids_collapse(spark):
@@ -61,9 +62,9 @@ def test_flag_on_doubles_maps_nan_to_zero(spark):
 
 def test_date_formats_are_tried_in_order(spark):
     df = spark.createDataFrame([("3/1/2010",), ("2010-03-01",)], "patent_date string")
-    day_first = cleaning.convert_types(df)
+    day_first = cleaning.convert_types(df, ["patent_date"])
     assert rows(day_first, "patent_date") == [(dt.date(2010, 1, 3),), (None,)]
-    both = cleaning.convert_types(df, formats=["d/M/yyyy", "yyyy-MM-dd"])
+    both = cleaning.convert_types(df, ["patent_date"], formats=["d/M/yyyy", "yyyy-MM-dd"])
     assert rows(both, "patent_date")[1] == (dt.date(2010, 3, 1),)
 
 
@@ -77,9 +78,17 @@ def test_null_profile_counts_nan_and_null(spark):
     assert rows(cleaning.null_profile(df), "column", "missing_count", "missing_pct") == [("v", 2, 50.0), ("s", 1, 25.0)]
 
 
-def test_finite_columns(spark):
+def test_finite(spark):
     df = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,), (5.0,)], "v double")
-    assert rows(cleaning.finite_columns(df, ["v"]), "v") == [(0.0,), (1e6,), (-1e6,), (0.0,), (5.0,)]
+    assert rows(df.withColumn("v", finite(F.col("v"), 1e6)), "v") == [(0.0,), (1e6,), (-1e6,), (0.0,), (5.0,)]
+
+
+def test_keep_first_with_maps_ties_and_a_hot_id(spark):
+    data = [(1, k % 7, {"a": k}) for k in range(300)] + [(2, 5, {"b": 1}), (None, 2, None), (None, 1, {"c": 3})]
+    df = spark.createDataFrame(data, "id int, seq int, m map<string,int>").repartition(5)
+    out = cleaning.keep_first(df, "id", ["seq"])
+    assert sorted(rows(out, "id", "seq"), key=str) == [(1, 0), (2, 5), (None, 1)]
+    assert "SortAggregate" not in df.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
 
 
 def test_fill_missing(spark):
@@ -91,4 +100,4 @@ def test_fill_missing(spark):
 def test_missing_period_column_is_tolerated(spark):
     df = spark.createDataFrame([(1,)], "a int")
     assert cleaning.valid_periods(df).count() == 1
-    assert cleaning.convert_types(df).select(F.col("a")).count() == 1
+    assert cleaning.convert_types(df, ["d"]).select(F.col("a")).count() == 1

@@ -6,7 +6,7 @@ from tests.fixtures import rows
 from trendcast import session
 from trendcast.operators import models, splits
 from trendcast.plans import flows
-from trendcast.sources import EVENT_SCHEMA, read_events, read_hyperparameters, write_table
+from trendcast.sources import read_events, read_hyperparameters, write_table
 
 
 def raw_events(spark):
@@ -86,11 +86,18 @@ def test_file_order_decides_which_duplicate_stays(spark, tmp_path, fmt):
 
 def test_csv_round_trip_with_a_declared_schema(spark, tmp_path):
     path = str(tmp_path / "typed.csv")
-    row = {f.name: (1 if f.dataType.typeName() == "integer" else 0.5 if f.dataType.typeName() == "double" else 'a "b", c')
-           for f in EVENT_SCHEMA.fields}
-    write_table(spark.createDataFrame([row], EVENT_SCHEMA), path, "csv", single_file=True)
-    back = read_events(spark, path, schema=EVENT_SCHEMA)
-    assert back.schema == EVENT_SCHEMA and back.first().asDict() == row
+    write_table(spark.createDataFrame([(2001, 'a "b", c', 0.5)], "year int, name string, score double"), path, "csv", single_file=True)
+    back = read_events(spark, path, schema="name string, score double, year int")  # not in the header's order
+    assert back.schema.simpleString() == "struct<name:string,score:double,year:int>"
+    assert tuple(back.first()) == ('a "b", c', 0.5, 2001)
+    with pytest.raises(Exception, match="missing"):
+        read_events(spark, path, schema="missing string").collect()
+
+
+def test_csv_with_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "lines.csv").write_text('title,year\n"a\nb",2001\nc,2002\n')
+    back = read_events(spark, str(tmp_path / "lines.csv"), multi_line=True)
+    assert sorted(rows(back, "title", "year")) == [("a\nb", "2001"), ("c", "2002")]
 
 
 def test_checkpoint_folder_comes_from_the_session(spark, tmp_path):

@@ -44,11 +44,17 @@ def test_silhouettes_match_brute_force(spark, blobs):
     assert squared[0] == pytest.approx(brute_silhouette(points, labels, 2))
 
 
-def test_silhouette_of_one_cluster_is_undefined_and_large_samples_are_refused(blobs):
+def test_silhouette_of_one_cluster_is_undefined(blobs):
     one = blobs.withColumn("same", F.lit(1))
     assert rows(segment.silhouette_scores(one, "v", ["same"]), "silhouette") == [(None,)]
-    with pytest.raises(ValueError, match="at most"):
-        segment.silhouette_scores(blobs, "v", ["label"], sample_size=10)
+
+
+def test_silhouette_over_many_tiles_uses_all_rows(spark):
+    rng = np.random.default_rng(5)
+    points, labels = rng.normal(size=(700, 3)), rng.integers(0, 4, 700)
+    df = spark.createDataFrame([(x.tolist(), int(c), "one") for x, c in zip(points, labels)], "v array<double>, c int, s string")
+    got = dict(rows(segment.silhouette_scores(df, "v", ["c", "s"], tile_rows=60), "labelling", "silhouette"))
+    assert got["c"] == pytest.approx(brute_silhouette(points, labels)) and got["s"] is None
 
 
 def test_sample_is_exact_and_stable(blobs):
@@ -59,7 +65,7 @@ def test_sample_is_exact_and_stable(blobs):
 
 
 def test_choose_k_finds_the_blobs(blobs):
-    out = segment.choose_k(blobs, "v", "id", k_values=(2, 3, 4), restarts=3)
+    out = segment.choose_k(blobs, "v", k_values=(2, 3, 4), restarts=3)
     assert out.first()["k"] == 3 and all(-1 <= s <= 1 for (s,) in rows(out, "silhouette_score"))
 
 
@@ -133,9 +139,6 @@ def test_svd_matches_numpy(spark):
     tfidf = textvec.fit_tfidf(terms, 1, 50)
     vectors = tfidf.transform(terms).persist()
     model = textvec.fit_svd(vectors, 3, len(tfidf.vocabulary))
-    other = textvec._fit_svd_by_passes(vectors, 3, "tfidf")
-    assert np.abs(other.components) == pytest.approx(np.abs(model.components), abs=1e-6)
-    assert other.explained_variance == pytest.approx(model.explained_variance, abs=1e-6)
     x = np.array([r["tfidf"].toArray() for r in vectors.orderBy("id").select("tfidf").collect()])
     u, s, vt = np.linalg.svd(x, full_matrices=False)
     got = np.array([r["reduced"] for r in model.transform(vectors).orderBy("id").select("reduced").collect()])
@@ -150,12 +153,15 @@ def test_top_terms_skip_zero_weights_and_break_ties(spark):
     assert dict(rows(out, "g", "t")) == {"g": "y, x", "h": "z, y"}
 
 
-def test_lists_carried_by_expressions_are_bounded(blobs, monkeypatch):
-    monkeypatch.setattr(segment, "MAX_CENTRES", 2)
-    for out in (segment.nearest_centroid(blobs, "v", segment.centroids(blobs, "v", "label"), "label"),
-                segment.silhouette_squared(blobs, "v", "label")):
-        with pytest.raises(Exception, match="more than 2 clusters"):
-            out.collect()
+def test_centres_are_met_in_blocks(blobs, monkeypatch):
+    centres = segment.centroids(blobs, "v", "label")
+    nearest = sorted(rows(segment.nearest_centroid(blobs, "v", centres, "label"), "id", "nearest"))
+    (whole,) = rows(segment.silhouette_squared(blobs, "v", "label"), "silhouette")
+    monkeypatch.setattr(segment, "CENTRE_BLOCK", 1)
+    assert sorted(rows(segment.nearest_centroid(blobs, "v", centres, "label"), "id", "nearest")) == nearest
+    (split,) = rows(segment.silhouette_squared(blobs, "v", "label"), "silhouette")
+    assert split[0] == pytest.approx(whole[0])
+
 
 
 def test_text_segmentation(titles):

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, functions as F
 
 
-def feature_group(name: Column) -> Column:
-    # The group labels and the prefixes they stand for.
-    return (
-        F.when(name.startswith("kw_"), "keyword_share")
-        .when(name.startswith("is_"), "type_share")
-        .when(name.startswith("title_") | (name == "keyword_score"), "title_feature")
-        .otherwise("other")
-    )
+# The group of a feature by the start of its name.
+FEATURE_GROUPS = {
+    "kw_": "keyword_share", "is_": "patent_type_share", "title_": "title_feature", "keyword_score": "title_feature",
+}
+
+
+def feature_group(name: Column, groups: Mapping[str, str] = FEATURE_GROUPS) -> Column:
+    """The label of the first prefix in ``groups`` that ``name`` starts with, else ``other``."""
+    label = F.lit("other")
+    for prefix, group in reversed(groups.items()):
+        label = F.when(name.startswith(prefix), group).otherwise(label)
+    return label
 
 
 def is_leakage_safe(name: Column) -> Column:

@@ -29,21 +29,5 @@ def period_index(col: Column, grain: str) -> Column:
     raise ValueError(f"unknown grain {grain!r}; use one of {', '.join(GRAINS)}")
 
 
-def period_label(col: Column, grain: str) -> Column:
-    """Readable text for a period number, for report sinks."""
-    if grain in ("year", "index"):
-        return col.cast("string")
-    if grain == "quarter":
-        return F.format_string("%d-Q%d", F.floor(col / 4), F.pmod(col, F.lit(4)) + 1)
-    if grain == "month":
-        return F.format_string("%d-%02d", F.floor(col / 12), F.pmod(col, F.lit(12)) + 1)
-    if grain == "day":
-        return F.date_from_unix_date(col.cast("int")).cast("string")
-    if grain == "hour":
-        day = F.date_from_unix_date(F.floor(col / 24).cast("int")).cast("string")
-        return F.concat(day, F.format_string(" %02d:00", F.pmod(col, F.lit(24))))
-    raise ValueError(f"unknown grain {grain!r}; use one of {', '.join(GRAINS)}")
-
-
 def with_period(df: DataFrame, time_col: str, grain: str, period: str = "period") -> DataFrame:
     return df.withColumn(period, period_index(F.col(time_col), grain))

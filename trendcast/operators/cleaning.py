@@ -29,23 +29,28 @@ def standardise_names(df: DataFrame) -> DataFrame:
 def keep_first(df: DataFrame, id_col: str, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per id: the first by ``order_by``, NULL ids counting as one id.
 
-    A ``min`` over (order, row) keeps one candidate per id in every map task, so
-    an id that holds a large part of the table never meets in one reducer as a
-    whole, which a ``row_number`` window would force. Without ``order_by`` the
-    smallest row wins, which is stable but not the file order. A table without
-    the id column loses rows that repeat in every column.
+    A narrow count finds the ids that occur more than once; rows of all other
+    ids pass as they are. Of the repeated ones an aggregate keeps one candidate
+    per id in every map task, so an id that holds a large part of the table
+    never meets in one reducer as a whole, which a ``row_number`` window would
+    force. Without ``order_by``, and among equals, the smallest row wins, map
+    columns aside, which is stable but not the file order. A table without the
+    id column loses rows that repeat in every column.
     """
     if id_col not in df.columns:
         return df.dropDuplicates()
-    rank = [F.col(c) for c in order_by]
-    row = F.struct(*[F.col(c) for c in df.columns])
-    best = df.groupBy(F.col(id_col).alias("__id")).agg(F.min(F.struct(*rank, row.alias("__row"))).alias("__min"))
-    return best.select("__min.__row.*")
+    plain = [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    repeated = df.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select("__id")
+    same = F.col(id_col).eqNullSafe(F.col("__id"))
+    rank = F.struct(*[F.col(c) for c in order_by], *[F.col(c).alias(f"__c{i}") for i, c in enumerate(plain)])
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    best = df.join(repeated, same, "left_semi").groupBy(F.col(id_col).alias("__id")).agg(F.min_by(row, rank).alias("__row"))
+    return df.join(repeated, same, "left_anti").unionByName(best.select("__row.*"))
 
 
 def convert_types(
     df: DataFrame,
-    date_cols: Sequence[str] = ("patent_date",),
+    date_cols: Sequence[str],
     period_col: str = "year",
     formats: Sequence[str] = DAY_FIRST,
 ) -> DataFrame:
@@ -76,9 +81,9 @@ def valid_periods(
 def clean_events(
     df: DataFrame,
     flags: Sequence[str],
-    id_col: str = "patent_id",
+    id_col: str,
     order_by: Sequence[str] = (),
-    date_cols: Sequence[str] = ("patent_date",),
+    date_cols: Sequence[str] = (),
     period_col: str = "year",
     formats: Sequence[str] = DAY_FIRST,
     low: int = MIN_YEAR,
@@ -128,7 +133,3 @@ def fill_missing(
     changes |= {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in texts}
     changes |= {c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0)) for c in numbers}
     return df.withColumns(changes) if changes else df
-
-
-def finite_columns(df: DataFrame, columns: Sequence[str], bound: float = 1e6) -> DataFrame:
-    return df.withColumns({c: finite(F.col(c), bound) for c in columns})

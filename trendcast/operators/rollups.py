@@ -75,11 +75,6 @@ def measure_means(
     return period_rollup(df, keys, period, measures=measures).select(*keys, period, *measures)
 
 
-def shares_from_counts(period_df: DataFrame, columns: Sequence[str], total: str, suffix: str = "_share") -> DataFrame:
-    """Shares of an existing wide period table, whose counts are already summed."""
-    return period_df.withColumns({f"{c}{suffix}": F.try_divide(F.col(c), F.col(total)) for c in columns})
-
-
 def top_values(counts: DataFrame, column: str, top_n: int, weight: str = "n") -> DataFrame:
     """The N heaviest values; a tie goes to the smaller value."""
     return (

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+import math
+import pickle
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trendcast.functions.arrays import first_arg_max
 from trendcast.functions.coerce import finite
@@ -20,13 +24,12 @@ from trendcast.operators.textvec import (
     TEXT_GRID, SvdModel, TfidfModel, add_terms, fit_svd, mean_vector, term_statistics, tfidf_from_statistics, top_terms,
 )
 
-# Candidate numbers of clusters, KMeans restarts, silhouette sample, value bound.
+# Candidate numbers of clusters, KMeans restarts, value bound.
 K_VALUES = (2, 3, 4, 5, 6)
 RESTARTS = 20
-SAMPLE_SIZE = 5000
 VALUE_BOUND = 1e6
-# Centres travel inside expressions; more clusters than this are refused.
-MAX_CENTRES = 10_000
+# Rows of a tile of the all-rows silhouette, and centres that one expression carries at a time.
+TILE_ROWS, CENTRE_BLOCK = 2048, 1000
 
 
 class Segmentation(NamedTuple):
@@ -85,138 +88,168 @@ def fit_kmeans(df: DataFrame, k: int, seeds: Sequence[int], features: str = "fea
 
 
 def silhouette_scores(
-    sample: DataFrame, vector: str, label_cols: Sequence[str], sample_size: int = SAMPLE_SIZE
+    df: DataFrame, vector: str, label_cols: Sequence[str], tile_rows: int = TILE_ROWS
 ) -> DataFrame:
-    """Mean Euclidean silhouette per label column, exact over a sample of bounded size.
+    """Mean Euclidean silhouette per label column, exact over all rows. A cluster of one row scores 0.
 
-    The sample (at most ``sample_size`` rows, checked) is broadcast; each task
-    scores its rows against it in one matrix product per block and emits one
-    number per row and labelling. A cluster of one row scores 0.
+    Rows are dealt to tiles of bounded size; each ordered pair of tiles is one
+    group, which gives one sum of distances per row of the first and cluster of
+    the second. The work is quadratic in the rows by definition; use
+    ``silhouette_squared`` where that is too much.
     """
-    spark = sample.sparkSession
-    local = sample.select(vector, *label_cols).limit(sample_size + 1).toPandas()
-    if len(local) > sample_size:
-        raise ValueError(f"silhouette needs a sample of at most {sample_size} rows")
-    points = np.array(local[vector].tolist(), dtype=float).reshape(len(local), -1)
-    labels = local[list(label_cols)].to_numpy()
-    shared = spark.sparkContext.broadcast((points, labels))
     names = list(label_cols)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        x_all, l_all = shared.value
-        square = (x_all * x_all).sum(axis=1)
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            rows = pdf["row"].to_numpy()
-            x = x_all[rows]
-            dist = np.sqrt(np.maximum(square[rows][:, None] - 2 * x @ x_all.T + square[None, :], 0.0))
-            dist[np.arange(len(rows)), rows] = 0.0
-            out = {}
-            for j, name in enumerate(names):
-                clusters, codes = np.unique(l_all[:, j], return_inverse=True)
-                onehot = np.eye(len(clusters))[codes]
-                sizes = onehot.sum(axis=0)
-                sums, own = dist @ onehot, codes[rows]
-                at = np.arange(len(rows))
-                a = sums[at, own] / np.maximum(sizes[own] - 1, 1)
-                others = sums / sizes
-                others[at, own] = np.inf
-                b = others.min(axis=1)
-                s = (b - a) / np.maximum(np.maximum(a, b), 1e-300)
-                out[name] = np.where((sizes[own] > 1) & np.isfinite(b), s, 0.0 if len(clusters) > 1 else np.nan)
-            yield pd.DataFrame(out)
-
-    blocks = max(1, min(len(local) // 250, spark.sparkContext.defaultParallelism))
-    per_row = spark.range(len(local), numPartitions=blocks).toDF("row").mapInPandas(
-        score, ", ".join(f"`{n}` double" for n in names))
-    means = per_row.agg(*[F.avg(F.nanvl(F.col(n), F.lit(None))).alias(n) for n in names])
-    return means.unpivot([], names, "labelling", "silhouette")
+    tiles = max(1, math.ceil(df.count() / tile_rows))
+    rows = df.select(
+        F.monotonically_increasing_id().alias("row"), F.col(vector).cast("array<double>").alias("x"),
+        F.array(*[F.col(c).cast("string") for c in names]).alias("labels"))
+    dealt = rows.withColumn("tile", F.pmod(F.xxhash64("row"), F.lit(tiles)))
+    packed = dealt.groupBy("tile").applyInPandas(_packed_tile, "tile long, body binary")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(tiles - 1).cast("long")))
+    roles = F.array(
+        F.struct(F.col("tile").alias("a"), F.col("other").alias("b"), F.lit(0).alias("side")),
+        F.struct(F.col("other").alias("a"), F.col("tile").alias("b"), F.lit(1).alias("side")))
+    pairs = packed.withColumn("other", other).select(F.explode(roles).alias("r"), "body").select("r.*", "body")
+    sums = pairs.groupBy("a", "b").applyInPandas(
+        _distance_sums, "row long, which int, own string, cluster string, total double, n long")
+    per_cluster = sums.groupBy("which", "row", "own", "cluster").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    mine = F.col("own").eqNullSafe(F.col("cluster"))
+    per_row = per_cluster.groupBy("which", "row").agg(
+        F.max(F.when(mine, F.col("n"))).alias("n"),
+        F.max(F.when(mine & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~mine, F.col("total") / F.col("n"))).alias("b"))
+    s = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    s = F.when(F.col("b").isNotNull(), F.when(F.col("n") > 1, s).otherwise(0.0))
+    means = per_row.groupBy("which").agg(F.avg(s).alias("silhouette"))
+    return means.select(F.element_at(F.lit(names), F.col("which") + 1).alias("labelling"), "silhouette")
+
+
+def _packed_tile(part: pd.DataFrame) -> pd.DataFrame:
+    body = pickle.dumps((part["row"].to_numpy(), np.array(part["x"].tolist(), dtype=float), [list(x) for x in part["labels"]]))
+    return pd.DataFrame({"tile": part["tile"].iloc[:1], "body": [body]})
+
+
+def _distance_sums(pair: pd.DataFrame) -> pd.DataFrame:
+    """Sums of distances from each row of one tile to each cluster of another, for every labelling."""
+    names = ["row", "which", "own", "cluster", "total", "n"]
+    if len(pair) < 2:  # a tile that no row was dealt to
+        return pd.DataFrame(columns=names).astype({"row": int, "which": int, "total": float, "n": int})
+    (rows, x, own), (_, y, theirs) = (pickle.loads(b) for b in pair.sort_values("side")["body"])
+    square = (x * x).sum(axis=1)[:, None] - 2 * x @ y.T + (y * y).sum(axis=1)[None, :]
+    dist = np.sqrt(np.maximum(square, 0.0))
+    if pair["a"].iloc[0] == pair["b"].iloc[0]:
+        np.fill_diagonal(dist, 0.0)
+    out = []
+    for which in range(len(own[0])):
+        labels = [t[which] for t in theirs]
+        clusters = list(dict.fromkeys(labels))
+        onehot = np.array([[c == t for c in clusters] for t in labels], dtype=float)
+        sums, sizes = dist @ onehot, onehot.sum(axis=0)
+        for j, cluster in enumerate(clusters):
+            out.append(pd.DataFrame({
+                "row": rows, "which": which, "own": [o[which] for o in own], "cluster": cluster,
+                "total": sums[:, j], "n": int(sizes[j])}))
+    return pd.concat(out)[names]
+
+
+def _cluster_sums(df: DataFrame, vector: str, label: str) -> DataFrame:
+    """(c, n, s, q) per cluster: rows, sum of vectors and sum of squared norms, combined on the map side."""
+    features = array_to_vector(F.col(vector).cast("array<double>"))
+    summary = df.select(F.col(label).alias("c"), features.alias("v")).groupBy("c").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), Summarizer.metrics("sum", "normL2").summary(F.col("v")).alias("m"))
+    squares = F.transform(vector_to_array("m.normL2"), lambda x: x * x)
+    return summary.select("c", "n", vector_to_array("m.sum").alias("s"),
+                          F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x).alias("q"))
+
+
+def _blocks(table: DataFrame, order: str, *fields: str) -> list[Column]:
+    """The rows of a per-cluster table as arrays of bounded length, each a scalar subquery."""
+    n = math.ceil(table.count() / CENTRE_BLOCK)
+    if n <= 1:
+        return [table.agg(F.collect_list(F.struct(*fields))).scalar()]
+    numbered = table.withColumn("__block", F.floor((F.row_number().over(Window.orderBy(order)) - 1) / CENTRE_BLOCK))
+    return [numbered.filter(F.col("__block") == i).agg(F.collect_list(F.struct(*fields))).scalar() for i in range(n)]
 
 
 def silhouette_squared(df: DataFrame, vector: str, label: str) -> DataFrame:
     """Silhouette with squared Euclidean distances over a whole table (one row: silhouette).
 
-    Squared distances split into per-cluster counts, vector sums and norm sums,
-    so the cost is one aggregate and one scan, however large the clusters are.
-    The number of clusters bounds what is held per row.
+    Squared distances split into per-cluster counts, vector sums and norm sums:
+    one aggregate and one scan, however large the clusters are. Clusters are
+    met in blocks, with a running minimum.
     """
     norm = F.aggregate(vector, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
-    rows = df.select(label, F.col(vector).alias("__v"), norm.alias("__q"))
-    cells = rows.select(label, F.posexplode("__v").alias("__i", "__x"))
-    sums = cells.groupBy(label, "__i").agg(F.sum(F.col("__x").cast("double")).alias("__s")).groupBy(label).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__i", "__s"))), lambda e: e["__s"]).alias("s"))
-    sizes = rows.groupBy(label).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("__q").alias("q"))
-    stats = _small_list(sums.join(sizes, label), F.col(label).alias("c"), F.col("n"), F.col("q"), F.col("s"))
+    stats = _cluster_sums(df, vector, label)
+    rows = df.select(F.col(label).alias("__c"), F.col(vector).alias("__v"), norm.alias("__q"))
+    own = stats.toDF("__c", "n_own", "__s", "__sq")
+    rows = rows.join(own, rows["__c"].eqNullSafe(own["__c"])).drop(own["__c"])
     product = lambda s: F.aggregate(
         F.zip_with("__v", s, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, x: acc + x)
     # Σ over y in C of |x − y|² = n|x|² − 2 x·Σy + Σ|y|²
-    total = lambda e: e["n"] * F.col("__q") - 2 * product(e["s"]) + e["q"]
-    scored = rows.withColumn("__stats", stats).select(
-        F.element_at(F.filter("__stats", lambda e: e["c"] == F.col(label)), 1)["n"].alias("n_own"),
-        F.element_at(F.transform(F.filter("__stats", lambda e: e["c"] == F.col(label)), total), 1).alias("own"),
-        F.array_min(F.transform(F.filter("__stats", lambda e: e["c"] != F.col(label)), lambda e: total(e) / e["n"])).alias("b"),
-    )
+    total = lambda n, s, q: n * F.col("__q") - 2 * product(s) + q
+    scored = rows.withColumn("own", total(F.col("n_own"), F.col("__s"), F.col("__sq"))).withColumn("b", F.lit(None).cast("double"))
+    for block in _blocks(stats, "c", "c", "n", "s", "q"):
+        others = F.filter("__block", lambda e: ~e["c"].eqNullSafe(F.col("__c")))
+        nearest = F.array_min(F.transform(others, lambda e: total(e["n"], e["s"], e["q"]) / e["n"]))
+        scored = scored.withColumn("__block", block).withColumn("b", F.least("b", nearest)).drop("__block")
     a = F.try_divide("own", F.col("n_own") - 1)
     s = F.when(F.col("n_own") > 1, F.coalesce(F.try_divide(F.col("b") - a, F.greatest(a, F.col("b"))), F.lit(0.0)))
     return scored.agg(F.avg(F.coalesce(s, F.lit(0.0))).alias("silhouette"))
 
 
-def _small_list(table: DataFrame, *fields: Column) -> Column:
-    """The rows of a per-cluster table as one array, with its size checked."""
-    entry = F.collect_list(F.struct(*fields))
-    refusal = F.raise_error(F.lit(f"more than {MAX_CENTRES} clusters"))
-    return table.agg(F.when(F.count(F.lit(1)) > MAX_CENTRES, refusal.cast("string")).isNull().alias("ok"), entry.alias("all")) \
-        .select(F.when(F.col("ok"), F.col("all"))).scalar()
-
-
 def centroids(df: DataFrame, vector: str, label: str) -> DataFrame:
     """Mean vector per label, as (label, centroid)."""
-    cells = df.select(label, F.posexplode(vector).alias("i", "x"))
-    means = cells.groupBy(label, "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return means.groupBy(label).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("centroid"))
+    features = array_to_vector(F.col(vector).cast("array<double>"))
+    return df.select(label, features.alias("v")).groupBy(label).agg(
+        vector_to_array(Summarizer.mean(F.col("v"))).alias("centroid"))
 
 
 def nearest_centroid(df: DataFrame, vector: str, centres: DataFrame, label: str, output: str = "nearest") -> DataFrame:
     """Assign each vector to its closest centre (squared Euclidean), ties to the smaller label.
 
-    There is one centre per cluster; their list is carried as a scalar into every row's expression.
+    Centres are met in blocks of bounded length, each carried as a scalar into
+    every row's expression, with a running minimum.
     """
-    table = _small_list(centres, F.col(label).alias("c"), F.col("centroid").alias("m"))
     distance = lambda m: F.aggregate(
         F.zip_with(vector, m, lambda a, b: (a.cast("double") - b) * (a.cast("double") - b)),
         F.lit(0.0), lambda acc, x: acc + x)
-    ranked = F.transform("__centres", lambda e: F.struct(distance(e["m"]).alias("d"), e["c"].alias("c")))
-    best = F.array_min(ranked)
-    return df.withColumn("__centres", table).withColumn("__best", best).select(
-        *df.columns, F.col("__best.c").alias(output), F.col("__best.d").alias("squared_distance"))
+    best = None
+    out = df
+    for block in _blocks(centres.select(F.col(label).alias("c"), F.col("centroid").alias("m")), "c", "c", "m"):
+        ranked = F.transform("__block", lambda e: F.struct(distance(e["m"]).alias("d"), e["c"].alias("c")))
+        nearest = F.array_min(ranked)
+        out = out.withColumn("__block", block).withColumn(
+            "__best", nearest if best is None else F.least("__best", nearest)).drop("__block")
+        best = F.col("__best")
+    return out.select(*df.columns, F.col("__best.c").alias(output), F.col("__best.d").alias("squared_distance"))
 
 
 def choose_k(
     df: DataFrame,
     vector: str,
-    id_col: str,
     k_values: Sequence[int] = K_VALUES,
     restarts: int = RESTARTS,
-    sample_size: int = SAMPLE_SIZE,
     seed: int = 42,
     threads: int = 4,
 ) -> DataFrame:
-    """Silhouette (rounded to 4 places) for each candidate k, best first, smaller k on ties."""
-    sample = stable_sample(df.select(id_col, vector), id_col, sample_size, seed)
-    sample = sample.withColumn("features", array_to_vector(vector)).persist()
+    """Squared Euclidean silhouette (rounded to 4 places) for each candidate k, best first, smaller k on ties.
+
+    Every k is fitted on all rows and scored over all rows.
+    """
+    features = df.select(array_to_vector(vector).alias("features")).persist()
     seeds = range(seed, seed + restarts)
-    models = in_parallel(lambda k: fit_kmeans(sample, k, seeds, threads=2), k_values, threads)
-    labelled = sample
-    for k, model in zip(k_values, models):
-        labelled = model.setPredictionCol(f"k{k}").transform(labelled)
-    scores = silhouette_scores(labelled.drop("features"), vector, [f"k{k}" for k in k_values], sample_size)
-    sample.unpersist()
-    return scores.select(
-        F.substring_index("labelling", "k", -1).cast("int").alias("k"),
-        F.round("silhouette", 4).alias("silhouette_score"),
-    ).orderBy(F.desc_nulls_last("silhouette_score"), "k")
+    judge = ClusteringEvaluator(predictionCol="cluster", featuresCol="features", metricName="silhouette")
+
+    def score(k: int) -> tuple[int, float | None]:
+        labelled = fit_kmeans(features, k, seeds, threads=2).transform(features)
+        if labelled.select("cluster").distinct().limit(2).count() < 2:
+            return k, None
+        return k, judge.evaluate(labelled)
+
+    scores = in_parallel(score, k_values, threads)
+    features.unpersist()
+    table = df.sparkSession.createDataFrame(scores, "k int, silhouette_score double")
+    return table.withColumn("silhouette_score", F.round("silhouette_score", 4)).orderBy(
+        F.desc_nulls_last("silhouette_score"), "k")
 
 
 def segment_balance(df: DataFrame, cluster: str, scheme: str | None = None) -> DataFrame:
@@ -260,7 +293,7 @@ def segment_profile(
         *[F.avg(F.col(c).cast("double")).alias(f"__f_{c}") for c in dict.fromkeys([*flags, *types])],
         *[c.alias(name) for name, c in extra.items()],
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     dominant = []
     if flags:
         dominant.append(first_arg_max({c: F.col(f"__f_{c}") for c in flags}).alias("dominant_flag"))
@@ -273,11 +306,10 @@ def segment_profile(
 
 
 def _select_and_fit(
-    train: DataFrame, vector: str, id_col: str, k_values: Sequence[int], restarts: int, sample_size: int,
-    seed: int, threads: int, selection: DataFrame | None = None,
+    train: DataFrame, vector: str, k_values: Sequence[int], restarts: int, seed: int, threads: int,
+    selection: list | None = None,
 ) -> tuple[list, KMeansModel]:
-    rows = choose_k(train, vector, id_col, k_values, restarts, sample_size, seed, threads).collect() \
-        if selection is None else selection
+    rows = choose_k(train, vector, k_values, restarts, seed, threads).collect() if selection is None else selection
     features = train.select(array_to_vector(vector).alias("features")).persist()
     model = fit_kmeans(features, rows[0]["k"], range(seed, seed + restarts), threads=threads)
     features.unpersist()
@@ -291,7 +323,6 @@ def numeric_segmentation(
     id_col: str,
     k_values: Sequence[int] = K_VALUES,
     restarts: int = RESTARTS,
-    sample_size: int = SAMPLE_SIZE,
     seed: int = 42,
     period: str = "year",
     means: Mapping[str, tuple[str, int]] | None = None,
@@ -303,7 +334,7 @@ def numeric_segmentation(
     """Scale and cluster the training rows, then assign every row with the frozen model."""
     scaler = fit_scaler(train, columns)
     scaled = scaler.transform(train.select(id_col, *columns)).select(id_col, "scaled")
-    rows, model = _select_and_fit(scaled, "scaled", id_col, k_values, restarts, sample_size, seed, threads)
+    rows, model = _select_and_fit(scaled, "scaled", k_values, restarts, seed, threads)
     vectors = scaler.transform(full).withColumn("__features", array_to_vector("scaled"))
     assigned = model.setFeaturesCol("__features").setPredictionCol(cluster).transform(vectors).drop("__features", "scaled")
     fit_end = train.agg(F.max(period)).first()[0]
@@ -325,7 +356,6 @@ def text_segmentation(
     grid: Sequence[Mapping[str, int]] = TEXT_GRID,
     k_values: Sequence[int] = K_VALUES,
     restarts: int = RESTARTS,
-    sample_size: int = SAMPLE_SIZE,
     seed: int = 42,
     period: str = "year",
     means: Mapping[str, tuple[str, int]] | None = None,
@@ -345,9 +375,6 @@ def text_segmentation(
     floor = min(option["min_df"] for option in grid)
     stats = term_statistics(terms).filter(F.col("df") >= floor).persist()
     n_documents = train.count()
-    # Only the ids are ranked; the texts of the sample are then picked where they lie.
-    ids = stable_sample(train.select(id_col), id_col, sample_size, seed)
-    sample = terms.join(F.broadcast(ids), id_col, "left_semi").persist()
     best: tuple[float, dict, TfidfModel, SvdModel, list] | None = None
     tried = []
     for option in grid:
@@ -356,8 +383,8 @@ def text_segmentation(
             continue
         size = max(2, min(option["svd_components"], len(tfidf.vocabulary) - 1))
         svd = fit_svd(tfidf.transform(terms), size, len(tfidf.vocabulary))
-        reduced = _reduce(tfidf.transform(sample), svd)
-        rows = choose_k(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads).collect()
+        reduced = _reduce(tfidf.transform(terms), svd)
+        rows = choose_k(reduced, "reduced", k_values, restarts, seed, threads).collect()
         variance = round(svd.explained_variance, 4)
         score = rows[0]["silhouette_score"]
         score = -1.0 if score is None else score
@@ -372,8 +399,7 @@ def text_segmentation(
         raise ValueError("no vector option leaves two or more terms")
     _, settings, tfidf, svd, rows = best
     reduced = _reduce(tfidf.transform(terms), svd).select(id_col, "reduced")
-    _, model = _select_and_fit(reduced, "reduced", id_col, k_values, restarts, sample_size, seed, threads, rows)
-    sample.unpersist()
+    _, model = _select_and_fit(reduced, "reduced", k_values, restarts, seed, threads, rows)
     stats.unpersist()
 
     vectors = _reduce(tfidf.transform(add_terms(full, text_col, stop_words)), svd)

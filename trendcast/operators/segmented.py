@@ -16,8 +16,6 @@ from trendcast.operators.recursive import fold_forecast, forecast_linear, foreca
 
 TOTAL_LABEL = "aggregated_total"
 TREE_FITS = ("per_segment", "pooled")
-# One driver-side fit per segment and split is refused beyond this; pooled fits have no such limit.
-MAX_FITTED_SEGMENTS = 500
 
 
 class SegmentedForecast(NamedTuple):
@@ -88,9 +86,7 @@ def _tree_fit(
     if tree_fit == "pooled":
         scopes = [None]
     else:
-        scopes = [tuple(r) for r in start.select(*keys).limit(MAX_FITTED_SEGMENTS + 1).collect()]
-        if len(scopes) > MAX_FITTED_SEGMENTS:
-            raise ValueError(f"more than {MAX_FITTED_SEGMENTS} segments: use tree_fit='pooled'")
+        scopes = [tuple(r) for r in start.select(*keys).toLocalIterator()]
 
     def only(df: DataFrame, scope: tuple | None) -> DataFrame:
         for key, value in zip(keys, scope or ()):

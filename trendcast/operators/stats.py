@@ -2,42 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from trendcast.functions.labels import feature_group
+from trendcast.functions.labels import FEATURE_GROUPS, feature_group
 from trendcast.functions.statistics import safe_corr
 from trendcast.operators.cleaning import present
 
 
 def flag_correlation(df: DataFrame, flags: Sequence[str]) -> DataFrame:
-    """Pearson matrix of 0/1 flags in long form (feature_a, feature_b, r), over rows where both are present.
+    """Pearson matrix of flags in long form (feature_a, feature_b, r), over rows where both are present.
 
-    Rows with the same flags are counted first, so the pairs are formed on at
-    most 3^k combinations (0, 1, missing) and not on the events.
+    One aggregate takes the correlation of every pair of the upper triangle,
+    with nulls of either side left out; the one row of results is then mirrored.
+    A constant flag has no correlation.
     """
     flags = present(df, flags)
-    combinations = df.groupBy(*flags).agg(F.count(F.lit(1)).cast("double").alias("__w"))
-    cells = F.array(*[
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a in flags for b in flags
-    ])
-    w, x, y = F.col("__w"), F.col("x"), F.col("y")
-    mean = lambda c: F.sum(w * c) / F.sum(w)
-    return (
-        combinations.select("__w", F.inline(cells))
-        .filter(x.isNotNull() & y.isNotNull())
-        .groupBy("feature_a", "feature_b")
-        .agg(mean(x).alias("mx"), mean(y).alias("my"), mean(x * x).alias("xx"), mean(y * y).alias("yy"), mean(x * y).alias("xy"))
-        .select("feature_a", "feature_b", F.try_divide(
-            F.expr("xy - mx * my"), F.sqrt(F.expr("xx - mx * mx")) * F.sqrt(F.expr("yy - my * my"))).alias("r"))
-    )
+    pairs = [(i, j) for i in range(len(flags)) for j in range(i, len(flags))]
+    values = [F.col(c).cast("double") for c in flags]
+    cells = df.agg(*[safe_corr(values[i], values[j]).alias(f"r{i}_{j}") for i, j in pairs])
+    rows = F.array(*[
+        F.struct(F.lit(flags[a]).alias("feature_a"), F.lit(flags[b]).alias("feature_b"), F.col(f"r{min(a, b)}_{max(a, b)}").alias("r"))
+        for a in range(len(flags)) for b in range(len(flags))])
+    return cells.select(F.inline(rows))
 
 
 def feature_evidence(
-    period_df: DataFrame, features: Sequence[str], target: str = "n", digits: int = 4
+    period_df: DataFrame, features: Sequence[str], target: str = "n", digits: int = 4,
+    groups: Mapping[str, str] = FEATURE_GROUPS,
 ) -> DataFrame:
     """Missing count, mean, sample deviation and correlation with the target per feature.
 
@@ -57,7 +50,7 @@ def feature_evidence(
             safe_corr(F.col("x"), F.col("__y")).alias("__r"),
         )
         .select(
-            "feature", feature_group(F.col("feature")).alias("feature_group"), "missing_count", "mean", "std",
+            "feature", feature_group(F.col("feature"), groups).alias("feature_group"), "missing_count", "mean", "std",
             r.alias("correlation_with_target"), F.abs(r).alias("abs_correlation_with_target"))
         .orderBy(F.desc_nulls_last("abs_correlation_with_target"), "feature")
     )

@@ -16,7 +16,7 @@ from trendcast.plans.bindings import (
     FLAGS, HORIZON, STOP_WORDS, TRAIN_END, TYPES, VAL_END, WINDOWS, document_features, hourly_events, nation_orders,
     order_events, raw_orders, table,
 )
-from trendcast.sources.tables import parse_parameters, spread_scan
+from trendcast.sources.tables import parse_parameters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,7 +424,7 @@ def forest_backtest(spark, d):
 @query
 def boosting_backtest(spark, d):
     rows, names = _tree_rows(spark, d)
-    return backtest.rolling_backtest(models.BOOSTING, rows, names, WINDOWS[:2], params=SMALL_BOOSTING, clip=True)
+    return backtest.rolling_backtest(models.BOOSTING, rows, names, WINDOWS, params=SMALL_BOOSTING, clip=True)
 
 
 @query
@@ -439,14 +439,14 @@ def pooled_forest_backtest(spark, d):
 def tuning_table(spark, d):
     rows, names = _tree_rows(spark, d)
     grid = splits.parameter_grid({"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1]})
-    return backtest.tune(models.FOREST, rows, names, WINDOWS[:2], grid, clip=True)
+    return backtest.tune(models.FOREST, rows, names, WINDOWS, grid, clip=True)
 
 
 @query
 def ablation_table(spark, d):
     t = _orders_table(spark, d).persist()
     return backtest.ablation_table(
-        t, features.ablation_sets(t.columns, FLAGS), WINDOWS[:2], TRAIN_END, VAL_END,
+        t, features.ablation_sets(t.columns, FLAGS), WINDOWS, TRAIN_END, VAL_END,
         params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}, clip=True)
 
 
@@ -493,7 +493,7 @@ def segmented_forest(spark, d):
 # --- text vectors and segmentation ----------------------------------------------------------------
 
 def _terms(spark, d):
-    docs = spread_scan(table(spark, d, "documents").select("doc_id", "lang", "text"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
     return textvec.add_terms(docs, "text", STOP_WORDS)
 
 
@@ -535,9 +535,8 @@ def _embeddings(spark, d):
 
 @query
 def silhouette_labels(spark, d):
-    """Euclidean silhouette of the given labels on the bounded sample that scoring uses."""
-    sample = segment.stable_sample(_embeddings(spark, d), "vec_id", segment.SAMPLE_SIZE)
-    scores = segment.silhouette_scores(sample, "embedding", ["label"])
+    """Euclidean silhouette of the given labels over all rows."""
+    scores = segment.silhouette_scores(_embeddings(spark, d), "embedding", ["label"])
     return scores.select(F.round("silhouette", 6).alias("silhouette"))
 
 
@@ -598,7 +597,7 @@ def _numeric(spark, d):
     half = F.col("doc_id") <= docs.agg(F.max("doc_id") / 2).scalar()
     return segment.numeric_segmentation(
         docs.filter(half), docs, ["len_chars", "len_words", "kw_number", "kw_acronym", "kw_address", "is_english"],
-        "doc_id", k_values=(2, 3, 4), restarts=2, period="doc_id", means=MEASURES,
+        "doc_id", restarts=2, period="doc_id", means=MEASURES,
         flags=["kw_number", "kw_acronym", "kw_address"], types=["is_english", "is_other_lang"])
 
 
@@ -618,7 +617,7 @@ def _text(spark, d):
     half = F.col("doc_id") <= docs.agg(F.max("doc_id") / 2).scalar()
     grid = ({"min_df": 3, "max_features": 300, "svd_components": 10}, {"min_df": 5, "max_features": 500, "svd_components": 15})
     return segment.text_segmentation(
-        docs.filter(half), docs, "text", "doc_id", grid, k_values=(2, 3, 4), restarts=2, period="doc_id",
+        docs.filter(half), docs, "text", "doc_id", grid, restarts=2, period="doc_id",
         means=MEASURES, flags=["kw_number", "kw_acronym"], types=["is_english", "is_other_lang"], stop_words=STOP_WORDS)
 
 
@@ -636,7 +635,7 @@ def text_sensitivity(spark, d):
 def k_selection(spark, d):
     """Silhouette per candidate k over the embeddings."""
     vectors = _embeddings(spark, d).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return segment.choose_k(vectors, "v", "vec_id", k_values=(2, 3, 5, 10), restarts=2)
+    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10), restarts=2)
 
 
 @query

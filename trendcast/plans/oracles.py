@@ -104,7 +104,7 @@ _PERIODS = f"""{EV}, p AS (SELECT period, count(*) AS n, {_SHARES}, {_TYPE_SHARE
 
 
 def _group(name: str) -> str:
-    return "keyword_share" if name.startswith("kw_") else "type_share" if name.startswith("is_") else "other"
+    return "keyword_share" if name.startswith("kw_") else "patent_type_share" if name.startswith("is_") else "other"
 
 
 _EVIDENCE = " UNION ALL ".join(

@@ -1,9 +1,7 @@
 from trendcast.sources.tables import (
-    EVENT_SCHEMA, read_events, read_hyperparameters, read_period_table, spread_scan, write_events,
-    write_table,
+    read_events, read_hyperparameters, write_events, write_table,
 )
 
 __all__ = [
-    "EVENT_SCHEMA", "read_events", "read_hyperparameters", "read_period_table", "spread_scan",
-    "write_events", "write_table",
+    "read_events", "read_hyperparameters", "write_events", "write_table",
 ]

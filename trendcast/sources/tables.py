@@ -6,45 +6,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from trendcast.functions.coerce import to_number
-
-# The columns of a fully equipped event table.
-EVENT_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in ("patent_id", "patent_type", "patent_title", "tech_era")]
-    + [T.StructField("patent_date", T.StringType())]
-    + [T.StructField(c, T.IntegerType()) for c in (
-        "year", "quarter", "month", "day_of_week", "day_of_year", "quarter_end",
-        "title_len_chars", "title_len_words", "title_has_number", "title_has_acronym")]
-    + [T.StructField("keyword_score", T.DoubleType())]
-    + [T.StructField(c, T.IntegerType()) for c in (
-        "kw_5g", "kw_ai_ml", "kw_cloud_edge", "kw_security", "kw_iot", "kw_network",
-        "kw_energy", "kw_antenna", "kw_data", "is_utility", "is_design", "is_other_type")]
-)
-
-
 def read_events(
     spark: SparkSession,
     path: str,
     fmt: str | None = None,
     schema: T.StructType | str | None = None,
     row_order: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan an event table from CSV (with header) or Parquet.
 
     Without a schema, CSV columns arrive as text: no extra pass over the file is
     spent on guessing types, and the cleaning step coerces what it needs by
-    name. With ``schema`` the header must list the columns in schema order.
+    name. With ``schema``, columns are taken by name, in any order of the
+    header, and cast; a column that the header lacks is an error. Quoted values
+    may hold line breaks with ``multi_line``, at the price of one task a file.
     ``row_order`` adds ``file_path`` and ``file_row``, which sort like the rows
     of the files; cleaning uses them to keep the first of several duplicates.
     """
     fmt = fmt or ("csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet")
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     if fmt == "csv":
-        df = reader.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+        df = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line).csv(path)
     elif fmt == "parquet":
-        df = reader.parquet(path)
+        df = spark.read.parquet(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}; use csv or parquet")
     if row_order:
@@ -55,18 +39,13 @@ def read_events(
             "file_path": F.col("_metadata.file_path"),
             "file_row": F.struct(F.col("_metadata.file_block_start").alias("block"), row.alias("row")),
         })
+    if schema is not None:
+        wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+        kept = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in wanted.fields]
+        df = df.select(*kept, *(["file_path", "file_row"] if row_order else []))
     return df
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cores if its files give fewer tasks, ahead of costly per-row work.
-
-    An input large enough to keep every core busy passes through unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> None:
     """Overwrite ``path``. ``single_file`` is for report tables only."""
     out = df.coalesce(1) if single_file else df
@@ -88,15 +67,6 @@ def write_events(df: DataFrame, path: str, partition_by: str = "year") -> None:
     df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
-def read_period_table(spark: SparkSession, path: str, period: str = "year") -> DataFrame:
-    """Read a wide CSV report back: the period as int, every other column as a number."""
-    df = spark.read.option("header", True).csv(path)
-    return df.select(
-        F.col(period).cast("int").alias(period),
-        *[to_number(F.col(c)).alias(c) for c in df.columns if c != period],
-    )
-
-
 def parse_parameters(col: Column) -> Column:
     """JSON text to a name → number map; unreadable or missing text gives an empty map."""
     empty = F.create_map().cast("map<string,double>")
