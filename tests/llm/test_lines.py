@@ -57,6 +57,18 @@ def test_equals_brute_force(spark, seed, n, family):
     assert set(docs.columns) <= set(got[0].asDict())
 
 
+def test_long_lines_on_both_sides_of_the_levels(spark):
+    rng = random.Random(9)
+    rows = []
+    for n in (11, 12, 14, 15, 16, 58, 62, 75, 200, 238, 250, 300, 950, 970, 1200):
+        base = [f"v{rng.randrange(5000)}" for _ in range(n)]
+        for share in (0.0, 0.05, 0.09, 0.11, 0.2):
+            line = [w if rng.random() >= share else f"y{rng.randrange(10**6)}" for w in base]
+            rows.append((len(rows), " ".join(line[: max(1, int(len(line) * rng.choice([1, 0.85])))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.text for r in lines.dedup_lines(docs).collect()} == brute(rows)
+
+
 def test_repeated_ids_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c\nd e f"), (1, "a b c\nd e f"), (1, "x y z\na b c"), (None, "a b c"), (2, "d e f g h\nD E F")],
                                  "doc_id long, text string")

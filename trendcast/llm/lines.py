@@ -6,14 +6,16 @@ place, has a Jaccard similarity of at least ``threshold`` with it; the earliest
 1. Words are ordered by rarity. The order comes from counts of all words in 2^14 hash buckets, a table of fixed size
    that travels inside the expressions; any fixed order gives right results, a good one gives few candidates.
 2. Equal sets collapse to their earliest line by one aggregate.
-3. Each remaining line is sent out under its rarest words, as many as its prefix for the threshold. Words of heavy
-   buckets are spread over several tasks, in proportion.
-4. In each group, a line meets the ``NEAREST`` lines before it. That is the whole group in most cases, and in a family
-   of near copies almost all lines find their match there. The work follows the number of rows.
-5. Of larger groups, lines without a match meet some of the earliest lines, and what then has none all earlier ones.
-
-Candidates pass the length, positional and parity filters, none of which loses a match, and are then verified on
-their whole word sets, read again from the documents concerned only.
+3. Prefix filter. Similar lines share a word among the first size - ceil(t * size) + 1, and k words among the first
+   size - ceil(t * size) + k. Short lines are sent out under each word of the shorter prefix. A word alone selects too
+   little in longer lines: with words dealt to m classes and k = m + 1, two shared words are of one class, so these
+   lines are sent out under each pair of words of one class in the longer prefix, about 0.45 keys a word.
+4. In each group, a line meets the ``NEAREST`` lines before it: in most cases the whole group, and in a family of near
+   copies almost all lines find their match there. The work follows the number of rows.
+5. Of larger groups, lines without a match meet some centres, and what then has none all lines of its groups.
+
+Candidates pass the length and positional filters and a sketch of the words that they do not share, none of which
+loses a match. They are then verified on their whole word sets, read again from the documents concerned only.
 """
 
 from __future__ import annotations
@@ -30,6 +32,9 @@ NEAREST, CENTRES = 8, 16
 # Keys of lines or documents (two numbers each) are broadcast up to so many rows; more are joined by a shuffle.
 BROADCAST_ROWS = 800_000
 KEY = ["doc_id", "place"]
+# Sizes from and below which lines are keyed by pairs, and their number of classes. Lines up to 1 / threshold times
+# the upper end have these keys too, so that partners on both sides of a limit meet.
+LEVELS = ((12, 60, 8), (60, 240, 24), (240, 960, 96), (960, 1 << 30, 384))
 
 
 def _words(line: Column) -> Column:
@@ -45,30 +50,15 @@ def _bucket(h: Column) -> Column:
     return h.bitwiseAND(F.lit(BUCKETS - 1))
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, place, line): ``place`` orders the lines of an id; it holds the line's number, then bits of a hash of
-    the text, so that different texts under one id keep apart. Rows with the same id and text count as one document."""
-    text = text_or_empty(docs)
-    digest = F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF))
-    rows = docs.select("doc_id", digest.alias("digest"), F.posexplode(F.split(text, "\n", -1)).alias("no", "line"))
-    return rows.select("doc_id", (F.shiftleft(F.col("no").cast("long"), 31) + F.col("digest")).alias("place"), "line")
-
-
-def rarity(docs: DataFrame) -> tuple[Column, Column]:
-    """For each word bucket a class of frequency from 0, rare, to 15, and into how many tasks its lines are spread.
-    Arrays of fixed size, from all words of all documents."""
+def rarity(docs: DataFrame) -> Column:
+    """For each word bucket a class of frequency from 0, rare, to 15: an array of fixed size, from all words of all
+    documents."""
     counts = docs.select(F.explode(_hashes(_words(text_or_empty(docs)))).alias("h")).groupBy(
         _bucket(F.col("h")).cast("int").alias("bucket")).count().collect()  # at most one row a bucket
     known = {r["bucket"]: r["count"] for r in counts}
     usual = max(1, sum(known.values()) / BUCKETS)
     classes = [min(15, max(0, math.ceil(2 * math.log2(max(1, known.get(b, 0)) / usual)))) for b in range(BUCKETS)]
-    heavy = max(20_000, 4 * usual)
-    spread = [math.ceil(max(1, known.get(b, 0)) / heavy) for b in range(BUCKETS)]
-
-    def table(numbers):
-        return F.split(F.lit(",".join(map(str, numbers))), ",").cast("array<int>")
-
-    return table(classes), table(spread)
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
 
 
 def token_set(line: Column, classes: Column) -> Column:
@@ -84,105 +74,140 @@ def token_set(line: Column, classes: Column) -> Column:
     return F.sort_array(F.array_distinct(F.zip_with(words, _hashes(words), number)))
 
 
-def _earlier(a: str, b: str) -> Column:
-    return (F.col(f"{a}.doc_id") < F.col(f"{b}.doc_id")) | (
-        F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.place") < F.col(f"{b}.place"))) | (
-        F.col(f"{a}.doc_id").isNull() & F.col(f"{b}.doc_id").isNotNull())
+def _spare(size: Column, threshold: float) -> Column:
+    """How many words of a line a similar line may lack."""
+    return size - F.ceil(F.lit(threshold) * size - 1e-6)
+
+
+def _keys(threshold: float) -> Column:
+    """Keys of a line with columns ``size`` and ``prefix``, as structs of key and place of its first word."""
+    size, prefix, spare = F.col("size"), F.col("prefix"), _spare(F.col("size"), threshold)
+    none = F.array().cast("array<struct<key:bigint,at:int>>")
+
+    def key(at, *words):
+        return F.struct(F.xxhash64(*words).alias("key"), at.alias("at"))
+
+    first = F.slice(prefix, F.lit(1), (spare + 1).cast("int"))
+    parts = [F.when(size < LEVELS[0][0] / threshold, F.transform(first, lambda x, i: key(i, x))).otherwise(none)]
+    for low, high, classes in LEVELS:
+        m = F.lit(classes)
+        longer = F.slice(prefix, F.lit(1), (spare + classes + 1).cast("int"))
+
+        parts.append(F.when((size >= low) & (size < high / threshold), _pairs(longer, m, key)).otherwise(none))
+    return F.concat(*parts)
+
+
+def _pairs(words: Column, classes: Column, key) -> Column:
+    def after(x, i):
+        alike = F.filter(F.slice(words, i + 2, F.size(words)), lambda y: y % classes == x % classes)
+        return F.transform(alike, lambda y: key(i, classes, x, y))
+
+    return F.flatten(F.transform(words, after))
 
 
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """False only if the lines cannot be as similar as asked for: length, positional and parity filter."""
+    """Length and positional filter: false only if the lines cannot be as similar as asked for."""
     sa, sb, ia, ib = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (a, b))
     least = F.ceil(F.lit(threshold / (1 + threshold)) * (sa + sb) - 1e-6)
     overlap = F.least(ia, ib) + 1 + F.least(sa - ia - 1, sb - ib - 1)
-    differ = F.bit_count(F.col(f"{a}.bits").bitwiseXOR(F.col(f"{b}.bits")))
-    return (sa >= threshold * sb - 1e-6) & (sb >= threshold * sa - 1e-6) & (overlap >= least) & (
-        (sa + sb - differ) >= 2 * least)
-
-
-def _fetched(docs: DataFrame, keys: DataFrame, classes: Column) -> DataFrame:
-    """(doc_id, place, tokens) of the lines in ``keys``, from the documents that hold them."""
-    ids = keys.select("doc_id").distinct()
-    n = ids.count()
-    small = F.broadcast(ids) if n <= BROADCAST_ROWS else ids
-    some = docs.alias("d").join(small.alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
-    lines = lines_of(some.select("doc_id", "text"))
-    wanted = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-    found = lines.alias("l").join(wanted.alias("k"), F.col("l.doc_id").eqNullSafe(F.col("k.doc_id")) & (
-        F.col("l.place") == F.col("k.place")), "left_semi").distinct()
-    return found.select(*KEY, token_set(F.col("line"), classes).alias("tokens"))
-
-
-def _similar(docs: DataFrame, pairs: DataFrame, classes: Column, threshold: float) -> DataFrame:
-    """The later lines (doc_id, place) of those ``pairs`` (a, b: structs of a key, a earlier) that are similar."""
-    pairs = written(pairs.distinct(), "line-pairs")
-    keys = written(pairs.select(F.explode(F.array("a", "b")).alias("k")).select("k.*").distinct(), "line-keys")
-    sets = written(_fetched(docs, keys, classes), "line-sets").select(F.struct(*KEY).alias("k"), "tokens")
+    return (sa >= threshold * sb - 1e-6) & (sb >= threshold * sa - 1e-6) & (overlap >= least)
+
+
+def _small(table: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it is small enough."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def _similar(docs: DataFrame, lines: DataFrame, pairs: DataFrame, classes: Column, threshold: float) -> DataFrame:
+    """The later ``line`` of those ``pairs`` (a, b: lines) that are similar, with its key."""
+    some = _small(written(pairs.distinct(), "line-candidates"))
+    sketch = lines.select("line", "size", "bits")
+    some = some.join(sketch.toDF("a", "sa", "xa"), "a").join(sketch.toDF("b", "sb", "xb"), "b")
+    # Each word that only one line has flips one bit of its sketch.
+    differ = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb")))
+    union = F.col("sa") + F.col("sb")
+    pairs = written(some.where(union - differ >= 2 * F.ceil(F.lit(threshold / (1 + threshold)) * union - 1e-6)).select(
+        "a", "b"), "line-pairs")
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line-numbers")
+    keys = written(lines.select("line", *KEY).join(_small(wanted), "line", "left_semi"), "line-keys")
+    ids = written(keys.select("doc_id").distinct(), "line-documents")
+    some = docs.alias("d").join(_small(ids).alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
+    sets = _line_sets(some.select("doc_id", "text"), classes).alias("l").join(
+        _small(keys).alias("k"), F.col("l.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("l.place") == F.col("k.place")))
+    sets = written(sets.select("k.line", F.struct("k.doc_id", "k.place").alias("key"), "l.tokens").dropDuplicates(
+        ["line"]), "line-sets")
     both = F.size(F.array_intersect("ta", "tb"))
-    similar = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b").where(
+    # Rows that repeat an id and a text have lines with equal keys, which are one line.
+    similar = pairs.join(sets.toDF("a", "ka", "ta"), "a").join(sets.toDF("b", "kb", "tb"), "b").where("ka != kb").where(
         both / (F.size("ta") + F.size("tb") - both) >= F.lit(threshold))
-    return written(similar.select("b.*").distinct(), "line-matches")
+    later = F.when(F.col("ka") < F.col("kb"), F.struct(F.col("b").alias("line"), F.col("kb").alias("key"))).otherwise(
+        F.struct(F.col("a").alias("line"), F.col("ka").alias("key")))
+    return written(similar.select(later.alias("x")).select("x.line", "x.key.*").distinct(), "line-matches")
 
 
-def _without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows whose line is not among ``keys``, a written table."""
-    small = F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
-    return rows.alias("r").join(small.alias("m"), F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")) & (
-        F.col("r.place") == F.col("m.place")), "left_anti")
+def _line_sets(docs: DataFrame, classes: Column) -> DataFrame:
+    """(doc_id, place, tokens) of every line. ``place`` orders the lines of an id; it holds the line's number, then bits
+    of a hash of the text, so that different texts under one id keep apart. Rows with the same id and text count as one
+    document. The sets are worked out inside the generator, once."""
+    text = text_or_empty(docs)
+    digest = F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF))
+    sets = F.transform(F.split(text, "\n", -1), lambda line: token_set(line, classes))
+    rows = docs.select("doc_id", digest.alias("digest"), F.posexplode(sets).alias("no", "tokens"))
+    return rows.select("doc_id", (F.shiftleft(F.col("no").cast("long"), 31) + F.col("digest")).alias("place"), "tokens")
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
     """(doc_id, place) of the lines that have a similar earlier line. Lines of fewer than ``min_words`` different
-    words, and so empty ones, are never among them."""
+    words, and so empty ones, are never among them. The threshold may be from 0.75 to 1."""
+    if not 0.75 <= threshold <= 1:
+        raise ValueError("the keys hold for thresholds from 0.75 to 1")
     docs = docs.select("doc_id", text_or_empty(docs).alias("text"))
-    classes, spread = rarity(docs)
-    tokens = F.col("tokens")
-    one = F.lit(1).cast("long")
-    bits = F.aggregate(tokens, F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(
-        F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
-    length = F.size(tokens) - F.ceil(threshold * F.size(tokens) - 1e-6) + 1
-    sets = lines_of(docs).select(*KEY, token_set(F.col("line"), classes).alias("tokens"))
-    narrow = written(sets.where(F.size("tokens") >= F.lit(max(1, min_words))).select(
-        *KEY, F.xxhash64(tokens).alias("set_id"), F.size(tokens).alias("size"), bits.alias("bits"),
-        F.slice(tokens, F.lit(1), length.cast("int")).alias("prefix")), "lines")
+    classes = rarity(docs)
+    size = F.size("tokens")
+    more = F.lit(0)
+    for low, _, m in LEVELS:
+        more = F.when(size >= low, m).otherwise(more)
+    prefix = F.slice("tokens", F.lit(1), (_spare(size, threshold) + more + 1).cast("int"))
+    narrow = written(_line_sets(docs, classes).where(size >= max(1, min_words)).select(
+        *KEY, F.monotonically_increasing_id().alias("line"), F.xxhash64("tokens").alias("set_id"), size.alias("size"),
+        F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))).alias("bits"),
+        F.transform(prefix, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix")), "lines")
 
     # Of equal sets the earliest line goes on.
     key = F.struct(*KEY)
-    heads = narrow.groupBy("set_id", "size").agg(F.min(key).alias("key"), F.count("*").alias("n")).where("n > 1")
-    copies = written(narrow.select("set_id", "size", *KEY).join(heads.drop("n"), ["set_id", "size"]).where(
-        key != F.col("key")).select(*KEY), "line-copies")
-    firsts = _without(narrow, copies)
-
-    rows = firsts.select(*KEY, "size", "bits", F.posexplode("prefix").alias("at", "token"))
-    rows = rows.withColumn("tasks", F.element_at(spread, (F.pmod("token", F.lit(BUCKETS)) + 1).cast("int"))).withColumn(
-        "part", F.when(F.col("tasks") > 1, F.pmod(F.xxhash64(*KEY), F.col("tasks"))).otherwise(F.lit(0)))
-    group = Window.partitionBy("token", "part")
-    line = F.struct(*KEY, "size", "at", "bits")
-    met = rows.withColumn("before", F.collect_list(line).over(group.orderBy(*KEY).rowsBetween(-NEAREST, -1))).withColumn(
-        "crowded", (F.count("*").over(group) > NEAREST + 1) | (F.col("tasks") > 1))
+    heads = narrow.groupBy("set_id", "size").agg(F.min(key).alias("head"), F.count("*").alias("n")).where("n > 1")
+    copies = written(narrow.select("set_id", "size", "line", *KEY).join(heads.drop("n"), ["set_id", "size"]).where(
+        key != F.col("head")).select("line", *KEY), "line-copies")
+    firsts = narrow.join(_small(copies.select("line")), "line", "left_anti")
+
+    rows = firsts.select("line", "size", F.explode(_keys(threshold)).alias("k")).select("k.key", "line", "size", "k.at")
+    group = Window.partitionBy("key")
+    line = F.struct("line", "size", "at")
+    met = rows.withColumn("before", F.collect_list(line).over(group.orderBy("line").rowsBetween(-NEAREST, -1))).withColumn(
+        "crowded", F.count("*").over(group) > NEAREST + 1)
     # A crowded line meets itself too, which keeps one row of it.
     meets = F.when(F.col("crowded"), F.concat("before", F.array(line))).otherwise(F.col("before"))
-    met = met.select("token", "crowded", line.alias("b"), F.explode(meets).alias("a"))
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.place") == F.col("b.place"))
-    met = written(met.withColumn("itself", same).where(F.col("itself") | _may_match(
-        "a", "b", threshold)), "line-groups")
-    crowded = met.where("itself").select("token", "b.*")
-
-    def candidates(later, earlier):
-        close = later.alias("b").join(earlier.alias("a"), (F.col("a.token") == F.col("b.token"))
-                                      & _earlier("a", "b") & _may_match("a", "b", threshold))
-        return close.select(F.struct("a.doc_id", "a.place").alias("a"), F.struct("b.doc_id", "b.place").alias("b"))
-
-    near = met.where("not itself").select(
-        F.struct("a.doc_id", "a.place").alias("a"), F.struct("b.doc_id", "b.place").alias("b"))
-    matched = _similar(docs, near, classes, threshold)
-    left = _without(crowded, matched)
-    salt = F.pmod(F.xxhash64(*KEY), F.lit(CENTRES))
-    centres = crowded.groupBy("token", salt.alias("salt")).agg(F.min(line).alias("c")).select("token", "c.*")
-    again = _similar(docs, candidates(left, centres), classes, threshold)
-    left = _without(left, again)
-    rest = _similar(docs, candidates(left, crowded), classes, threshold)
-    return written(matched.unionByName(again).unionByName(rest).unionByName(copies).distinct(), "repeated-lines")
+    met = met.select("key", line.alias("b"), F.explode(meets).alias("a"))
+    met = written(met.where((F.col("a.line") == F.col("b.line")) | _may_match("a", "b", threshold)), "line-groups")
+    crowded = met.where("a.line = b.line").select("key", "b.*")
+
+    def candidates(some, others):
+        close = some.alias("b").join(others.alias("a"), (F.col("a.key") == F.col("b.key")) & (
+            F.col("a.line") != F.col("b.line")) & _may_match("a", "b", threshold))
+        return close.select(F.least("a.line", "b.line").alias("a"), F.greatest("a.line", "b.line").alias("b"))
+
+    near = met.where("a.line != b.line").select(F.col("a.line").alias("a"), F.col("b.line").alias("b"))
+    found = [_similar(docs, narrow, near, classes, threshold)]
+    left = crowded.join(_small(found[0].select("line")), "line", "left_anti")
+    centres = crowded.groupBy("key", F.pmod(F.xxhash64("line"), F.lit(CENTRES)).alias("salt")).agg(F.min(line).alias("c"))
+    found.append(_similar(docs, narrow, candidates(left, centres.select("key", "c.*")), classes, threshold))
+    left = left.join(_small(found[1].select("line")), "line", "left_anti")
+    found.append(_similar(docs, narrow, candidates(left, crowded), classes, threshold))
+    out = copies.select(*KEY)
+    for matches in found:
+        out = out.unionByName(matches.select(*KEY))
+    return written(out.distinct(), "repeated-lines")
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
