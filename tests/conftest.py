@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -9,6 +11,7 @@ def make_session() -> SparkSession:
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="trendcast-tests-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     return spark

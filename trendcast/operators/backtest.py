@@ -306,7 +306,7 @@ def recommend(summary: DataFrame, metrics: DataFrame, params_by_model: Mapping[s
         text = F.when(F.col("model") == name, params_json(chosen.get(name))).otherwise(text)
 
     def row(table: DataFrame, kind: str, basis: str, prefix: str) -> DataFrame:
-        values = [F.format_string(f"{prefix}{m}=%.4f", F.col(f"{prefix}{m}")) for m in ("RMSE", "MAE", "MAPE")]
+        values = [F.concat(F.lit(f"{prefix}{m}="), F.col(f"{prefix}{m}").cast("string")) for m in ("RMSE", "MAE", "MAPE")]
         best = table.orderBy(f"{prefix}RMSE", f"{prefix}MAE", "model").limit(1)
         return best.select(
             F.lit(kind).alias("summary_type"), "model", F.lit(basis).alias("selection_basis"),
@@ -315,8 +315,8 @@ def recommend(summary: DataFrame, metrics: DataFrame, params_by_model: Mapping[s
         )
 
     test = metrics.filter(F.col("split") == "test")
-    return row(summary, "selected_for_future_forecast", "lowest average rolling-origin validation RMSE", "average_") \
-        .unionByName(row(test, "best_holdout_test_model", "lowest fixed-window holdout test RMSE", ""))
+    return row(summary, "selected_for_future_forecast", "rolling_average_rmse", "average_") \
+        .unionByName(row(test, "best_holdout_test_model", "holdout_test_rmse", ""))
 
 
 def keep_models(table: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendcast.operators.ols import fit_ols
 
+# Display names.
 NAIVE = "Naive Last Value"
 LINEAR = "Linear Regression"
 FOREST = "Random Forest"
@@ -25,6 +26,7 @@ FOREST_DEFAULTS = {"n_estimators": 300, "max_depth": 5, "min_samples_leaf": 1}
 BOOSTING_DEFAULTS = {
     "n_estimators": 200, "learning_rate": 0.05, "max_depth": 4, "subsample": 0.9, "colsample_bytree": 0.9,
 }
+MAX_BINS = 256
 # The tuning grids.
 FOREST_GRID = {"n_estimators": [100, 300, 500], "max_depth": [3, 5, 8], "min_samples_leaf": [1, 2, 4]}
 BOOSTING_GRID = {"learning_rate": [0.01, 0.05, 0.1], "max_depth": [2, 3, 4], "n_estimators": [100, 300, 500]}
@@ -35,13 +37,14 @@ def check_model_name(name: str) -> None:
         raise ValueError(f"unknown model {name!r}; use one of {', '.join(MODEL_NAMES)}")
 
 
-def tree_estimator(name: str, params: Mapping[str, float] | None = None, seed: int = 42, max_bins: int = 256):
+def tree_estimator(name: str, params: Mapping[str, float] | None = None, seed: int = 42):
     """The ``pyspark.ml`` estimator for a tree model.
 
-    ``max_bins`` above the number of distinct values of a feature makes every
-    value a possible split; beyond it Spark splits on quantiles.
+    The parameter ``max_bins`` (256), above the number of distinct values of a
+    feature, makes every value a possible split; below it Spark splits on quantiles.
     """
     params = dict(params or {})
+    max_bins = int(params.get("max_bins", MAX_BINS))
     if name == FOREST:
         p = FOREST_DEFAULTS | params
         return RandomForestRegressor(

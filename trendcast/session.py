@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,21 +24,14 @@ def build_session(app_name: str = "trendcast", master: str | None = None, **conf
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point checkpoints at the shared folder named by the cluster.
-
-    A machine-local folder is only ever used for a local master, where the
-    driver and the executors are one process.
-    """
+    """Point checkpoints at the shared folder that the cluster names in ``spark.checkpoint.dir``."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="trendcast-ckpt-"))
-    else:
+    if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    sc.setCheckpointDir(shared)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
