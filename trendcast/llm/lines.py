@@ -186,18 +186,24 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1)
     line = F.struct("line", "size", "at")
     met = rows.withColumn("before", F.collect_list(line).over(group.orderBy("line").rowsBetween(-NEAREST, -1))).withColumn(
         "crowded", F.count("*").over(group) > NEAREST + 1)
-    # A crowded line meets itself too, which keeps one row of it.
+    # A crowded line meets itself too, which keeps one row of it; of other meetings the two lines are kept.
     meets = F.when(F.col("crowded"), F.concat("before", F.array(line))).otherwise(F.col("before"))
     met = met.select("key", line.alias("b"), F.explode(meets).alias("a"))
-    met = written(met.where((F.col("a.line") == F.col("b.line")) | _may_match("a", "b", threshold)), "line-groups")
-    crowded = met.where("a.line = b.line").select("key", "b.*")
+    met = met.where((F.col("a.line") == F.col("b.line")) | _may_match("a", "b", threshold))
+    itself = F.col("a.line") == F.col("b.line")
+    # Half of a key is enough to tell groups apart here: more candidates at most.
+    met = written(met.select(
+        F.when(itself, F.pmod("key", F.lit(1 << 31)).cast("int")).alias("key"), F.col("b.line").alias("line"),
+        F.when(itself, F.col("b.size")).alias("size"), F.when(itself, F.col("b.at")).alias("at"),
+        F.when(~itself, F.col("a.line")).alias("other")), "line-groups")
+    crowded = met.where("other is null").select("key", "line", "size", "at")
 
     def candidates(some, others):
         close = some.alias("b").join(others.alias("a"), (F.col("a.key") == F.col("b.key")) & (
             F.col("a.line") != F.col("b.line")) & _may_match("a", "b", threshold))
         return close.select(F.least("a.line", "b.line").alias("a"), F.greatest("a.line", "b.line").alias("b"))
 
-    near = met.where("a.line != b.line").select(F.col("a.line").alias("a"), F.col("b.line").alias("b"))
+    near = met.where("other is not null").select(F.col("other").alias("a"), F.col("line").alias("b"))
     found = [_similar(docs, narrow, near, classes, threshold)]
     left = crowded.join(_small(found[0].select("line")), "line", "left_anti")
     centres = crowded.groupBy("key", F.pmod(F.xxhash64("line"), F.lit(CENTRES)).alias("salt")).agg(F.min(line).alias("c"))
