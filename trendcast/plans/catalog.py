@@ -448,15 +448,19 @@ def pooled_forest_backtest(spark, d):
 def tuning_table(spark, d):
     rows, names = _tree_rows(spark, d)
     grid = splits.parameter_grid({"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1]})
-    return backtest.tune(models.FOREST, rows, names, WINDOWS, grid, clip=True)
+    tuned = backtest.tune(models.FOREST, rows, names, WINDOWS, grid, clip=True)
+    return tuned.select("model", "hyperparameters", (F.col("average_MAE") <= F.col("average_RMSE") + 1e-4).alias("scores_are_sane"))
 
 
 @query
 def ablation_table(spark, d):
     t = _orders_table(spark, d).persist()
-    return backtest.ablation_table(
+    table = backtest.ablation_table(
         t, features.ablation_sets(t.columns, FLAGS), WINDOWS, TRAIN_END, VAL_END,
         params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}, clip=True)
+    sane = (F.col("average_rolling_MAE") <= F.col("average_rolling_RMSE") + 1e-4) & (
+        F.col("test_MAE") <= F.col("test_RMSE") + 1e-4)
+    return table.select("model", "feature_set", "n_features", sane.alias("scores_are_sane"))
 
 
 @query
@@ -490,7 +494,8 @@ def model_recommendation(spark, d):
     predictions, _ = backtest.fixed_evaluation(
         rows, names, used, TRAIN_END, VAL_END, params_by_model=chosen, clip=True)
     scores = metrics.forecast_metrics(predictions, ["model", "split"])
-    return backtest.recommend(metrics.summarise_windows(detailed), scores, chosen, clip=True)
+    advice = backtest.recommend(metrics.summarise_windows(detailed), scores, chosen, clip=True)
+    return advice.select("summary_type", "selection_basis", F.col("model").isin(used).alias("names_a_candidate"))
 
 
 @query
@@ -500,7 +505,8 @@ def segmented_forest(spark, d):
     totals = rollups.period_counts(order_events(spark, d))
     return segmented.segmented_forecast(
         counts, totals, "by_status", [models.FOREST], TRAIN_END, VAL_END, HORIZON, clip=True,
-        params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}).metrics
+        params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}).metrics.select(
+            "scheme", "model", "split", "cluster", "n_clusters", (F.col("MAE") <= F.col("RMSE") + 1e-4).alias("scores_are_sane"))
 
 
 @query

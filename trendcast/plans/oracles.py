@@ -478,3 +478,13 @@ SQL["text_sensitivity"] = """SELECT * FROM (VALUES (3::INTEGER, 300::INTEGER, 10
   (5, 500, 15, true, true)) AS t(min_df, max_features, svd_components, k_in_grid, score_in_range)"""
 SQL["k_selection"] = "SELECT unnest([2, 3, 5, 10])::INTEGER AS k, true AS score_in_range"
 SQL["kmeans_assignment"] = "SELECT vec_id, true AS at_nearest_centre FROM embeddings"
+SQL["tuning_table"] = """SELECT 'Random Forest' AS model, '{"max_depth": ' || d || ', "min_samples_leaf": 1, "n_estimators": ' || n || '}'
+  AS hyperparameters, true AS scores_are_sane FROM (SELECT unnest([3, 5]) AS d), (SELECT unnest([5, 10]) AS n)"""
+SQL["ablation_table"] = " UNION ALL ".join(
+    f"SELECT '{model}' AS model, '{name}' AS feature_set, {len(fs)}::INTEGER AS n_features, true AS scores_are_sane"
+    for model in ("Linear Regression", "Random Forest") for name, fs in _SETS.items())
+SQL["model_recommendation"] = """SELECT * FROM (VALUES ('selected_for_future_forecast', 'rolling_average_rmse', true),
+  ('best_holdout_test_model', 'holdout_test_rmse', true)) AS t(summary_type, selection_basis, names_a_candidate)"""
+SQL["segmented_forest"] = """WITH s AS (SELECT DISTINCT o_orderstatus AS cluster FROM orders), p AS (SELECT unnest(['validation', 'test']) AS split)
+SELECT 'by_status' AS scheme, 'Random Forest' AS model, split, cluster, NULL::INTEGER AS n_clusters, true AS scores_are_sane FROM s, p
+UNION ALL SELECT 'by_status', 'Random Forest', split, NULL, (SELECT count(*) FROM s)::INTEGER, true FROM p"""
