@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import text_or_empty, written
+from trendcast.llm.shared import small_batches, text_or_empty, written
 from trendcast.llm.vocabulary import tokenizer_path
 
 SAMPLE = 600
@@ -195,6 +195,7 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text: the likeliest language with its share among all. A text that is
     null or has no letter, and every text without a learned language, is ``und`` with score 0."""
     kept = docs.select("doc_id", text_or_empty(docs).alias("text"))
+    small_batches(docs.sparkSession)
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

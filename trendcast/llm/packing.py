@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trendcast.llm.shared import text_or_empty, written
+from trendcast.llm.shared import small_batches, text_or_empty, written
 from trendcast.llm.vocabulary import WordEncoder, tokenizer_path
 
 CAPACITY = 4096
@@ -32,6 +32,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, end_id: int = 1, capa
     kept = docs.select("doc_id", text_or_empty(docs).alias("text"))
     id_type = kept.schema["doc_id"].dataType.simpleString()
     end = end_id.to_bytes(4, "little")
+    small_batches(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(path)

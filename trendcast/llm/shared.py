@@ -29,6 +29,14 @@ def text_or_empty(df: DataFrame, text: str = "text") -> Column:
     return F.coalesce(df[text], F.lit(""))
 
 
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Send texts to Python at most ``rows`` at a time, so that memory follows the length of texts and not their number."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if not 0 < now <= rows:
+        spark.conf.set(name, rows)
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

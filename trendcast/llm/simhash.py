@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trendcast.llm.shared import components, text_or_empty, written
+from trendcast.llm.shared import components, small_batches, text_or_empty, written
 
 SHINGLE, SEED = 4, 42
 GROUP = 8192
@@ -55,6 +55,7 @@ def fingerprint(text: str, shingle: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(doc_id, fp) of every whole text, fp as a signed long; a null text counts as empty."""
     kept = docs.select("doc_id", text_or_empty(docs).alias("text"))
+    small_batches(docs.sparkSession)
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trendcast.llm.shared import text_or_empty
+from trendcast.llm.shared import small_batches, text_or_empty
 from trendcast.llm.vocabulary import PrefixCounter, tokenizer_path
 
 SCHEMA = "n_bytes long, n_tokens long, prefix_changes binary"
@@ -22,6 +22,7 @@ def prefix_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     path = path or tokenizer_path("byte_bpe_50k.json")
     kept = docs.select("doc_id", text_or_empty(docs).alias("text"))
+    small_batches(docs.sparkSession)
     id_type = kept.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trendcast.llm.shared import text_or_empty
+from trendcast.llm.shared import small_batches
 
 SAMPLE = 2500
-CACHE = 400_000
+CACHE = 200_000
 LEVEL, TOXIC_BYTES, ORDINARY_BYTES = 12, 4096, 16384
 THRESHOLDS = (2, 4, 5, 6, 7, 8, 10)  # bytes
 MARKS = ".,!?*%$&|\"'()[]{}:;-_#@<>/\\0123456789"
@@ -186,14 +186,14 @@ def scores(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with a column ``score`` from 0 to 1 (replacing one of that name); a null text counts as empty, and
     without a model every score is 0."""
     columns = [c for c in docs.columns if c != "score"]
-    rows = docs.select(*columns, text_or_empty(docs).alias("__text"))
-    at = len(columns)
+    rows, at = docs.select(*columns), columns.index("text")
+    small_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for batch in batches:
-            found = [scorer.score(t.as_py()) if scorer else 0.0 for t in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], pa.array(found, pa.float64())], [*columns, "score"])
+            found = [scorer.score(t.as_py() or "") if scorer else 0.0 for t in batch.column(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*columns, "score"])
 
     kinds = docs.select(*columns).schema.fields
     return rows.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", score double")
