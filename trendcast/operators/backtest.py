@@ -20,7 +20,8 @@ from pyspark.util import inheritable_thread_target
 from trendcast.operators.features import model_rows
 from trendcast.operators.metrics import METRICS, clip_non_negative, forecast_metrics, metric_columns, summarise_windows
 from trendcast.operators.models import (
-    FOREST, LINEAR, MODEL_NAMES, NAIVE, NaiveModel, check_model_name, coefficient_table, fit_model, importance_table,
+    BOOSTING, BOOSTING_DEFAULTS, FOREST, LINEAR, MODEL_NAMES, NAIVE, NaiveModel, check_model_name, coefficient_table,
+    first_rounds, fit_model, importance_table,
 )
 from trendcast.operators.ols import fit_ols, ols_holdout
 from trendcast.operators.splits import Window, window_array, window_rows
@@ -51,16 +52,17 @@ def _clipped(df: DataFrame, clip: bool) -> DataFrame:
 
 def _tree_predictions(
     name: str, rows: DataFrame, features: Sequence[str], windows: Sequence[Window], target: str, keys: Sequence[str],
-    period: str, params: Params | None, seed: int, threads: int,
+    period: str, params: Params | None, seed: int, threads: int, fit: Callable[[int, DataFrame], Any] | None = None,
 ) -> DataFrame:
     p = F.col(period)
+    fit = fit or (lambda _, train: fit_model(name, train, features, target, params, seed))
 
     def one(job: tuple[int, Window]) -> DataFrame | None:
         window_id, w = job
         train = rows.filter(p <= w.train_end)
         if train.isEmpty():
             return None
-        model = fit_model(name, train, features, target, params, seed)
+        model = fit(window_id, train)
         held = rows.filter(p.between(w.val_start, w.val_end))
         return model.transform(held).select(
             *keys, F.lit(window_id).alias("window_id"), period,
@@ -102,11 +104,13 @@ def rolling_backtest(
     seed: int = 42,
     clip: bool = False,
     threads: int = 4,
+    fit: Callable[[int, DataFrame], Any] | None = None,
 ) -> DataFrame:
     """One row per series and window: bounds, row counts, parameters and metrics rounded to 4 places.
 
     Windows with an empty side are left out. Naive and linear scores come from
-    the pass that also counts the rows of each window.
+    the pass that also counts the rows of each window. ``fit`` gives the tree
+    model of a window from its number and training rows, if it is known already.
     """
     check_model_name(name)
     by = [*keys, "window_id"]
@@ -120,7 +124,7 @@ def rolling_backtest(
         scored = ols_holdout(tagged, features, target, by, period)
         counts = [F.min("train_start"), F.min("n_train"), F.count(F.lit(1))]
     else:
-        predictions = _tree_predictions(name, rows, features, windows, target, keys, period, params, seed, threads)
+        predictions = _tree_predictions(name, rows, features, windows, target, keys, period, params, seed, threads, fit)
         scored = predictions.join(window_sizes(rows, windows, keys, period), by)
         counts = [F.min("train_start"), F.min("n_train"), F.count(F.lit(1))]
     scores = _clipped(scored, clip).groupBy(*by).agg(
@@ -145,10 +149,31 @@ def tune(
     clip: bool = False,
     threads: int = 4,
 ) -> DataFrame:
-    """Back-test every parameter set and rank the averages, best first."""
+    """Back-test every parameter set and rank the averages, best first.
+
+    Boosted models that differ in the number of rounds only are scored from one fit of the most rounds.
+    """
+    def rest(params: Params) -> str:
+        return params_json({k: v for k, v in params.items() if k != "n_estimators"})
+
+    def rounds(params: Params) -> int:
+        return int(params.get("n_estimators", BOOSTING_DEFAULTS["n_estimators"]))
+
+    longest: dict[str, Params] = {}
+    for params in sorted(grid, key=rounds) if name == BOOSTING else ():
+        longest[rest(params)] = params
+    jobs = [(key, i, w) for key in longest for i, w in enumerate(windows, start=1)]
+
+    def boosted(job: tuple[str, int, Window]) -> Any:
+        train = rows.filter(F.col(period) <= job[2].train_end)
+        return None if train.isEmpty() else fit_model(name, train, features, target, longest[job[0]], seed)
+
+    fitted = dict(zip([job[:2] for job in jobs], in_parallel(boosted, jobs, threads)))
+
     def one(params: Params) -> DataFrame:
+        known = (lambda i, _: first_rounds(fitted[rest(params), i], rounds(params))) if fitted else None
         return rolling_backtest(
-            name, rows, features, windows, target, (), period, params, seed, clip, threads=len(windows))
+            name, rows, features, windows, target, (), period, params, seed, clip, threads=len(windows), fit=known)
 
     return summarise_windows(union_all(in_parallel(one, grid, threads)))
 

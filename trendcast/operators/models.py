@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+from pyspark import SparkContext
 from pyspark.ml.base import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from trendcast.operators.ols import fit_ols
@@ -107,6 +108,23 @@ class TreeModel:
         return self.model.transform(assembled).drop("features")
 
 
+def first_rounds(fitted: TreeModel, rounds: int) -> TreeModel:
+    """The boosted model after its first ``rounds`` trees: what a fit of so many rounds gives, as each round builds on
+    those before it and has a seed of its own."""
+    model = fitted.model
+    if rounds >= model.getNumTrees:
+        return fitted
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    trees = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(java.trees()[:rounds], java.treeWeights()[:rounds])):
+        trees[i], weights[i] = tree, weight
+    shorter = gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{java.uid()}_{rounds}", trees, weights)
+    shorter.setFeaturesCol(model.getFeaturesCol())
+    shorter.setPredictionCol(model.getPredictionCol())
+    return TreeModel(fitted.features, GBTRegressionModel(shorter))
+
+
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     doubles = {f"__x{i}": F.col(f).cast("double") for i, f in enumerate(features)}
     out = VectorAssembler(inputCols=list(doubles), outputCol="features").transform(df.withColumns(doubles))

@@ -21,8 +21,6 @@ from trendcast.sources.tables import parse_parameters
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-SMALL_FOREST = {"n_estimators": 10, "max_depth": 4}
-SMALL_BOOSTING = {"n_estimators": 5, "learning_rate": 0.1, "max_depth": 2}
 TRIAL_GRID = splits.parameter_grid({"learning_rate": [0.01, 0.05, 0.1], "max_depth": [2, 3, 4]})
 MEASURES = {"avg_len_words": ("len_words", 2)}
 
@@ -426,14 +424,14 @@ def _tree_rows(spark, d):
 def forest_backtest(spark, d):
     rows, names = _tree_rows(spark, d)
     return _with_sane_scores(backtest.rolling_backtest(
-        models.FOREST, rows, names, WINDOWS, params=SMALL_FOREST, clip=True))
+        models.FOREST, rows, names, WINDOWS, clip=True))
 
 
 @query
 def boosting_backtest(spark, d):
     rows, names = _tree_rows(spark, d)
     return _with_sane_scores(backtest.rolling_backtest(
-        models.BOOSTING, rows, names, WINDOWS, params=SMALL_BOOSTING, clip=True))
+        models.BOOSTING, rows, names, WINDOWS, clip=True))
 
 
 @query
@@ -441,23 +439,41 @@ def pooled_forest_backtest(spark, d):
     """One forest per window over the rows of all nations, scored per nation."""
     return _with_sane_scores(backtest.rolling_backtest(
         models.FOREST, _nation_rows(spark, d).persist(), ["trend", "lag_1", "lag_2"], WINDOWS, keys=["nation"],
-        params=SMALL_FOREST, clip=True), "nation")
+        clip=True), "nation")
 
 
 @query
 def tuning_table(spark, d):
+    """The four parameter sets that the SQL lists; ``tree_tuning`` runs the whole grids."""
     rows, names = _tree_rows(spark, d)
     grid = splits.parameter_grid({"n_estimators": [5, 10], "max_depth": [3, 5], "min_samples_leaf": [1]})
     tuned = backtest.tune(models.FOREST, rows, names, WINDOWS, grid, clip=True)
     return tuned.select("model", "hyperparameters", (F.col("average_MAE") <= F.col("average_RMSE") + 1e-4).alias("scores_are_sane"))
 
 
+def _baselines(rows, names):
+    """Naive and linear rolling averages, the rows that every tuned model is held against."""
+    return metrics.summarise_windows(backtest.union_all([
+        backtest.rolling_backtest(m, rows, names, WINDOWS, clip=True) for m in (models.NAIVE, models.LINEAR)]))
+
+
+@query
+def tree_tuning(spark, d):
+    """Both tree models over their whole grids, the selected parameters of each, and the naive and linear averages."""
+    rows, names = _tree_rows(spark, d)
+    grids = {models.FOREST: splits.parameter_grid(models.FOREST_GRID),
+             models.BOOSTING: splits.parameter_grid(models.BOOSTING_GRID)}
+    tables, best = backtest.tune_tree_models(rows, names, WINDOWS, grids, clip=True)
+    best = [F.col("hyperparameters") == backtest.params_json(p) for p in [best[m] for m in tables]]
+    tuned = [t.withColumn("selected", chosen) for t, chosen in zip(tables.values(), best)]
+    return backtest.union_all([*tuned, _baselines(rows, names)])
+
+
 @query
 def ablation_table(spark, d):
     t = _orders_table(spark, d).persist()
     table = backtest.ablation_table(
-        t, features.ablation_sets(t.columns, FLAGS), WINDOWS, TRAIN_END, VAL_END,
-        params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}, clip=True)
+        t, features.ablation_sets(t.columns, FLAGS), WINDOWS, TRAIN_END, VAL_END, clip=True)
     sane = (F.col("average_rolling_MAE") <= F.col("average_rolling_RMSE") + 1e-4) & (
         F.col("test_MAE") <= F.col("test_RMSE") + 1e-4)
     return table.select("model", "feature_set", "n_features", sane.alias("scores_are_sane"))
@@ -466,7 +482,7 @@ def ablation_table(spark, d):
 @query
 def feature_importances(spark, d):
     rows, names = _tree_rows(spark, d)
-    fitted = models.fit_model(models.FOREST, rows.filter(F.col("period") <= VAL_END), names, params=SMALL_FOREST)
+    fitted = models.fit_model(models.FOREST, rows.filter(F.col("period") <= VAL_END), names)
     table = models.importance_table(spark, fitted)
     total = table.agg(F.round(F.sum("importance"), 6)).scalar()
     return table.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
@@ -478,7 +494,7 @@ def tree_future(spark, d):
     t = _orders_table(spark, d)
     rows, names = _tree_rows(spark, d)
     start = recursive.forecast_start(t, names)
-    fitted = models.fit_model(models.FOREST, rows, names, params=SMALL_FOREST)
+    fitted = models.fit_model(models.FOREST, rows, names)
     future = recursive.forecast(start, fitted, HORIZON, features=names, clip=True)
     low, high = rows.agg(F.min("n")).scalar(), rows.agg(F.max("n")).scalar()
     return future.select("period", F.col("predicted").between(low, high).alias("within_training_range"))
@@ -487,14 +503,13 @@ def tree_future(spark, d):
 @query
 def model_recommendation(spark, d):
     rows, names = _tree_rows(spark, d)
-    chosen = {models.FOREST: SMALL_FOREST}
-    used = [models.NAIVE, models.LINEAR, models.FOREST]
+    used = models.MODEL_NAMES
     detailed = backtest.union_all([
-        backtest.rolling_backtest(m, rows, names, WINDOWS, params=chosen.get(m), clip=True) for m in used])
+        backtest.rolling_backtest(m, rows, names, WINDOWS, clip=True) for m in used])
     predictions, _ = backtest.fixed_evaluation(
-        rows, names, used, TRAIN_END, VAL_END, params_by_model=chosen, clip=True)
+        rows, names, used, TRAIN_END, VAL_END, clip=True)
     scores = metrics.forecast_metrics(predictions, ["model", "split"])
-    advice = backtest.recommend(metrics.summarise_windows(detailed), scores, chosen, clip=True)
+    advice = backtest.recommend(metrics.summarise_windows(detailed), scores, clip=True)
     return advice.select("summary_type", "selection_basis", F.col("model").isin(used).alias("names_a_candidate"))
 
 
@@ -504,8 +519,7 @@ def segmented_forest(spark, d):
     counts = features.segment_counts(order_events(spark, d), "o_orderstatus").withColumnRenamed("o_orderstatus", "cluster")
     totals = rollups.period_counts(order_events(spark, d))
     return segmented.segmented_forecast(
-        counts, totals, "by_status", [models.FOREST], TRAIN_END, VAL_END, HORIZON, clip=True,
-        params_by_model={models.FOREST: {"n_estimators": 5, "max_depth": 3}}).metrics.select(
+        counts, totals, "by_status", [models.FOREST], TRAIN_END, VAL_END, HORIZON, clip=True).metrics.select(
             "scheme", "model", "split", "cluster", "n_clusters", (F.col("MAE") <= F.col("RMSE") + 1e-4).alias("scores_are_sane"))
 
 
@@ -549,7 +563,7 @@ def top_terms(spark, d):
 @query
 def svd_projection(spark, d):
     terms = _terms(spark, d).select("doc_id", "terms")
-    model = textvec.fit_tfidf(terms, 5, 500)
+    model = textvec.fit_tfidf(terms, textvec.TEXT_GRID[-1]["min_df"], textvec.TEXT_GRID[-1]["max_features"])
     vectors = model.transform(terms)
     svd = textvec.fit_svd(vectors, 10, len(model.vocabulary))
     # Projections are uncorrelated about zero, and no longer than the vectors, whose length is 1.
@@ -637,7 +651,7 @@ def _numeric(spark, d):
     half = F.col("doc_id") <= docs.agg(F.max("doc_id") / 2).scalar()
     return segment.numeric_segmentation(
         docs.filter(half), docs, ["len_chars", "len_words", "kw_number", "kw_acronym", "kw_address", "is_english"],
-        "doc_id", restarts=2, period="doc_id", means=MEASURES,
+        "doc_id", period="doc_id", means=MEASURES,
         flags=["kw_number", "kw_acronym", "kw_address"], types=["is_english", "is_other_lang"])
 
 
@@ -652,12 +666,11 @@ def numeric_profile(spark, d):
     return _whole(_numeric(spark, d).profile)
 
 
-def _text(spark, d):
+def _text(spark, d, grid=textvec.TEXT_GRID):
     docs = document_features(spark, d)
     half = F.col("doc_id") <= docs.agg(F.max("doc_id") / 2).scalar()
-    grid = ({"min_df": 3, "max_features": 300, "svd_components": 10}, {"min_df": 5, "max_features": 500, "svd_components": 15})
     return segment.text_segmentation(
-        docs.filter(half), docs, "text", "doc_id", grid, restarts=2, period="doc_id",
+        docs.filter(half), docs, "text", "doc_id", grid, period="doc_id",
         means=MEASURES, flags=["kw_number", "kw_acronym"], types=["is_english", "is_other_lang"], stop_words=STOP_WORDS)
 
 
@@ -668,16 +681,24 @@ def text_segmentation(spark, d):
 
 @query
 def text_sensitivity(spark, d):
-    tried = _text(spark, d).sensitivity
+    """The two options that the SQL lists; ``text_options`` tries the whole grid."""
+    grid = ({"min_df": 3, "max_features": 300, "svd_components": 10}, {"min_df": 5, "max_features": 500, "svd_components": 15})
+    tried = _text(spark, d, grid).sensitivity
     return tried.select("min_df", "max_features", "svd_components", F.col("selected_k").between(2, 6).alias("k_in_grid"),
                         F.col("best_silhouette_score").between(-1, 1).alias("score_in_range"))
 
 
+@query
+def text_options(spark, d):
+    """Chosen k, its silhouette and the explained variance for every option of the grid."""
+    return _text(spark, d).sensitivity
+
+
 @query
 def k_selection(spark, d):
     """Silhouette per candidate k over the embeddings."""
     vectors = _embeddings(spark, d).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10), restarts=2).select(
+    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10)).select(
         "k", F.col("silhouette_score").between(-1, 1).alias("score_in_range"))
 
 
@@ -685,7 +706,7 @@ def k_selection(spark, d):
 def kmeans_assignment(spark, d):
     """Embeddings assigned by the best of several KMeans starts."""
     vectors = _embeddings(spark, d).select("vec_id", array_to_vector("embedding").alias("features")).persist()
-    fitted = segment.fit_kmeans(vectors, 10, range(3))
+    fitted = segment.fit_kmeans(vectors, 10, range(segment.RESTARTS))
     assigned = fitted.transform(vectors).select("vec_id", "cluster", vector_to_array("features").alias("v"))
     centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(fitted.clusterCenters())], "cluster int, centroid array<double>")
     nearest = segment.nearest_centroid(assigned, "v", centres, "cluster")
