@@ -420,26 +420,39 @@ def _tree_rows(spark, d):
     return features.model_rows(t, names).persist(), names
 
 
+@query
+def forest_scores(spark, d):
+    rows, names = _tree_rows(spark, d)
+    return backtest.rolling_backtest(models.FOREST, rows, names, WINDOWS, clip=True)
+
+
 @query
 def forest_backtest(spark, d):
+    return _with_sane_scores(forest_scores(spark, d))
+
+
+@query
+def boosting_scores(spark, d):
     rows, names = _tree_rows(spark, d)
-    return _with_sane_scores(backtest.rolling_backtest(
-        models.FOREST, rows, names, WINDOWS, clip=True))
+    return backtest.rolling_backtest(models.BOOSTING, rows, names, WINDOWS, clip=True)
 
 
 @query
 def boosting_backtest(spark, d):
-    rows, names = _tree_rows(spark, d)
-    return _with_sane_scores(backtest.rolling_backtest(
-        models.BOOSTING, rows, names, WINDOWS, clip=True))
+    return _with_sane_scores(boosting_scores(spark, d))
 
 
 @query
-def pooled_forest_backtest(spark, d):
+def pooled_forest_scores(spark, d):
     """One forest per window over the rows of all nations, scored per nation."""
-    return _with_sane_scores(backtest.rolling_backtest(
+    return backtest.rolling_backtest(
         models.FOREST, _nation_rows(spark, d).persist(), ["trend", "lag_1", "lag_2"], WINDOWS, keys=["nation"],
-        clip=True), "nation")
+        clip=True)
+
+
+@query
+def pooled_forest_backtest(spark, d):
+    return _with_sane_scores(pooled_forest_scores(spark, d), "nation")
 
 
 @query
@@ -457,6 +470,13 @@ def _baselines(rows, names):
         backtest.rolling_backtest(m, rows, names, WINDOWS, clip=True) for m in (models.NAIVE, models.LINEAR)]))
 
 
+@query
+def baseline_tuning(spark, d):
+    """The naive and linear rows of ``tree_tuning``."""
+    out = _baselines(*_tree_rows(spark, d))
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c.startswith("average_")})
+
+
 @query
 def tree_tuning(spark, d):
     """Both tree models over their whole grids, the selected parameters of each, and the naive and linear averages."""
@@ -470,38 +490,52 @@ def tree_tuning(spark, d):
 
 
 @query
-def ablation_table(spark, d):
+def ablation_scores(spark, d):
     t = _orders_table(spark, d).persist()
-    table = backtest.ablation_table(
-        t, features.ablation_sets(t.columns, FLAGS), WINDOWS, TRAIN_END, VAL_END, clip=True)
+    return backtest.ablation_table(t, features.ablation_sets(t.columns, FLAGS), WINDOWS, TRAIN_END, VAL_END, clip=True)
+
+
+@query
+def ablation_table(spark, d):
+    table = ablation_scores(spark, d)
     sane = (F.col("average_rolling_MAE") <= F.col("average_rolling_RMSE") + 1e-4) & (
         F.col("test_MAE") <= F.col("test_RMSE") + 1e-4)
     return table.select("model", "feature_set", "n_features", sane.alias("scores_are_sane"))
 
 
 @query
-def feature_importances(spark, d):
+def importance_ranking(spark, d):
     rows, names = _tree_rows(spark, d)
     fitted = models.fit_model(models.FOREST, rows.filter(F.col("period") <= VAL_END), names)
-    table = models.importance_table(spark, fitted)
+    return models.importance_table(spark, fitted)
+
+
+@query
+def feature_importances(spark, d):
+    table = importance_ranking(spark, d)
     total = table.agg(F.round(F.sum("importance"), 6)).scalar()
     return table.select("feature", (F.col("importance") >= 0).alias("not_negative"), total.alias("total"))
 
 
 @query
-def tree_future(spark, d):
+def tree_forecast(spark, d):
     """Forest forecast step by step; each step feeds the next."""
-    t = _orders_table(spark, d)
     rows, names = _tree_rows(spark, d)
-    start = recursive.forecast_start(t, names)
+    start = recursive.forecast_start(_orders_table(spark, d), names)
     fitted = models.fit_model(models.FOREST, rows, names)
-    future = recursive.forecast(start, fitted, HORIZON, features=names, clip=True)
+    return recursive.forecast(start, fitted, HORIZON, features=names, clip=True)
+
+
+@query
+def tree_future(spark, d):
+    rows, _ = _tree_rows(spark, d)
+    future = tree_forecast(spark, d)
     low, high = rows.agg(F.min("n")).scalar(), rows.agg(F.max("n")).scalar()
     return future.select("period", F.col("predicted").between(low, high).alias("within_training_range"))
 
 
 @query
-def model_recommendation(spark, d):
+def recommended_model(spark, d):
     rows, names = _tree_rows(spark, d)
     used = models.MODEL_NAMES
     detailed = backtest.union_all([
@@ -509,18 +543,28 @@ def model_recommendation(spark, d):
     predictions, _ = backtest.fixed_evaluation(
         rows, names, used, TRAIN_END, VAL_END, clip=True)
     scores = metrics.forecast_metrics(predictions, ["model", "split"])
-    advice = backtest.recommend(metrics.summarise_windows(detailed), scores, clip=True)
-    return advice.select("summary_type", "selection_basis", F.col("model").isin(used).alias("names_a_candidate"))
+    return backtest.recommend(metrics.summarise_windows(detailed), scores, clip=True)
 
 
 @query
-def segmented_forest(spark, d):
+def model_recommendation(spark, d):
+    advice = recommended_model(spark, d)
+    return advice.select("summary_type", "selection_basis", F.col("model").isin(*models.MODEL_NAMES).alias("names_a_candidate"))
+
+
+@query
+def segmented_forest_scores(spark, d):
     """Forests per order status, summed and scored."""
     counts = features.segment_counts(order_events(spark, d), "o_orderstatus").withColumnRenamed("o_orderstatus", "cluster")
     totals = rollups.period_counts(order_events(spark, d))
     return segmented.segmented_forecast(
-        counts, totals, "by_status", [models.FOREST], TRAIN_END, VAL_END, HORIZON, clip=True).metrics.select(
-            "scheme", "model", "split", "cluster", "n_clusters", (F.col("MAE") <= F.col("RMSE") + 1e-4).alias("scores_are_sane"))
+        counts, totals, "by_status", [models.FOREST], TRAIN_END, VAL_END, HORIZON, clip=True).metrics
+
+
+@query
+def segmented_forest(spark, d):
+    return segmented_forest_scores(spark, d).select(
+        "scheme", "model", "split", "cluster", "n_clusters", (F.col("MAE") <= F.col("RMSE") + 1e-4).alias("scores_are_sane"))
 
 
 @query
@@ -560,15 +604,24 @@ def top_terms(spark, d):
     return means.select("lang", textvec.top_terms(F.col("mean"), model).alias("top_terms"))
 
 
-@query
-def svd_projection(spark, d):
+def _svd(spark, d):
     terms = _terms(spark, d).select("doc_id", "terms")
     model = textvec.fit_tfidf(terms, textvec.TEXT_GRID[-1]["min_df"], textvec.TEXT_GRID[-1]["max_features"])
     vectors = model.transform(terms)
     svd = textvec.fit_svd(vectors, 10, len(model.vocabulary))
+    return svd, svd.transform(vectors)
+
+
+@query
+def svd_vectors(spark, d):
+    return _svd(spark, d)[1].select("doc_id", "reduced")
+
+
+@query
+def svd_projection(spark, d):
+    svd, reduced = _svd(spark, d)
     # Projections are uncorrelated about zero, and no longer than the vectors, whose length is 1.
     cell = lambda i, j: F.sum(F.get("reduced", F.lit(i)) * F.get("reduced", F.lit(j)))
-    reduced = svd.transform(vectors)
     cross = [F.abs(cell(i, j)) / F.sqrt(cell(i, i) * cell(j, j)) for i in range(10) for j in range(i)]
     norm = F.aggregate("reduced", F.lit(0.0), lambda a, x: a + x * x)
     return reduced.agg(
@@ -661,6 +714,16 @@ def numeric_segmentation(spark, d):
     return _whole(segment.segment_balance(_numeric(spark, d).assigned, "numeric_cluster", "numeric"))
 
 
+@query
+def numeric_clusters(spark, d):
+    return _numeric(spark, d).assigned.select("doc_id", "numeric_cluster")
+
+
+@query
+def numeric_cluster_profile(spark, d):
+    return _numeric(spark, d).profile
+
+
 @query
 def numeric_profile(spark, d):
     return _whole(_numeric(spark, d).profile)
@@ -674,6 +737,16 @@ def _text(spark, d, grid=textvec.TEXT_GRID):
         means=MEASURES, flags=["kw_number", "kw_acronym"], types=["is_english", "is_other_lang"], stop_words=STOP_WORDS)
 
 
+@query
+def text_clusters(spark, d):
+    return _text(spark, d).assigned.select("doc_id", "text_cluster")
+
+
+@query
+def text_cluster_profile(spark, d):
+    return _text(spark, d).profile
+
+
 @query
 def text_segmentation(spark, d):
     return _whole(_text(spark, d).profile)
@@ -695,18 +768,34 @@ def text_options(spark, d):
 
 
 @query
-def k_selection(spark, d):
+def k_scores(spark, d):
     """Silhouette per candidate k over the embeddings."""
     vectors = _embeddings(spark, d).select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10)).select(
-        "k", F.col("silhouette_score").between(-1, 1).alias("score_in_range"))
+    return segment.choose_k(vectors, "v", k_values=(2, 3, 5, 10))
 
 
 @query
-def kmeans_assignment(spark, d):
-    """Embeddings assigned by the best of several KMeans starts."""
+def k_selection(spark, d):
+    return k_scores(spark, d).select(
+        "k", F.col("silhouette_score").between(-1, 1).alias("score_in_range"))
+
+
+def _kmeans(spark, d):
     vectors = _embeddings(spark, d).select("vec_id", array_to_vector("embedding").alias("features")).persist()
     fitted = segment.fit_kmeans(vectors, 10, range(segment.RESTARTS))
+    return fitted, vectors
+
+
+@query
+def kmeans_clusters(spark, d):
+    """Embeddings assigned by the best of several KMeans starts."""
+    fitted, vectors = _kmeans(spark, d)
+    return fitted.transform(vectors).select("vec_id", "cluster")
+
+
+@query
+def kmeans_assignment(spark, d):
+    fitted, vectors = _kmeans(spark, d)
     assigned = fitted.transform(vectors).select("vec_id", "cluster", vector_to_array("features").alias("v"))
     centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(fitted.clusterCenters())], "cluster int, centroid array<double>")
     nearest = segment.nearest_centroid(assigned, "v", centres, "cluster")

@@ -488,3 +488,13 @@ SQL["model_recommendation"] = """SELECT * FROM (VALUES ('selected_for_future_for
 SQL["segmented_forest"] = """WITH s AS (SELECT DISTINCT o_orderstatus AS cluster FROM orders), p AS (SELECT unnest(['validation', 'test']) AS split)
 SELECT 'by_status' AS scheme, 'Random Forest' AS model, split, cluster, NULL::INTEGER AS n_clusters, true AS scores_are_sane FROM s, p
 UNION ALL SELECT 'by_status', 'Random Forest', split, NULL, (SELECT count(*) FROM s)::INTEGER, true FROM p"""
+_QB, _PB = _orthogonal_fit("tagged", "window_id", _X4)
+SQL["baseline_tuning"] = f"""WITH {_MODEL}, {_WTABLE}, tagged AS (SELECT window_id, period, CAST(n AS DOUBLE) AS y,
+  {', '.join(f'CAST({x} AS DOUBLE) AS {x}' for x in _X4)}, CASE WHEN period <= train_end THEN 'train' ELSE 'held' END AS role
+  FROM lagged JOIN win ON period <= train_end OR period BETWEEN val_start AND val_end WHERE lag_2 IS NOT NULL),
+{_QB}, held AS (SELECT 'Linear Regression' AS model, window_id, y AS actual, greatest({_PB}, 0.0) AS predicted
+  FROM tagged JOIN qcoef USING (window_id) WHERE role = 'held'
+  UNION ALL SELECT 'Naive Last Value', window_id, y, greatest(lag_1, 0.0) FROM tagged WHERE role = 'held'),
+scores AS (SELECT model, window_id, {_METRICS} FROM held GROUP BY ALL)
+SELECT model, '{{}}' AS hyperparameters, round(avg("MAE"), 6) AS "average_MAE", round(avg("RMSE"), 6) AS "average_RMSE",
+  round(avg("MAPE"), 6) AS "average_MAPE" FROM scores GROUP BY model"""
