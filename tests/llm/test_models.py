@@ -52,6 +52,25 @@ def test_toxicity(spark, tmp_path):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
 
 
+def test_toxicity_reads_whole_runs_without_white_space():
+    rng = random.Random(5)
+    run = "".join(rng.choice("bcdfghklmn") for _ in range(3000))
+    found = toxicity.windows(f"a word, {run}")
+    assert found[0] == "word" and max(map(len, found)) <= toxicity.LONGEST
+    parts = found[1:]
+    assert parts[0] + "".join(p[toxicity.OVERLAP:] for p in parts[1:]) == run
+    assert toxicity.windows("x" * 513)[-1] == "x" * 65 and toxicity.windows("x" * 512) == ["x" * 512]
+
+    docs, labels = labelled()
+    truth = dict(labels)
+    model = toxicity.fit_texts([t for i, t in docs if truth[i]], [t for i, t in docs if not truth[i]], 0.25)
+    plain = [w for i, t in docs if not truth[i] for w in t.split()]
+    safe = "".join(plain[:600])
+    bad = safe[:2000] + "moronworthlesspatheticidiotscumbag" * 8 + safe[2000:]
+    scorer = toxicity.Scorer(model)
+    assert scorer.score(bad) > scorer.score(safe)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([(1, None)], "doc_id long, toxic int"))

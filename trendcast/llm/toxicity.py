@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on toxic passages and one on ordinary text. A window of a text (a word
-with its borders) is compressed with each; the difference of the lengths is its evidence. Each letter is first
+with its borders; a run without white space above 512 characters is cut into overlapping windows, all of which count)
+is compressed with each; the difference of the lengths is its evidence. Each letter is first
 spelled as a code of four bytes, so that a letter costs more than a match and the lengths count the phrases that a
 dictionary lacks. A text's score is a logistic function of how many windows pass each of several thresholds, with
 weights calibrated on labelled texts that the dictionaries of that step have not seen.
@@ -30,6 +31,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from trendcast.llm.shared import small_batches
 
 SAMPLE = 2500
+PLAIN_WINDOWS = 30_000
+LONGEST, OVERLAP = 512, 64  # characters of a window, and those that it shares with the next one of its run
 CACHE = 200_000
 LEVEL, TOXIC_BYTES, ORDINARY_BYTES = 12, 4096, 16384
 THRESHOLDS = (2, 4, 5, 6, 7, 8, 10)  # bytes
@@ -38,11 +41,16 @@ CODES = [hashlib.blake2b(bytes([b]), digest_size=4).digest() for b in range(256)
 
 
 def windows(text: str) -> list[str]:
-    return [w for w in (w.strip(MARKS) for w in text.lower().split()) if len(w) > 2]
+    """Words without their marks, in order; one above ``LONGEST`` characters as overlapping parts that cover it."""
+    words = [w for w in (w.strip(MARKS) for w in text.lower().split()) if len(w) > 2]
+    if not any(len(w) > LONGEST for w in words):
+        return words
+    step = LONGEST - OVERLAP
+    return [w[k:k + LONGEST] for w in words for k in range(0, max(1, len(w) - OVERLAP), step)]
 
 
 def spelled(window: str) -> bytes:
-    return b"".join([CODES[b] for b in f" {window[:512]} ".encode()])
+    return b"".join([CODES[b] for b in f" {window} ".encode()])
 
 
 @dataclass(frozen=True)
@@ -112,8 +120,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def _dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
-    """A model without weights."""
+def _dictionaries(toxic: list[str], ordinary: list[str], plain_windows: int = PLAIN_WINDOWS) -> Model:
+    """A model without weights. The ordinary dictionary is trained on every n-th ordinary window, with the smallest n
+    that leaves fewer than twice ``plain_windows``."""
     import zstandard
 
     seen, known = _distinct(toxic), _distinct(ordinary)
@@ -129,7 +138,7 @@ def _dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
     if len(passages) < 20:
         passages = [w for t in seen for w in windows(t)]
     plain = [w for t in known for w in windows(t)]
-    plain = plain[:: max(1, len(plain) // 30_000)]
+    plain = plain[:: max(1, len(plain) // plain_windows)]
 
     def trained(samples, size):
         codes = [spelled(w) for w in samples]
@@ -141,7 +150,7 @@ def _dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
     return Model(trained(passages, TOXIC_BYTES), trained(plain, ORDINARY_BYTES), (), (), ())
 
 
-def fit_texts(toxic: list[str], ordinary: list[str], rate: float) -> Model | None:
+def fit_texts(toxic: list[str], ordinary: list[str], rate: float, plain_windows: int = PLAIN_WINDOWS) -> Model | None:
     """A model from labelled texts; ``rate`` is the share of toxic texts among all. None without both classes.
 
     Each half of the texts is measured with dictionaries trained on the other half; the weights are fitted on those
@@ -151,7 +160,7 @@ def fit_texts(toxic: list[str], ordinary: list[str], rate: float) -> Model | Non
         return None
     x, y = [], []
     for part in (0, 1):
-        scorer = Scorer(_dictionaries(toxic[part::2], ordinary[part::2]))
+        scorer = Scorer(_dictionaries(toxic[part::2], ordinary[part::2], plain_windows))
         for texts, value in ((toxic, 1.0), (ordinary, 0.0)):
             x += [scorer.features(t) for t in texts[1 - part::2]]
             y += [value] * len(texts[1 - part::2])
@@ -159,7 +168,7 @@ def fit_texts(toxic: list[str], ordinary: list[str], rate: float) -> Model | Non
     weight = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
     w = _logistic((x - centre) / scale, y, weight)
-    model = _dictionaries(toxic, ordinary)
+    model = _dictionaries(toxic, ordinary, plain_windows)
     return Model(model.toxic, model.ordinary, tuple(w), tuple(centre), tuple(scale))
 
 
@@ -167,8 +176,10 @@ def fold(doc_id: Column, folds: int = 3) -> Column:
     return F.crc32(doc_id.cast("string")) % folds
 
 
-def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3, sample: int = SAMPLE) -> Model | None:
-    """Fit on labelled rows whose fold is not ``held_out``, at most ``sample`` of each class."""
+def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3, sample: int = SAMPLE,
+        plain_windows: int = PLAIN_WINDOWS) -> Model | None:
+    """Fit on labelled rows whose fold is not ``held_out``, at most ``sample`` of each class. The dictionary of ordinary
+    text is trained on ``plain_windows`` evenly spread windows of theirs, or up to twice as many."""
     usable = labels.where(F.col("toxic").isin(0, 1) & (fold(F.col("doc_id"), folds) != held_out)).select("doc_id", "toxic")
     counts = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
     if not counts.get(0) or not counts.get(1):
@@ -179,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 1, folds: int = 3, s
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(ids), "doc_id").collect()
     rows = sorted(rows, key=lambda r: (r["doc_id"], r["text"]))
     by_class = {c: [r["text"] for r in rows if r["toxic"] == c] for c in (0, 1)}
-    return fit_texts(by_class[1], by_class[0], counts[1] / (counts[0] + counts[1]))
+    return fit_texts(by_class[1], by_class[0], counts[1] / (counts[0] + counts[1]), plain_windows)
 
 
 def scores(docs: DataFrame, model: Model | None) -> DataFrame:
