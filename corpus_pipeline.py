@@ -34,11 +34,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each group of near duplicates that names it; of rows that repeat an id, one with that id."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = written(found.select(F.col("doc_id").alias("k_id"), F.col("fp").alias("k_fp")).distinct(), "kept-documents")
-    small = F.broadcast(kept) if kept.count() <= lines.BROADCAST_ROWS else kept
-    return docs.join(small, docs["doc_id"].eqNullSafe(F.col("k_id")), "left_semi")
+    """One row of each group of near duplicates: of those with the id that names the group, one of the smallest
+    fingerprint. An id that rows repeat may stay once for each group that it names."""
+    found = simhash.grouped(docs)
+    named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = written(named.groupBy("root").agg(F.min("fp").alias("k_fp"), F.min("doc_id").alias("k_id")), "kept-documents")
+    repeated = written(found.groupBy(F.col("doc_id").alias("r_id")).count().where("count > 1").select("r_id"), "repeated-ids")
+
+    def small(df):
+        return F.broadcast(df) if df.count() <= lines.BROADCAST_ROWS else df
+
+    out = docs.join(small(kept.select("k_id").distinct()), docs["doc_id"].eqNullSafe(F.col("k_id")), "left_semi")
+    if repeated.isEmpty():
+        return out
+    # Rows that share an id are told apart by fingerprint and, where that is equal too, by a row number.
+    once = out.join(small(repeated), out["doc_id"].eqNullSafe(F.col("r_id")), "left_anti")
+    several = out.join(small(repeated), out["doc_id"].eqNullSafe(F.col("r_id")), "left_semi")
+    several = written(several.withColumn("__row", F.monotonically_increasing_id()), "repeated-rows")
+    fps = simhash.fingerprints(several.select(F.col("__row").alias("doc_id"), "text"))
+    rows = several.select("__row", F.col("doc_id").alias("id")).join(fps.withColumnRenamed("doc_id", "__row"), "__row")
+    chosen = rows.join(kept, rows["id"].eqNullSafe(kept["k_id"]) & (rows["fp"] == kept["k_fp"])).groupBy("root").agg(
+        F.min("__row").alias("__row")).select("__row")
+    return once.unionByName(several.join(chosen, "__row", "left_semi").select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

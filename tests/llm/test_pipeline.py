@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,3 +37,14 @@ def test_empty_and_null_rows(spark, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = written(stage(spark, docs, str(tmp_path)), "stage")
         assert docs.count() <= 2 * len(rows)
+
+
+def test_repeated_ids_leave_one_row_for_each_group(spark):
+    rng = random.Random(7)
+    a, b, c, d = (" ".join(f"w{rng.randrange(900)}" for _ in range(200)) for _ in range(4))
+    rows = [(1, a), (1, a), (1, b), (0, b), (1, c), (2, c), (None, d), (None, d), (3, None), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    got = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str)
+    assert got == sorted([(1, a), (0, b), (1, c), (None, d), (3, "")], key=str)
+    assert kept.dtypes == docs.dtypes

@@ -216,17 +216,23 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, fp, component_id): documents whose fingerprints differ in ``distance`` bits or fewer are linked, and a
+    """``grouped`` without ``root``."""
+    return grouped(docs, distance, shingle, seed).drop("root")
+
+
+def grouped(docs: DataFrame, distance: int = 4, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """(doc_id, fp, root, component_id), a row for each of ``docs``: documents whose fingerprints differ in ``distance`` bits or fewer are linked, and a
     component is named by its smallest id. Texts without words share the fingerprint 0 and are linked like others.
-    Null ids are links too, but name a component only if it has no other id."""
+    Null ids are links too, but name a component only if it has no other id. ``root`` is the smallest fingerprint of a
+    component; it tells components apart that one repeated id names."""
     fps = written(fingerprints(docs, shingle, seed), "fingerprints")
     distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     roots = components(links(distinct, distance), "simhash-components")
     labelled = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     names = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(labelled.join(names, "root").select("fp", "component_id"), "fp").select(
-        "doc_id", "fp", "component_id")
+    return fps.join(labelled.join(names, "root").select("fp", "root", "component_id"), "fp").select(
+        "doc_id", "fp", "root", "component_id")
 
 
 def hexadecimal(fp) -> "F.Column":
