@@ -102,6 +102,27 @@ def test_crowded_groups_are_handed_on(spark):
     assert near.num_rows == 1 + 64 + 64 * 63 // 2
 
 
+def test_crowded_members_are_linked_at_every_distance(spark):
+    rng = random.Random(6)
+    centre = rng.getrandbits(63)
+    fps = sorted({centre ^ sum(1 << b for b in rng.sample(range(63), rng.randint(0, 3))) for _ in range(60)})
+    df = spark.createDataFrame([(f,) for f in fps], "fp long").coalesce(1)
+    for distance in range(5):
+        links = [(r.a, r.b) for r in simhash.crowded_links(df, distance).collect()]
+        assert all((a ^ b).bit_count() <= distance for a, b in links)
+        parent = {f: f for f in fps}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in links:
+            low, high = sorted((find(a), find(b)))
+            parent[high] = low
+        assert {f: find(f) for f in fps} == slow_components([(f, f) for f in fps], distance)
+
+
 def test_query(spark, tmp_path):
     rng = random.Random(4)
     texts = [" ".join(rng.choice("abcdefghij") * 3 for _ in range(300)) for _ in range(20)]

@@ -12,7 +12,7 @@ At most 4 different bits over three segments leave these cases, by the pigeonhol
 Distinct fingerprints are sent out under their keys, at most 51 each. Groups are read as sorted streams; fingerprints
 of a group are compared and only a spanning forest of their links leaves, so a group of g gives less than g rows.
 Groups above ``GROUP`` members are not held: their members are linked through all fingerprints within two bits,
-since two of them differ in 4 bits or fewer exactly if they share such a neighbour.
+since two of them differ in 4 bits or fewer exactly if they share such a neighbour; likewise for smaller distances.
 """
 
 from __future__ import annotations
@@ -175,11 +175,11 @@ def _linked(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Rec
         yield groups(held_keys, held_fps)
 
 
-def _neighbourhoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(z, fp) for every fingerprint z within two bits of fp."""
+def _neighbourhoods(batches: Iterator[pa.RecordBatch], radius: int = 2) -> Iterator[pa.RecordBatch]:
+    """(z, fp) for every fingerprint z within ``radius`` bits of fp, two at most."""
     one = np.uint64(1)
-    flips = [np.uint64(0)] + [one << np.uint64(i) for i in range(64)]
-    flips += [(one << np.uint64(i)) | (one << np.uint64(j)) for i, j in combinations(range(64), 2)]
+    flips = [np.uint64(0)] + [one << np.uint64(i) for i in range(64) if radius]
+    flips += [(one << np.uint64(i)) | (one << np.uint64(j)) for i, j in combinations(range(64), 2) if radius > 1]
     flips = np.array(flips, np.uint64)
     for batch in batches:
         fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
@@ -208,11 +208,19 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
     found = written(sent.mapInArrow(lambda b: _linked(b, distance), "a long, b long"), "simhash-links")
     crowded = found.where("b is null").select(F.col("a").alias("fp")).distinct()
     found = found.where("b is not null").distinct()
-    if distance < 4 or crowded.isEmpty():
-        return found
-    near = crowded.mapInArrow(_neighbourhoods, "z long, fp long")
-    least = near.groupBy("z").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    return found.unionByName(near.join(least, "z").select("a", F.col("fp").alias("b")).distinct())
+    return found if crowded.isEmpty() else found.unionByName(crowded_links(crowded, distance))
+
+
+def crowded_links(crowded: DataFrame, distance: int) -> DataFrame:
+    """(a, b) among the members of too large groups. Two differ in ``distance`` bits or fewer exactly if a fingerprint
+    is within half of it, rounded down, of the one and within the rest of it of the other. All that are within the
+    rest are linked to the smallest within the half."""
+    half = distance // 2
+    near = crowded.mapInArrow(lambda b: _neighbourhoods(b, distance - half), "z long, fp long")
+    within = F.bit_count(F.col("z").bitwiseXOR(F.col("fp"))) <= half
+    least = near.groupBy("z").agg(F.min(F.when(within, F.col("fp"))).alias("a"), F.count("*").alias("n")).where(
+        "n > 1 and a is not null")
+    return near.join(least, "z").select("a", F.col("fp").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, distance: int = 4, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
