@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendcast.llm import (
-    language, lines, mixing, nearest, neardup, packing, secrets, simhash, tokens, toxicity,
+    language, lines, mixing, nearest, neardup, packing, repair, secrets, simhash, tokens, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op9_language_id(spark, d):
     found = language.predictions(docs, language.fit(docs))
     return found.select("doc_id", F.coalesce(language.fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
                         "lang_pred", "score")
+
+
+@query
+def op11_conversation_repair(spark, d):
+    return repair.audits(repair.repair(repair.damaged(table(spark, d, "conversations"))))
