@@ -1,5 +1,6 @@
 """DuckDB SQL for those queries whose result SQL can express."""
 
+from trendcast.llm.chat import CONTROL, MARKS, NAMED, OTHER, OTHER_END
 from trendcast.llm.mixing import WEIGHTS
 from trendcast.llm.secrets import BASE, COMPLEMENTS, KINDS, SCOPE_BREAK, WEAK
 
@@ -122,3 +123,23 @@ roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
 counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN roots ON vec_id = node LEFT JOIN counts ON a = vec_id"""
+
+_MARKS = " ".join(f"WHEN '{role}' THEN {sum(map(len, marks))}" for role, marks in MARKS.items())
+
+SQL["op13_chat_format"] = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+r AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, {_quoted(CONTROL)}))
+         + CASE role {_MARKS} ELSE {len(OTHER + NAMED + OTHER_END)} + length(role)
+           + len(regexp_extract_all(role, {_quoted(CONTROL)})) END AS chars
+  FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text)))
+         AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, left(text, 64), md5(text))
+         FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM r GROUP BY conv_id"""
