@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendcast.llm import (
-    chat, language, lines, mixing, nearest, neardup, packing, repair, secrets, simhash, tokens, toxicity,
+    chat, collocations, language, lines, mixing, nearest, neardup, packing, repair, secrets, simhash, tokens, toxicity,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op13_chat_format(spark, d):
         F.lit(-1).cast(rows.schema["conv_id"].dataType).alias("conv_id"), F.col("id").cast(rows.schema["turn"].dataType).alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.reports(chat.formatted(rows.unionByName(probe)))
+
+
+@query
+def op12_collocations(spark, d):
+    return collocations.collocations(table(spark, d, "documents"))

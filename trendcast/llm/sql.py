@@ -143,3 +143,29 @@ SELECT conv_id, count(*) AS n_turns,
          FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM r GROUP BY conv_id"""
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SQL["op12_collocations"] = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+           translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+i AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS pos FROM w),
+g AS (SELECT lang, ws[pos:pos + m - 1] AS ph FROM i, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE pos + m - 1 <= len(ws)),
+f AS (SELECT lang, ph, len(ph) AS m, count(*) AS f FROM g GROUP BY lang, ph HAVING count(*) >= 30),
+t AS (SELECT lang, count(*) AS n FROM i GROUP BY lang),
+c AS (
+  SELECT a.lang, a.ph, a.f AS a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * a.f) // (l.f::HUGEINT + r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) a
+  JOIN f l ON l.lang = a.lang AND l.ph = a.ph[1:k] JOIN f r ON r.lang = a.lang AND r.ph = a.ph[k + 1:a.m]),
+s AS (SELECT *, row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) AS cut FROM c),
+b AS (
+  SELECT lang, ph[x:y] AS ph, max(f) AS longer
+  FROM (SELECT *, unnest(range(1, m)) AS x FROM f WHERE m > 2) q, (SELECT unnest([2, 3, 4]) AS y) e
+  WHERE y > x AND y <= m AND y - x + 1 < m GROUP BY ALL),
+o AS (
+  SELECT s.lang, array_to_string(s.ph, ' ') AS phrase, a, l, r, score FROM s LEFT JOIN b ON b.lang = s.lang AND b.ph = s.ph
+  WHERE cut = 1 AND (longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM z JOIN t USING (lang) WHERE rank <= 2000"""
