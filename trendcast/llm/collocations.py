@@ -190,7 +190,9 @@ def phrase_counts(docs: DataFrame, numbers: Numbers, least: int) -> DataFrame:
     else:
         counted = found.groupBy(*PLACES).agg(F.count("*").alias("f"))
         prefix, pairs = PLACES[:-1], [F.col("w1"), F.col("w2")]
-    longest = counted.where((F.col("w4") != 0) & (F.col("f") >= least)).select(*pairs, "w3", "w4", "f")
+    # Judged on the count, so that the filter stays above the aggregate and both uses share one shuffle.
+    fourth = F.when(F.col("f") >= least, F.col("w4")).otherwise(F.lit(0))
+    longest = counted.where(fourth != 0).select(*pairs, "w3", "w4", "f")
     whole = F.grouping_id() == 0
     two_words = F.grouping_id() == 1
     shorter = counted.rollup(*prefix).agg(F.sum("f").alias("f"), whole.alias("three"), two_words.alias("two"))
