@@ -24,7 +24,7 @@ from trendcast.llm.shared import small_batches, text_or_empty, written
 ORDER = 4
 PLACES = [f"w{i}" for i in range(1, ORDER + 1)]
 DICTIONARY = 400_000
-FLUSH = 400_000
+FLUSH = 1_000_000
 SPAN = 1 << 20
 
 # Pieces end at these; ASCII capitals are lowered; byte 0xFF, which UTF-8 never has, stands for the end of a piece.
@@ -162,13 +162,14 @@ def windows(docs: DataFrame, numbers: Numbers) -> DataFrame:
 def _numbered(vocabulary: DataFrame, counts, dictionary: int, least: int) -> tuple[DataFrame, Numbers]:
     """(code, lang, word, n) of the frequent words, and the numbers of all."""
     frequent = vocabulary.where(F.col("word").isNotNull())
-    if frequent.count() <= dictionary:
-        order = Window.orderBy(F.desc("n"), "lang", "word")  # of at most ``dictionary`` rows
-        codes = written(frequent.withColumn("code", F.row_number().over(order).cast("long")), "word-ranks")
+    if frequent.count() <= dictionary:  # few enough to number here
+        rows = sorted(frequent.select("n", "lang", "word").toArrow().to_pylist(), key=lambda r: (-r["n"], r["lang"], r["word"]))
         ranks: dict[str, dict[bytes, int]] = {}
-        for r in codes.select("lang", "word", "code").toArrow().to_pylist():
-            ranks.setdefault(r["lang"], {})[r["word"].encode()] = r["code"]
-        return codes, Numbers(ranks, "")
+        for code, r in enumerate(rows, 1):
+            ranks.setdefault(r["lang"], {})[r["word"].encode()] = code
+        listed = pa.table({"code": pa.array(range(1, len(rows) + 1), pa.int64()), **{
+            k: pa.array([r[k] for r in rows], t) for k, t in (("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()))}})
+        return written(vocabulary.sparkSession.createDataFrame(listed), "word-ranks"), Numbers(ranks, "")
     everything = written(counts().where(F.col("word").isNotNull()).select("lang", "word", "n"), "all-words")
     salt = 0
     while not everything.groupBy(hashed(str(salt))).count().where("count > 1").isEmpty():
@@ -180,13 +181,14 @@ def _numbered(vocabulary: DataFrame, counts, dictionary: int, least: int) -> tup
 def phrase_counts(docs: DataFrame, numbers: Numbers, least: int) -> DataFrame:
     """(w1, ..., w4, f) of all phrases of two words and more with f >= ``least``; shorter ones end in zeros."""
     found = windows(docs, numbers)
-    if numbers.ranks is not None:  # two ranks fit one number: narrower rows in the shuffle
-        pair = F.shiftleft("w1", 32).bitwiseOR(F.col("w2")).alias("w12")
-        rest = F.shiftleft("w3", 32).bitwiseOR(F.col("w4")).alias("w34")
+    if numbers.ranks is not None:  # two ranks fit one number, in as few bits as they take: narrower rows in the shuffle
+        bits = sum(map(len, numbers.ranks.values())).bit_length()
+        low = F.lit((1 << bits) - 1)
+        pair = F.shiftleft("w1", bits).bitwiseOR(F.col("w2")).alias("w12")
+        rest = F.shiftleft("w3", bits).bitwiseOR(F.col("w4")).alias("w34")
         counted = found.groupBy(pair, rest).agg(F.count("*").alias("f")).select(
-            "w12", F.shiftright("w34", 32).alias("w3"), F.col("w34").bitwiseAND(F.lit((1 << 32) - 1)).alias("w4"), "f")
-        prefix, pairs = ["w12", "w3"], [F.shiftright("w12", 32).alias("w1"),
-                                        F.col("w12").bitwiseAND(F.lit((1 << 32) - 1)).alias("w2")]
+            "w12", F.shiftright("w34", bits).alias("w3"), F.col("w34").bitwiseAND(low).alias("w4"), "f")
+        prefix, pairs = ["w12", "w3"], [F.shiftright("w12", bits).alias("w1"), F.col("w12").bitwiseAND(low).alias("w2")]
     else:
         counted = found.groupBy(*PLACES).agg(F.count("*").alias("f"))
         prefix, pairs = PLACES[:-1], [F.col("w1"), F.col("w2")]
