@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from trendcast.functions.periods import with_period
 from trendcast.operators import (
     backtest, cleaning, features, metrics, models, ols, recursive, reshape, rollups, segment, segmented, splits, stats,
-    textvec,
+    textvec, trees,
 )
 from trendcast.plans.bindings import (
     FLAGS, HORIZON, STOP_WORDS, TRAIN_END, TYPES, VAL_END, WINDOWS, document_features, hourly_events, nation_orders,
@@ -434,7 +434,7 @@ def forest_backtest(spark, d):
 @query
 def boosting_scores(spark, d):
     rows, names = _tree_rows(spark, d)
-    return backtest.rolling_backtest(models.BOOSTING, rows, names, WINDOWS, clip=True)
+    return trees.backtest_grid(models.BOOSTING, rows, names, WINDOWS, [{}], clip=True)
 
 
 @query
@@ -479,16 +479,37 @@ def baseline_tuning(spark, d):
 
 @query
 def tree_tuning(spark, d):
-    """Both tree models over their whole grids, the selected parameters of each, and the naive and linear averages."""
+    """Both tree models over their whole grids, on all lag-safe features: rolling averages, and the selected parameters of
+    each. Beside them the naive averages, and the linear ones on the four features of ``baseline_tuning``."""
     rows, names = _tree_rows(spark, d)
+    t = _orders_table(spark, d)
+    every = features.default_features(t.columns, FLAGS)
     grids = {models.FOREST: splits.parameter_grid(models.FOREST_GRID),
              models.BOOSTING: splits.parameter_grid(models.BOOSTING_GRID)}
-    tables, best = backtest.tune_tree_models(rows, names, WINDOWS, grids, clip=True)
-    best = [F.col("hyperparameters") == backtest.params_json(p) for p in [best[m] for m in tables]]
-    tuned = [t.withColumn("selected", chosen) for t, chosen in zip(tables.values(), best)]
+    tables, best = trees.tune_jointly(features.model_rows(t, every), every, WINDOWS, grids, clip=True)
+    best = [F.col("hyperparameters") == backtest.params_json(best[m]) for m in tables]
+    tuned = [table.withColumn("selected", chosen) for table, chosen in zip(tables.values(), best)]
     return backtest.union_all([*tuned, _baselines(rows, names)])
 
 
+def _rounded_nodes(nodes):
+    return nodes.select("node", "feature", "threshold", "rows", F.round("gain", 4).alias("gain"), F.round("value", 6).alias("value"))
+
+
+@query
+def tree_nodes(spark, d):
+    """The nodes of one tree of depth 2 on all months, without draws, each child of three months at least."""
+    rows, names = _tree_rows(spark, d)
+    return _rounded_nodes(trees.single_tree(rows, names, 2, min_leaf=3))
+
+
+@query
+def boosting_first_round(spark, d):
+    """The stump that boosting grows first, without draws: leaves are shrunk by the penalty."""
+    rows, names = _tree_rows(spark, d)
+    return _rounded_nodes(trees.single_tree(rows, names, 1, l2=trees.LEAF_PENALTY, centred=True))
+
+
 @query
 def ablation_scores(spark, d):
     t = _orders_table(spark, d).persist()

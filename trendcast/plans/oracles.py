@@ -498,3 +498,30 @@ SQL["baseline_tuning"] = f"""WITH {_MODEL}, {_WTABLE}, tagged AS (SELECT window_
 scores AS (SELECT model, window_id, {_METRICS} FROM held GROUP BY ALL)
 SELECT model, '{{}}' AS hyperparameters, round(avg("MAE"), 6) AS "average_MAE", round(avg("RMSE"), 6) AS "average_RMSE",
   round(avg("MAPE"), 6) AS "average_MAPE" FROM scores GROUP BY model"""
+
+
+# --- trees: a search over all splits -----------------------------------------------------------------
+def _tree_sql(target: str, depth: int, least: int, l2: float) -> str:
+    """All splits of every node of a level, the best of each, and the rows of its children."""
+    gain = f"gl * gl / (hl + {l2}) + (g - gl) * (g - gl) / (h - hl + {l2}) - g * g / (h + {l2})"
+    cells = " UNION ALL ".join(
+        f"SELECT node, {i} AS feature, {x}::DOUBLE AS v, y FROM rows_{{k}}" for i, x in enumerate(_X4))
+    parts = [f"WITH {_MODEL}, rows_0 AS (SELECT 1 AS node, {', '.join(_X4)}, {target} AS y FROM lagged WHERE lag_2 IS NOT NULL)"]
+    for k in range(depth):
+        values = " ".join(f"WHEN {i} THEN {x}::DOUBLE" for i, x in enumerate(_X4))
+        parts.append(f"""cells_{k} AS (SELECT node, feature, v, count(*)::DOUBLE AS h, sum(y) AS g FROM ({cells.format(k=k)}) GROUP BY ALL),
+sums_{k} AS (SELECT node, feature, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY node, feature) AS g,
+  sum(h) OVER (PARTITION BY node, feature) AS h FROM cells_{k} WINDOW w AS (PARTITION BY node, feature ORDER BY v)),
+best_{k} AS (SELECT * FROM (SELECT *, {gain} AS gain FROM sums_{k} WHERE hl >= {least} AND h - hl >= {least})
+  WHERE gain > 1e-9 * greatest(1.0, g * g / (h + {l2})) QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 6) DESC, feature, v) = 1),
+rows_{k + 1} AS (SELECT r.node * 2 + (CASE feature {values} END > v)::INTEGER AS node, {', '.join(_X4)}, y
+  FROM rows_{k} r JOIN best_{k} b ON r.node = b.node)""")
+    out = [f"""SELECT r.node, ({_X4})[max(feature) + 1] AS feature, max(v) AS threshold, count(*) AS rows,
+  round(max(gain), 4) AS gain, round(sum(y) / (count(*) + {l2}), 6) AS value
+  FROM rows_{k} r LEFT JOIN best_{k} b ON r.node = b.node GROUP BY r.node""" for k in range(depth)]
+    out.append(f"""SELECT node, NULL, NULL, count(*), NULL, round(sum(y) / (count(*) + {l2}), 6) FROM rows_{depth} GROUP BY node""")
+    return ",\n".join(parts) + "\n" + "\nUNION ALL ".join(out)
+
+
+SQL["tree_nodes"] = _tree_sql("n::DOUBLE", 2, 3, 0.0)
+SQL["boosting_first_round"] = _tree_sql("n - (SELECT avg(n) FROM lagged WHERE lag_2 IS NOT NULL)", 1, 1, 1.0)
