@@ -2,7 +2,7 @@
 
 import pytest
 
-from trendcast.operators import backtest, models, segment, splits, textvec
+from trendcast.operators import backtest, models, segment, splits, textvec, trees
 from trendcast.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
@@ -26,14 +26,20 @@ def call(spark, name):
     return seen.value.args
 
 
-@pytest.mark.parametrize("name", ["forest_backtest", "boosting_backtest", "pooled_forest_backtest", "model_recommendation"])
+@pytest.mark.parametrize("name", ["forest_backtest", "pooled_forest_backtest", "model_recommendation"])
 def test_back_tests_use_the_default_counts(spark, monkeypatch, name):
     recorded(monkeypatch, backtest, "rolling_backtest")
     assert call(spark, name)[1].get("params") is None
 
 
+def test_boosting_uses_the_default_counts(spark, monkeypatch):
+    recorded(monkeypatch, trees, "backtest_grid")
+    args, _ = call(spark, "boosting_backtest")
+    assert args[0] == models.BOOSTING and args[4] == [{}]
+
+
 def test_tuning_covers_both_grids(spark, monkeypatch):
-    recorded(monkeypatch, backtest, "tune_tree_models")
+    recorded(monkeypatch, trees, "tune_jointly")
     args, _ = call(spark, "tree_tuning")
     assert {m: len(g) for m, g in args[3].items()} == {models.FOREST: 27, models.BOOSTING: 27}
 

@@ -11,13 +11,13 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from trendcast.functions.arrays import first_arg_max
 from trendcast.functions.coerce import finite
+from trendcast.operators import kmeans
 from trendcast.operators.backtest import in_parallel
 from trendcast.operators.cleaning import present
 from trendcast.operators.textvec import (
@@ -124,7 +124,10 @@ def silhouette_scores(
 
 
 def _packed_tile(part: pd.DataFrame) -> pd.DataFrame:
-    body = pickle.dumps((part["row"].to_numpy(), np.array(part["x"].tolist(), dtype=float), [list(x) for x in part["labels"]]))
+    """A tile as bytes: row numbers, vectors, and for each labelling the labels' numbers and names."""
+    x = np.array(part["x"].tolist(), dtype=float)
+    coded = [pd.factorize(pd.Series(list(column), dtype=object), use_na_sentinel=False) for column in zip(*part["labels"])]
+    body = pickle.dumps((part["row"].to_numpy(), x, [(codes, list(names)) for codes, names in coded]))
     return pd.DataFrame({"tile": part["tile"].iloc[:1], "body": [body]})
 
 
@@ -139,15 +142,15 @@ def _distance_sums(pair: pd.DataFrame) -> pd.DataFrame:
     if pair["a"].iloc[0] == pair["b"].iloc[0]:
         np.fill_diagonal(dist, 0.0)
     out = []
-    for which in range(len(own[0])):
-        labels = [t[which] for t in theirs]
-        clusters = list(dict.fromkeys(labels))
-        onehot = np.array([[c == t for c in clusters] for t in labels], dtype=float)
+    for which, ((own_codes, own_names), (codes, clusters)) in enumerate(zip(own, theirs)):
+        onehot = np.zeros((len(codes), len(clusters)))
+        onehot[np.arange(len(codes)), codes] = 1.0
         sums, sizes = dist @ onehot, onehot.sum(axis=0)
-        for j, cluster in enumerate(clusters):
-            out.append(pd.DataFrame({
-                "row": rows, "which": which, "own": [o[which] for o in own], "cluster": cluster,
-                "total": sums[:, j], "n": int(sizes[j])}))
+        out.append(pd.DataFrame({
+            "row": np.repeat(rows, len(clusters)), "which": which,
+            "own": np.repeat(np.array(own_names, dtype=object)[own_codes], len(clusters)),
+            "cluster": np.tile(np.array(clusters, dtype=object), len(rows)),
+            "total": sums.ravel(), "n": np.tile(sizes.astype(int), len(rows))}))
     return pd.concat(out)[names]
 
 
@@ -223,33 +226,41 @@ def nearest_centroid(df: DataFrame, vector: str, centres: DataFrame, label: str,
     return out.select(*df.columns, F.col("__best.c").alias(output), F.col("__best.d").alias("squared_distance"))
 
 
-def choose_k(
-    df: DataFrame,
-    vector: str,
-    k_values: Sequence[int] = K_VALUES,
-    restarts: int = RESTARTS,
-    seed: int = 42,
-    threads: int = 4,
-) -> DataFrame:
-    """Squared Euclidean silhouette (rounded to 4 places) for each candidate k, best first, smaller k on ties.
-
-    Every k is fitted on all rows and scored over all rows.
+MEASURES = ("euclidean", "squared")
+
+
+def best_fits(df: DataFrame, vector: str, k_values: Sequence[int] = K_VALUES, restarts: int = RESTARTS, seed: int = 42,
+              measure: str = "euclidean") -> tuple[DataFrame, dict[int, kmeans.Fit]]:
+    """The scores of each candidate k (see ``choose_k``) and the best fit of each, all found together."""
+    if measure not in MEASURES:
+        raise ValueError(f"unknown measure {measure!r}; use one of {', '.join(MEASURES)}")
+    fits = kmeans.fit_many(df, vector, k_values, range(seed, seed + restarts))
+    labelled = df.select(F.col(vector).cast("array<double>").alias("v"), kmeans.labels(vector, fits).alias("c")).where(
+        "v is not null") if fits else None
+    names = {k: f"k_{k}" for k in fits}
+    table = []
+    if labelled is not None:
+        wide = labelled.select("v", *[F.get("c", F.lit(i)).alias(name) for i, name in enumerate(names.values())]).persist()
+        if measure == "euclidean":
+            found = {r["labelling"]: r["silhouette"] for r in silhouette_scores(wide, "v", list(names.values())).collect()}
+        else:
+            found = {name: silhouette_squared(wide, "v", name).first()[0] for name in names.values()}
+        several = wide.agg(*[F.min(n) != F.max(n) for n in names.values()]).first()
+        table = [(k, found.get(name) if more else None) for (k, name), more in zip(names.items(), several)]
+        wide.unpersist()
+    scores = df.sparkSession.createDataFrame(table, "k int, silhouette_score double")
+    return scores.withColumn("silhouette_score", F.round("silhouette_score", 4)).orderBy(
+        F.desc_nulls_last("silhouette_score"), "k"), fits
+
+
+def choose_k(df: DataFrame, vector: str, k_values: Sequence[int] = K_VALUES, restarts: int = RESTARTS, seed: int = 42,
+             measure: str = "euclidean") -> DataFrame:
+    """Silhouette (rounded to 4 places) for each candidate k, best first, smaller k on ties; null for one cluster.
+
+    Every k is fitted on all rows and scored over all rows. The Euclidean silhouette takes work in proportion to the
+    square of the rows, all candidates in one pass over the tiles; ``measure="squared"`` is one scan for each k.
     """
-    features = df.select(array_to_vector(vector).alias("features")).persist()
-    seeds = range(seed, seed + restarts)
-    judge = ClusteringEvaluator(predictionCol="cluster", featuresCol="features", metricName="silhouette")
-
-    def score(k: int) -> tuple[int, float | None]:
-        labelled = fit_kmeans(features, k, seeds, threads=2).transform(features)
-        if labelled.select("cluster").distinct().limit(2).count() < 2:
-            return k, None
-        return k, judge.evaluate(labelled)
-
-    scores = in_parallel(score, k_values, threads)
-    features.unpersist()
-    table = df.sparkSession.createDataFrame(scores, "k int, silhouette_score double")
-    return table.withColumn("silhouette_score", F.round("silhouette_score", 4)).orderBy(
-        F.desc_nulls_last("silhouette_score"), "k")
+    return best_fits(df, vector, k_values, restarts, seed, measure)[0]
 
 
 def segment_balance(df: DataFrame, cluster: str, scheme: str | None = None) -> DataFrame:
@@ -305,15 +316,8 @@ def segment_profile(
     ).orderBy("cluster")
 
 
-def _select_and_fit(
-    train: DataFrame, vector: str, k_values: Sequence[int], restarts: int, seed: int, threads: int,
-    selection: list | None = None,
-) -> tuple[list, KMeansModel]:
-    rows = choose_k(train, vector, k_values, restarts, seed, threads).collect() if selection is None else selection
-    features = train.select(array_to_vector(vector).alias("features")).persist()
-    model = fit_kmeans(features, rows[0]["k"], range(seed, seed + restarts), threads=threads)
-    features.unpersist()
-    return rows, model
+def _assigned(vectors: DataFrame, vector: str, fit: kmeans.Fit, cluster: str) -> DataFrame:
+    return vectors.withColumn(cluster, F.get(kmeans.labels(vector, {fit.k: fit}), F.lit(0)))
 
 
 def numeric_segmentation(
@@ -329,14 +333,14 @@ def numeric_segmentation(
     flags: Sequence[str] = (),
     types: Sequence[str] = (),
     cluster: str = "numeric_cluster",
-    threads: int = 4,
+    measure: str = "euclidean",
 ) -> Segmentation:
     """Scale and cluster the training rows, then assign every row with the frozen model."""
     scaler = fit_scaler(train, columns)
     scaled = scaler.transform(train.select(id_col, *columns)).select(id_col, "scaled")
-    rows, model = _select_and_fit(scaled, "scaled", k_values, restarts, seed, threads)
-    vectors = scaler.transform(full).withColumn("__features", array_to_vector("scaled"))
-    assigned = model.setFeaturesCol("__features").setPredictionCol(cluster).transform(vectors).drop("__features", "scaled")
+    scores, fits = best_fits(scaled, "scaled", k_values, restarts, seed, measure)
+    rows = scores.collect()
+    assigned = _assigned(scaler.transform(full), "scaled", fits[rows[0]["k"]], cluster).drop("scaled")
     fit_end = train.agg(F.max(period)).first()[0]
     selection = _selection_table(full, rows, {"fit_end": fit_end})
     return Segmentation(assigned, selection, segment_profile(assigned, cluster, period, means, flags, types))
@@ -363,7 +367,7 @@ def text_segmentation(
     types: Sequence[str] = (),
     cluster: str = "text_cluster",
     stop_words: Sequence[str] | None = None,
-    threads: int = 4,
+    measure: str = "euclidean",
 ) -> Segmentation:
     """Try each vector option on the training rows, keep the best silhouette, assign every row.
 
@@ -375,7 +379,7 @@ def text_segmentation(
     floor = min(option["min_df"] for option in grid)
     stats = term_statistics(terms).filter(F.col("df") >= floor).persist()
     n_documents = train.count()
-    best: tuple[float, dict, TfidfModel, SvdModel, list] | None = None
+    best: tuple[float, dict, TfidfModel, SvdModel, list, kmeans.Fit] | None = None
     tried = []
     for option in grid:
         tfidf = tfidf_from_statistics(stats, n_documents, option["min_df"], option["max_features"])
@@ -383,8 +387,10 @@ def text_segmentation(
             continue
         size = max(2, min(option["svd_components"], len(tfidf.vocabulary) - 1))
         svd = fit_svd(tfidf.transform(terms), size, len(tfidf.vocabulary))
-        reduced = _reduce(tfidf.transform(terms), svd)
-        rows = choose_k(reduced, "reduced", k_values, restarts, seed, threads).collect()
+        reduced = _reduce(tfidf.transform(terms), svd).select("reduced").persist()
+        scores, fits = best_fits(reduced, "reduced", k_values, restarts, seed, measure)
+        rows = scores.collect()
+        reduced.unpersist()
         variance = round(svd.explained_variance, 4)
         score = rows[0]["silhouette_score"]
         score = -1.0 if score is None else score
@@ -394,17 +400,14 @@ def text_segmentation(
         }
         tried.append((settings["min_df"], settings["max_features"], size, rows[0]["k"], score, variance))
         if best is None or score > best[0]:
-            best = (score, settings, tfidf, svd, rows)
+            best = (score, settings, tfidf, svd, rows, fits[rows[0]["k"]])
     if best is None:
         raise ValueError("no vector option leaves two or more terms")
-    _, settings, tfidf, svd, rows = best
-    reduced = _reduce(tfidf.transform(terms), svd).select(id_col, "reduced")
-    _, model = _select_and_fit(reduced, "reduced", k_values, restarts, seed, threads, rows)
+    _, settings, tfidf, svd, rows, fit = best
     stats.unpersist()
 
     vectors = _reduce(tfidf.transform(add_terms(full, text_col, stop_words)), svd)
-    ready = vectors.withColumn("__features", array_to_vector("reduced"))
-    labelled = model.setFeaturesCol("__features").setPredictionCol(cluster).transform(ready).drop("__features", "reduced", "terms")
+    labelled = _assigned(vectors, "reduced", fit, cluster).drop("reduced", "terms")
     assigned = labelled.drop("tfidf")
     profile = segment_profile(labelled, cluster, period, means, flags, types, {"__mean": mean_vector()}) \
         .withColumn("top_terms", top_terms(F.col("__mean"), tfidf)).drop("__mean")
