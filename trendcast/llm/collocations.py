@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import small_batches, text_or_empty, written
+from trendcast.llm.shared import small_batches, text_or_empty, tidy, written
 
 ORDER = 4
 PLACES = [f"w{i}" for i in range(1, ORDER + 1)]
@@ -83,7 +83,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if counts:
             yield rows(counts)
 
-    return read(docs).mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(
+    return read(docs).mapInArrow(tidy(count), "lang string, word string, n long").groupBy("lang", "word").agg(
         F.sum("n").alias("n"))
 
 
@@ -156,7 +156,7 @@ def windows(docs: DataFrame, numbers: Numbers) -> DataFrame:
         begins = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
         return batch.slice(0, int(np.searchsorted(begins, n - (ORDER - 1))))
 
-    return read(docs).mapInArrow(emit, ", ".join(f"{p} long" for p in PLACES))
+    return read(docs).mapInArrow(tidy(emit), ", ".join(f"{p} long" for p in PLACES))
 
 
 def _numbered(vocabulary: DataFrame, counts, dictionary: int, least: int) -> tuple[DataFrame, Numbers]:

@@ -19,7 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import small_batches, text_or_empty, written
+from trendcast.llm.shared import small_batches, text_or_empty, tidy, written
 from trendcast.llm.vocabulary import tokenizer_path
 
 SAMPLE = 600
@@ -140,7 +140,7 @@ def fit(docs: DataFrame, path: str | None = None, held_out: int = 0, folds: int
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string())], ["lang", "word"])
 
     texts = usable.join(F.broadcast(ids), ["doc_id", "lang"]).select("lang", "text")
-    counted = written(texts.mapInArrow(split, "lang string, word string").groupBy("lang", "word").count(), "words")
+    counted = written(texts.mapInArrow(tidy(split), "lang string, word string").groupBy("lang", "word").count(), "words")
     known = set(vocabulary(path))
 
     def summed(per_word):
@@ -236,4 +236,4 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(language, pa.string()), pa.array(
                 score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return kept.mapInArrow(work, f"doc_id {id_type}, lang_pred string, score double")
+    return kept.mapInArrow(tidy(work), f"doc_id {id_type}, lang_pred string, score double")

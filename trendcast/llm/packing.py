@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trendcast.llm.shared import small_batches, text_or_empty, written
+from trendcast.llm.shared import small_batches, text_or_empty, tidy, written
 from trendcast.llm.vocabulary import WordEncoder, tokenizer_path
 
 CAPACITY = 4096
@@ -49,7 +49,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, end_id: int = 1, capa
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
                  pa.array(start, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "piece", "start", "ids"])
 
-    return kept.mapInArrow(encode, f"doc_id {id_type}, piece int, start long, ids binary")
+    return kept.mapInArrow(tidy(encode), f"doc_id {id_type}, piece int, start long, ids binary")
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:

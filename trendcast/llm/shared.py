@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words end at ASCII white space only.
@@ -37,6 +41,21 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
         spark.conf.set(name, rows)
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` that gives its memory back when a task ends: Python workers live on and take tasks of later stages."""
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return run
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

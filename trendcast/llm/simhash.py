@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from trendcast.llm.shared import components, small_batches, text_or_empty, written
+from trendcast.llm.shared import components, small_batches, text_or_empty, tidy, written
 
 SHINGLE, SEED = 4, 42
 GROUP = 8192
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> D
             fps = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
 
-    return kept.mapInArrow(work, f"doc_id {id_type}, fp long")
+    return kept.mapInArrow(tidy(work), f"doc_id {id_type}, fp long")
 
 
 class Golay:
@@ -204,7 +204,7 @@ def links(fps: DataFrame, distance: int = 4) -> DataFrame:
                 keys, at = keys_of(part, golay)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(part[at])], ["key", "fp"])
 
-    sent = fps.select("fp").mapInArrow(send, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
+    sent = fps.select("fp").mapInArrow(tidy(send), "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
     found = written(sent.mapInArrow(lambda b: _linked(b, distance), "a long, b long"), "simhash-links")
     crowded = found.where("b is null").select(F.col("a").alias("fp")).distinct()
     found = found.where("b is not null").distinct()

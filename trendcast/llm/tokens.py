@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trendcast.llm.shared import small_batches, text_or_empty
+from trendcast.llm.shared import small_batches, text_or_empty, tidy
 from trendcast.llm.vocabulary import PrefixCounter, tokenizer_path
 
 SCHEMA = "n_bytes long, n_tokens long, prefix_changes binary"
@@ -39,7 +39,7 @@ def prefix_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
                 [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
                  pa.array(changes, pa.binary())], ["doc_id", "n_bytes", "n_tokens", "prefix_changes"])
 
-    return kept.mapInArrow(count, f"doc_id {id_type}, {SCHEMA}")
+    return kept.mapInArrow(tidy(count), f"doc_id {id_type}, {SCHEMA}")
 
 
 def _running(changes) -> list[int]:

@@ -28,12 +28,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from trendcast.llm.shared import small_batches
+from trendcast.llm.shared import small_batches, tidy
 
 SAMPLE = 2500
 PLAIN_WINDOWS = 30_000
 LONGEST, OVERLAP = 512, 64  # characters of a window, and those that it shares with the next one of its run
-CACHE = 200_000
+CACHE, ENTRY = 32 << 20, 200  # bytes of the cache of windows, and of an entry beside its window
 LEVEL, TOXIC_BYTES, ORDINARY_BYTES = 12, 4096, 16384
 THRESHOLDS = (2, 4, 5, 6, 7, 8, 10)  # bytes
 MARKS = ".,!?*%$&|\"'()[]{}:;-_#@<>/\\0123456789"
@@ -74,11 +74,14 @@ class Scorer:
 
         self.model, self.toxic, self.ordinary = model, compressor(model.toxic), compressor(model.ordinary)
         self.known: dict[str, int] = {}
+        self.held = 0
 
     def _fresh(self, window: str) -> int:
         code = spelled(window)
-        if len(self.known) >= CACHE:
+        if self.held > CACHE:
             self.known.clear()
+            self.held = 0
+        self.held += len(window) + ENTRY
         gain = self.known[window] = len(self.ordinary.compress(code)) - len(self.toxic.compress(code))
         return gain
 
@@ -207,4 +210,4 @@ def scores(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*columns, "score"])
 
     kinds = docs.select(*columns).schema.fields
-    return rows.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", score double")
+    return rows.mapInArrow(tidy(work), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds) + ", score double")

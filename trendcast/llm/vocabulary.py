@@ -1,7 +1,7 @@
 """Encoding with the public tokenizer files, through caches of what texts repeat.
 
 Words repeat, so texts are cut where no token can reach across, and each distinct cut is encoded once per worker.
-The caches are emptied when they reach ``CACHE`` entries, so memory stays bounded.
+The caches are emptied when they reach ``CACHE`` bytes, so memory stays bounded.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from array import array
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CACHE = 400_000
+CACHE, ENTRY = 48 << 20, 200  # bytes of a cache, and of an entry beside what it holds
 # White space as the tokenizers' patterns have it, which is not quite Python's.
 SPACE = "\t\n\v\f\r \x85\xa0  -     　"
 
@@ -61,6 +61,7 @@ class Encoder:
         self.model, self.letters = self.tokenizer.model, ByteLetters()
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def has_special(self, text: str) -> bool:
         return any(s in text for s in self.specials)
@@ -72,11 +73,12 @@ class Encoder:
         """What the pieces of one text give, in order."""
         known = self.known
         missing = set(pieces).difference(known)
-        if len(known) + len(missing) > CACHE:
+        if self.held > CACHE:
             known.clear()
-            missing = set(pieces)
+            self.held, missing = 0, set(pieces)
         for piece in missing:
-            known[piece] = self.fresh(piece)
+            found = known[piece] = self.fresh(piece)
+            self.held += len(piece) + len(found) + ENTRY
         return b"".join(map(known.__getitem__, pieces))
 
 
@@ -127,7 +129,7 @@ class PrefixCounter(Encoder):
         key = f"{left} {right}"  # a space is no letter of a spelled token
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= CACHE:
+            if len(self.pairs) >= CACHE // ENTRY:
                 self.pairs.clear()
             known = [t.value for t in self.model.tokenize(left + right)] == key.split()
             self.pairs[key] = known
