@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendcast.functions.periods import with_period
 from trendcast.operators import (
-    backtest, cleaning, features, metrics, models, ols, recursive, reshape, rollups, segment, segmented, splits, stats,
-    textvec, trees,
+    backtest, cleaning, features, metrics, models, ols, recursive, reshape, rollups, segment, segmented, spectrum, splits,
+    stats, textvec, trees,
 )
 from trendcast.plans.bindings import (
     FLAGS, HORIZON, STOP_WORDS, TRAIN_END, TYPES, VAL_END, WINDOWS, document_features, hourly_events, nation_orders,
@@ -638,6 +638,20 @@ def svd_vectors(spark, d):
     return _svd(spark, d)[1].select("doc_id", "reduced")
 
 
+@query
+def svd_spectrum(spark, d):
+    """The 100 largest singular values of the TF-IDF table, each with its residual and the scans that gave them."""
+    terms = _terms(spark, d).select("doc_id", "terms")
+    option = textvec.TEXT_GRID[-1]
+    model = textvec.fit_tfidf(terms, option["min_df"], option["max_features"])
+    parts = textvec.sparse_parts(model.transform(terms)).persist()
+    found = spectrum.truncated_svd(parts, option["svd_components"], len(model.vocabulary))
+    parts.unpersist()
+    return spark.createDataFrame(
+        [(i + 1, float(s), float(r), found.scans) for i, (s, r) in enumerate(zip(found.values, found.residuals))],
+        "component int, singular_value double, residual double, scans int")
+
+
 @query
 def svd_projection(spark, d):
     svd, reduced = _svd(spark, d)
