@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from trendcast.operators.features import last_values
 from trendcast.operators.metrics import clip_non_negative
-from trendcast.operators.models import LinearModel, NaiveModel
+from trendcast.operators.models import LinearModel, NaiveModel, TreeModel
+from trendcast.operators.walk import compile_trees, tree_predictor, with_trees
 from trendcast.session import cut_lineage
 
 MODES = ("reference", "consistent")
@@ -171,7 +172,11 @@ def loop_forecast(
 
 
 def forecast(start: DataFrame, model: Any, horizon: int, **options: Any) -> DataFrame:
-    """Forecast with any fitted model: by a fold where its prediction is an expression, else step by step."""
+    """Forecast with any fitted model: by a fold where its prediction is an expression, as it is for naive, linear and
+    tree models, else step by step."""
     if isinstance(model, (NaiveModel, LinearModel)):
         return fold_forecast(start, model.predict, horizon, **options)
+    if isinstance(model, TreeModel):
+        trees = compile_trees(model)
+        return fold_forecast(with_trees(start, trees), tree_predictor(trees, model.features), horizon, **options)
     return loop_forecast(start, model, horizon, **options)

@@ -12,7 +12,7 @@ from trendcast.operators.features import SEGMENT_FEATURES, model_rows, segment_m
 from trendcast.operators.metrics import METRICS, clip_non_negative, forecast_metrics
 from trendcast.operators.models import FOREST, LINEAR, NAIVE, NaiveModel, check_model_name, fit_model
 from trendcast.operators.ols import fit_ols, ols_holdout
-from trendcast.operators.recursive import fold_forecast, forecast_linear, forecast_start, loop_forecast
+from trendcast.operators.recursive import fold_forecast, forecast, forecast_linear, forecast_start
 
 TOTAL_LABEL = "aggregated_total"
 TREE_FITS = ("per_segment", "pooled")
@@ -98,7 +98,8 @@ def _tree_fit(
         mine = only(rows, scope)
         if split == "future":
             model = fit_model(name, mine, SEGMENT_FEATURES, target, params, seed)
-            steps = loop_forecast(only(start, scope), model, horizon, keys, period, SEGMENT_FEATURES, mode, True, clip)
+            steps = forecast(only(start, scope), model, horizon, keys=keys, period=period, features=SEGMENT_FEATURES,
+                             mode=mode, zero_growth=True, clip=clip)
             return steps.select(*keys, period, "predicted")
         last, held = (train_end, p.between(train_end + 1, val_end)) if split == "validation" else (val_end, p > val_end)
         model = fit_model(name, mine.filter(p <= last), SEGMENT_FEATURES, target, params, seed)
