@@ -62,6 +62,41 @@ def convert_types(
     return df.withColumns(changes) if changes else df
 
 
+def date_format_tally(df: DataFrame, columns: Sequence[str], formats: Sequence[str]) -> DataFrame:
+    """How well each format reads each text column: (column_name, format, n_values, n_parsed, n_only, chosen).
+
+    ``n_values`` counts texts that are not null or blank, ``n_parsed`` those that the format reads, ``n_only`` those
+    that no other listed format reads. Chosen is the format that reads most, then the one with most of its own, then
+    the one listed first; none where no text is read. One pass over the table with partial sums, one row at the end.
+    """
+    def tallies(column: str) -> list[Column]:
+        text = F.trim(F.col(f"`{column}`").cast("string"))
+        fits = [F.try_to_date(text, f).isNotNull().cast("long") for f in formats]
+        n_fits = sum(fits, F.lit(0))
+        return [F.struct(
+            F.lit(column).alias("column_name"), F.lit(i).alias("place"), F.lit(f).alias("format"),
+            F.coalesce(F.sum((text != "").cast("long")), F.lit(0)).alias("n_values"),
+            F.coalesce(F.sum(fits[i]), F.lit(0)).alias("n_parsed"),
+            F.coalesce(F.sum(F.when(n_fits == 1, fits[i])), F.lit(0)).alias("n_only"),
+        ) for i, f in enumerate(formats)]
+
+    def ranked(of_column: Column) -> Column:
+        best = F.array_max(F.transform(of_column, lambda t: F.struct(t["n_parsed"], t["n_only"], -t["place"])))
+        return F.transform(of_column, lambda t: F.struct(
+            t["column_name"], t["format"], t["n_values"], t["n_parsed"], t["n_only"],
+            ((t["n_parsed"] > 0) & (F.struct(t["n_parsed"], t["n_only"], -t["place"]) == best)).alias("chosen")))
+
+    have = present(df, columns)
+    totals = df.agg(*[F.array(*tallies(c)).alias(f"t{i}") for i, c in enumerate(have)])
+    return totals.select(F.inline(F.flatten(F.array(*[ranked(F.col(f"t{i}")) for i in range(len(have))])))).toDF(
+        "column_name", "format", "n_values", "n_parsed", "n_only", "chosen")
+
+
+def chosen_formats(tally: DataFrame) -> dict[str, str]:
+    """Column → its chosen format, for ``convert_types`` column by column. As small as the list of columns."""
+    return {r["column_name"]: r["format"] for r in tally.where("chosen").collect()}
+
+
 def coerce_flags(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields}
     changes = {c: to_flag(F.col(c), types[c]) for c in present(df, flags)}

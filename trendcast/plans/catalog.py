@@ -16,6 +16,8 @@ from trendcast.plans.bindings import (
     FLAGS, HORIZON, STOP_WORDS, TRAIN_END, TYPES, VAL_END, WINDOWS, document_features, hourly_events, nation_orders,
     order_events, raw_orders, table,
 )
+from trendcast.session import shared_folder
+from trendcast.sources import handoff
 from trendcast.sources.tables import parse_parameters
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +65,30 @@ def parse_dates(spark, d):
     return typed.select("seq", "order_date", "year")
 
 
+@query
+def date_formats(spark, d):
+    """Which format reads which of three date columns: day first, month first mixed with ISO, and text that is no date."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate")
+    texts = table(spark, d, "orders").select(
+        F.when(k % 11 == 0, "not a date").otherwise(F.date_format(day, "dd/MM/yyyy")).alias("day_first"),
+        F.when(k % 3 == 0, F.date_format(day, "yyyy-MM-dd")).when(k % 5 == 0, " ")
+        .otherwise(F.date_format(day, "MM/dd/yyyy")).alias("mixed"),
+        F.col("o_orderpriority").alias("no_date"))
+    return cleaning.date_format_tally(texts, ["day_first", "mixed", "no_date"], ["d/M/yyyy", "M/d/yyyy", "yyyy-MM-dd"])
+
+
+@query
+def published_cut(spark, d):
+    """Orders handed over as a version by month; training reads the months up to the cut-off from it."""
+    path = f"{shared_folder(spark)}/published_orders"
+    orders = order_events(spark, d).select("period", "o_orderkey", "o_custkey", "o_totalprice")
+    version = handoff.publish(orders, path)
+    cut = handoff.read_version(spark, path, version).where(F.col("period") <= TRAIN_END)
+    return cut.groupBy("period").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_customers"),
+        F.min("o_orderkey").alias("first_order"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
 @query
 def valid_period_filter(spark, d):
     raw = cleaning.standardise_names(raw_orders(spark, d))
@@ -188,7 +214,7 @@ def feature_evidence(spark, d):
 
 @query
 def top_evidence(spark, d):
-    return stats.top_evidence(_evidence(spark, d), 4).select("feature", "feature_group")
+    return stats.top_evidence(_evidence(spark, d))
 
 
 # --- lag tables -----------------------------------------------------------------------------------

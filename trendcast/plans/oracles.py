@@ -114,8 +114,8 @@ _EVIDENCE = " UNION ALL ".join(
   round(abs(covar_samp({c}, n) / nullif(stddev_samp({c}) * stddev_samp(n), 0)), 4) AS abs_correlation_with_target
 FROM p""" for c in _EVIDENCE_COLUMNS)
 SQL["feature_evidence"] = f"WITH {_PERIODS} {_EVIDENCE}"
-SQL["top_evidence"] = f"""WITH {_PERIODS}, e AS ({_EVIDENCE}) SELECT feature, feature_group FROM e
-ORDER BY abs_correlation_with_target DESC NULLS LAST, feature LIMIT 4"""
+SQL["top_evidence"] = f"""WITH {_PERIODS}, e AS ({_EVIDENCE}) SELECT * FROM e
+ORDER BY abs_correlation_with_target DESC NULLS LAST, feature LIMIT 8"""
 
 
 def _lags(source: str, keys: str = "", shares: list[str] = (), zero: bool = False) -> str:
@@ -470,6 +470,28 @@ SQL["feature_importances"] = "SELECT unnest(['trend', 'lag_1', 'lag_2', 'growth_
 SQL["tree_future"] = f"""WITH {EV}, last AS (SELECT max(period) AS p FROM ev)
 SELECT CAST(p + unnest(generate_series(1, {HORIZON})) AS INTEGER) AS period, true AS within_training_range FROM last"""
 SQL["training_cut"] = f"WITH {EV} SELECT period, count(*) AS n FROM ev WHERE period <= {TRAIN_END} GROUP BY period"
+SQL["published_cut"] = f"""WITH {EV} SELECT period, count(*) AS n, count(DISTINCT o_custkey) AS n_customers,
+  min(o_orderkey) AS first_order, round(sum(o_totalprice), 2) AS total FROM ev WHERE period <= {TRAIN_END} GROUP BY period"""
+SQL["date_formats"] = """
+WITH texts AS (
+  SELECT CASE WHEN o_orderkey % 11 = 0 THEN 'not a date' ELSE strftime(o_orderdate, '%d/%m/%Y') END AS day_first,
+    CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN o_orderkey % 5 = 0 THEN ' '
+      ELSE strftime(o_orderdate, '%m/%d/%Y') END AS mixed,
+    o_orderpriority AS no_date FROM orders),
+long AS (
+  SELECT 'day_first' AS column_name, trim(day_first) AS t FROM texts
+  UNION ALL SELECT 'mixed', trim(mixed) FROM texts UNION ALL SELECT 'no_date', trim(no_date) FROM texts),
+fits AS (
+  SELECT column_name, t, (try_strptime(t, '%d/%m/%Y') IS NOT NULL)::INT AS f0, (try_strptime(t, '%m/%d/%Y') IS NOT NULL)::INT AS f1,
+    (try_strptime(t, '%Y-%m-%d') IS NOT NULL)::INT AS f2 FROM long),
+tally AS (
+  SELECT column_name, place, format, count(*) FILTER (WHERE t <> '') AS n_values, sum(fit)::BIGINT AS n_parsed,
+    sum(CASE WHEN f0 + f1 + f2 = 1 THEN fit ELSE 0 END)::BIGINT AS n_only
+  FROM (SELECT column_name, t, f0, f1, f2, unnest([0, 1, 2]) AS place, unnest(['d/M/yyyy', 'M/d/yyyy', 'yyyy-MM-dd']) AS format,
+          unnest([f0, f1, f2]) AS fit FROM fits)
+  GROUP BY column_name, place, format)
+SELECT column_name, format, n_values, n_parsed, n_only, n_parsed > 0 AND row_number() OVER (
+  PARTITION BY column_name ORDER BY n_parsed DESC, n_only DESC, place) = 1 AS chosen FROM tally"""
 SQL["svd_projection"] = """SELECT count(*) AS n, 10::INTEGER AS components, true AS uncorrelated,
   true AS no_longer_than_the_vectors, true AS keeps_a_share FROM documents"""
 for _name in ("numeric_segmentation", "numeric_profile", "text_segmentation"):

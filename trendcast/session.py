@@ -34,6 +34,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(shared)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named in ``spark.checkpoint.dir``. A session on one machine without that setting uses its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and spark.sparkContext.master.startswith("local"):
+        named = spark.conf.get("spark.sql.warehouse.dir")
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return named.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it back, dropping its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
