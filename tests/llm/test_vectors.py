@@ -44,7 +44,9 @@ def test_near_duplicates_equal_brute_force(spark, tile_rows):
 def test_nearest_neighbours(spark):
     rows, df = table(spark, 700)
     got = {}
-    for r in nearest.search(df, df.where("vec_id % 7 = 0"), block_rows=150, query_rows=40).collect():
+    for r in nearest.search(df, df.where("vec_id % 7 = 0"), dims=8, confidence=0.99, block_rows=150,
+                            query_rows=40).collect():
+        assert r.verified < len(rows)
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     x = np.array([r[1] for r in rows], np.float32).astype(float)
     ids = np.array([r[0] for r in rows])
@@ -83,6 +85,39 @@ def test_recall_on_the_table(spark):
     assert hits / (5 * len(got)) >= 0.9
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables are not here")
+def test_stopping_test_leaves_vectors_closed(spark):
+    """About half of the cosines are worked out, with one block and with several."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    n = df.count()
+    for block_rows in (16_384, 500):
+        got = nearest.search(df, df.where("vec_id % 50 = 0"), block_rows=block_rows).where("rank = 1").toPandas()
+        assert 0.2 < (got["verified"] / n).mean() < 0.7
+
+
+def test_search_equals_plain_scan_where_the_test_never_fires():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((700, 10))
+    x[100:140] = x[5]
+    ids = rng.permutation(700)
+    index = nearest.Index(ids, x, 4, 0)
+    for q in (5, 120, 300):
+        cos = (x * x[q]).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((x[q] * x[q]).sum()))
+        others = [i for i in np.lexsort((ids, -cos)) if i != q][:5]
+        found, scores, verified = index.search(int(ids[q]), x[q], 5, 1e12)
+        assert found.tolist() == ids[others].tolist() and scores.tolist() == cos[others].tolist()
+        again = index.search(int(ids[q]), x[q], 5, 1e12, bound=float(scores[-1]))
+        assert again[0].tolist() == found.tolist()
+
+
+def test_queries_that_repeat_an_id(spark):
+    """They are one query; vectors that repeat an id stay apart."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.1, 1.0]), (2, [1.0, 0.2]), (3, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", "0 as block", "1 as role")
+    got = nearest.search(df, df.where("vec_id = 1"), dims=2, confidence=0.9999).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [3, 2, 2]
+
+
 def test_empty(spark):
     _, df = table(spark, 10)
     assert neardup.near_duplicates(df.where("false")).count() == 0
