@@ -2,8 +2,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from trendcast.llm import lines
+from trendcast.llm.shared import small
 
 
 def words(line):
@@ -75,3 +77,21 @@ def test_repeated_ids_and_empty_tables(spark):
     got = sorted((str(r.doc_id), r.text) for r in lines.dedup_lines(docs).collect())
     assert ("None", "a b c") in got and ("1", "d e f") in got and ("2", "d e f g h") in got
     assert lines.dedup_lines(docs.where("false")).count() == 0
+
+
+def test_extra_columns_may_have_any_name(spark):
+    names = ["r_id", "r_text", "r_places", "row", "line", "key", "a.b"]
+    docs = spark.createDataFrame([(1, "a b c\nd e f"), (2, "x y z\na b c"), (3, None)], "doc_id long, text string").select(
+        "*", *[F.lit(c).alias(c) for c in names])
+    got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
+    assert {k: (r.text, r.n_lines, r.n_removed) for k, r in got.items()} == {
+        1: ("a b c\nd e f", 2, 0), 2: ("x y z", 2, 1), 3: (None, 0, 0)}
+    assert all(list(r)[2:-2] == names for r in got.values())
+
+
+def test_only_small_tables_are_broadcast(spark):
+    def hinted(df):
+        return "broadcast" in small(df)._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(spark.range(10)) and hinted(spark.range(0))
+    assert not hinted(spark.range(4).select(F.repeat(F.lit("x"), 4 << 20).alias("text")))

@@ -96,3 +96,15 @@ def test_empty_table(spark):
     places = mixing.prepared(docs)
     assert mixing.taken(places, mixing.mix(places)).count() == 0
     assert mixing.mixed_documents(docs).count() == 0
+
+
+def test_extra_columns_may_have_any_name(spark):
+    names = ["m_digest", "m_name", "m_no", "m_places", "digest", "name", "no", "places", "place", "row"]
+    docs = spark.createDataFrame(rows(60), "doc_id long, text string, source string").select(
+        "*", *[F.lit(c).alias(c) for c in names])
+    got = mixing.mixed_documents(docs, block_words=64, shard_blocks=8)
+    assert got.columns == docs.columns
+    plain = mixing.mixed_documents(docs.select("doc_id", "text", "source"), block_words=64, shard_blocks=8)
+    found = got.collect()
+    assert all(list(r)[3:] == names for r in found)
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r.doc_id) for r in plain.collect())

@@ -44,6 +44,7 @@ def test_repeated_ids_leave_one_row_for_each_group(spark):
     a, b, c, d = (" ".join(f"w{rng.randrange(900)}" for _ in range(200)) for _ in range(4))
     rows = [(1, a), (1, a), (1, b), (0, b), (1, c), (2, c), (None, d), (None, d), (3, None), (3, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.selectExpr("*", "'x' as k_id", "1 as id", "2 as no", "3 as __row", "4 as row", "5 as root", "6 as fp")
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
     got = sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str)
     assert got == sorted([(1, a), (0, b), (1, c), (None, d), (3, "")], key=str)

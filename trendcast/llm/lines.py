@@ -24,13 +24,12 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import text_or_empty, written
+from trendcast.llm.shared import small, text_or_empty, whole_row, written
 
 BUCKET_BITS, HASH_BITS = 14, 54
 BUCKETS = 1 << BUCKET_BITS
 NEAREST, CENTRES = 8, 16
 # Keys of lines or documents (two numbers each) are broadcast up to so many rows; more are joined by a shuffle.
-BROADCAST_ROWS = 800_000
 KEY = ["doc_id", "place"]
 # Sizes from and below which lines are keyed by pairs, and their number of classes. Lines up to 1 / threshold times
 # the upper end have these keys too, so that partners on both sides of a limit meet.
@@ -113,14 +112,9 @@ def _may_match(a: str, b: str, threshold: float) -> Column:
     return (sa >= threshold * sb - 1e-6) & (sb >= threshold * sa - 1e-6) & (overlap >= least)
 
 
-def _small(table: DataFrame) -> DataFrame:
-    """A written table of narrow rows, marked for broadcast if it is small enough."""
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
-
 def _similar(docs: DataFrame, lines: DataFrame, pairs: DataFrame, classes: Column, threshold: float) -> DataFrame:
     """The later ``line`` of those ``pairs`` (a, b: lines) that are similar, with its key."""
-    some = _small(written(pairs.distinct(), "line-candidates"))
+    some = small(written(pairs.distinct(), "line-candidates"))
     sketch = lines.select("line", "size", "bits")
     some = some.join(sketch.toDF("a", "sa", "xa"), "a").join(sketch.toDF("b", "sb", "xb"), "b")
     # Each word that only one line has flips one bit of its sketch.
@@ -129,11 +123,11 @@ def _similar(docs: DataFrame, lines: DataFrame, pairs: DataFrame, classes: Colum
     pairs = written(some.where(union - differ >= 2 * F.ceil(F.lit(threshold / (1 + threshold)) * union - 1e-6)).select(
         "a", "b"), "line-pairs")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line-numbers")
-    keys = written(lines.select("line", *KEY).join(_small(wanted), "line", "left_semi"), "line-keys")
+    keys = written(lines.select("line", *KEY).join(small(wanted), "line", "left_semi"), "line-keys")
     ids = written(keys.select("doc_id").distinct(), "line-documents")
-    some = docs.alias("d").join(_small(ids).alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
+    some = docs.alias("d").join(small(ids).alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
     sets = _line_sets(some.select("doc_id", "text"), classes).alias("l").join(
-        _small(keys).alias("k"), F.col("l.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("l.place") == F.col("k.place")))
+        small(keys).alias("k"), F.col("l.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("l.place") == F.col("k.place")))
     sets = written(sets.select("k.line", F.struct("k.doc_id", "k.place").alias("key"), "l.tokens").dropDuplicates(
         ["line"]), "line-sets")
     both = F.size(F.array_intersect("ta", "tb"))
@@ -179,7 +173,7 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1)
     heads = narrow.groupBy("set_id", "size").agg(F.min(key).alias("head"), F.count("*").alias("n")).where("n > 1")
     copies = written(narrow.select("set_id", "size", "line", *KEY).join(heads.drop("n"), ["set_id", "size"]).where(
         key != F.col("head")).select("line", *KEY), "line-copies")
-    firsts = narrow.join(_small(copies.select("line")), "line", "left_anti")
+    firsts = narrow.join(small(copies.select("line")), "line", "left_anti")
 
     rows = firsts.select("line", "size", F.explode(_keys(threshold)).alias("k")).select("k.key", "line", "size", "k.at")
     group = Window.partitionBy("key")
@@ -205,10 +199,10 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1)
 
     near = met.where("other is not null").select(F.col("other").alias("a"), F.col("line").alias("b"))
     found = [_similar(docs, narrow, near, classes, threshold)]
-    left = crowded.join(_small(found[0].select("line")), "line", "left_anti")
+    left = crowded.join(small(found[0].select("line")), "line", "left_anti")
     centres = crowded.groupBy("key", F.pmod(F.xxhash64("line"), F.lit(CENTRES)).alias("salt")).agg(F.min(line).alias("c"))
     found.append(_similar(docs, narrow, candidates(left, centres.select("key", "c.*")), classes, threshold))
-    left = left.join(_small(found[1].select("line")), "line", "left_anti")
+    left = left.join(small(found[1].select("line")), "line", "left_anti")
     found.append(_similar(docs, narrow, candidates(left, crowded), classes, threshold))
     out = copies.select(*KEY)
     for matches in found:
@@ -221,16 +215,19 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) ->
     replace any of those names. A null text stays null and has no lines."""
     removed = repeated_lines(docs, threshold, min_words).groupBy(F.col("doc_id").alias("r_id")).agg(
         F.collect_list("place").alias("r_places"))
-    size = removed.agg(F.coalesce(F.sum(F.size("r_places")), F.lit(0))).first()[0]
-    removed = F.broadcast(removed) if size <= BROADCAST_ROWS else removed
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    joined = docs.select(*columns).join(removed, docs["doc_id"].eqNullSafe(F.col("r_id")), "left")
-    lines = F.split("text", "\n", -1)
-    digest = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
+    removed = small(removed)
+    kept_columns = docs.drop("n_lines", "n_removed")
+    rows = kept_columns.select(whole_row(kept_columns))
+    joined = rows.join(removed, F.col("row.doc_id").eqNullSafe(F.col("r_id")), "left")
+    whole = F.col("row.text")
+    lines = F.split(whole, "\n", -1)
+    digest = F.xxhash64(F.coalesce(whole, F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
     places = F.transform(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.shiftleft(i.cast("long"), 31) + digest)
     kept = F.array_except(places, F.coalesce("r_places", F.array().cast("array<bigint>")))
     text = F.array_join(F.transform(kept, lambda p: F.element_at(lines, (F.shiftright(p, 31) + 1).cast("int"))), "\n")
-    n = F.when(F.col("text").isNull(), 0).otherwise(F.size(lines))
-    out = joined.withColumns({"n_lines": n, "r_text": text})
-    out = out.withColumn("n_removed", F.when(F.col("text").isNull(), 0).otherwise(n - F.size(kept)))
-    return out.withColumn("text", F.col("r_text")).select(*columns, "n_lines", "n_removed")
+    none = whole.isNull()
+    # Not named row again: inside the lambdas that name would mean the new one.
+    out = joined.select(F.col("row").withField("text", text).alias("changed"),
+                        F.when(none, 0).otherwise(F.size(lines)).alias("n_lines"),
+                        F.when(none, 0).otherwise(F.size(lines) - F.size(kept)).alias("n_removed"))
+    return out.select("changed.*", "n_lines", "n_removed")

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import WORD, parallelism, text_or_empty, written
+from trendcast.llm.shared import WORD, parallelism, text_or_empty, whole_row, written
 
 WEIGHTS = (5, 2, 1)
 ORDER_BITS = 60
@@ -251,13 +251,12 @@ def mixed_documents(docs: DataFrame, seed: int = 0, **mix_args) -> DataFrame:
         return F.md5(F.to_json(F.struct(df["doc_id"].alias("i"), df["source"].alias("s"))))
 
     draws = mix(prepared(docs, seed), seed=seed, **mix_args)
-    draws = draws.withColumn("m_name", name(draws)).groupBy(F.col("digest").alias("m_digest"), "m_name").agg(
-        F.collect_list(F.struct("shard", "position")).alias("m_places"))
-    columns = docs.columns
-    same = Window.partitionBy("m_digest", "m_name").orderBy(F.lit(0))
-    keyed = docs.withColumns({"m_digest": F.xxhash64(text_or_empty(docs)), "m_name": name(docs)})
-    once = keyed.withColumn("m_no", F.row_number().over(same)).where("m_no = 1")
+    draws = draws.withColumn("name", name(draws)).groupBy("digest", "name").agg(
+        F.collect_list(F.struct("shard", "position")).alias("places"))
+    same = Window.partitionBy("digest", "name").orderBy(F.lit(0))
+    keyed = docs.select(F.xxhash64(text_or_empty(docs)).alias("digest"), name(docs).alias("name"), whole_row(docs))
+    once = keyed.withColumn("no", F.row_number().over(same)).where("no = 1")
     return (
-        once.join(draws, ["m_digest", "m_name"]).withColumn("m_place", F.explode("m_places"))
-        .repartition(F.col("m_place.shard")).sortWithinPartitions("m_place").select(*columns)
+        once.join(draws, ["digest", "name"]).select("row", F.explode("places").alias("place"))
+        .repartition(F.col("place.shard")).sortWithinPartitions("place").select("row.*")
     )

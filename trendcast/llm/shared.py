@@ -12,12 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Words end at ASCII white space only.
 WORD = r"[^\x20\x09-\x0D]+"
+BROADCAST_BYTES = 12 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for checkpoints, or else one in the warehouse, which all executors share."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/") + "/llm"
+    """The folder that the cluster names for checkpoints. A session on one machine without that setting uses its
+    warehouse; on a cluster that is refused."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and spark.sparkContext.master.startswith("local"):
+        named = spark.conf.get("spark.sql.warehouse.dir")
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return named.rstrip("/") + "/llm"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +39,21 @@ def text_or_empty(df: DataFrame, text: str = "text") -> Column:
     return F.coalesce(df[text], F.lit(""))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, named row, so that none of them meets a name of ours; ``row.*`` gives them back."""
+    return F.struct(*(df[f"`{c.replace('`', '``')}`"] for c in df.columns)).alias("row")
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A table of few columns, marked for broadcast if the bytes of its values are at most ``BROADCAST_BYTES``."""
+    size = F.lit(0).cast("long")
+    for name, kind in table.dtypes:
+        width = F.octet_length(name) if kind in ("string", "binary") else 8 * F.size(name) if kind.startswith("array") else F.lit(0)
+        size = size + F.coalesce(width, F.lit(0)) + 8
+    bytes_ = table.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return F.broadcast(table) if bytes_ <= BROADCAST_BYTES else table
+
+
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Send texts to Python at most ``rows`` at a time, so that memory follows the length of texts and not their number."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
