@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trendcast.llm import lines, mixing, packing, simhash, toxicity
-from trendcast.llm.shared import written
+from trendcast.llm.shared import small, whole_row, written
 
 TOXIC_FROM = 0.7
 
@@ -38,24 +38,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     fingerprint. An id that rows repeat may stay once for each group that it names."""
     found = simhash.grouped(docs)
     named = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = written(named.groupBy("root").agg(F.min("fp").alias("k_fp"), F.min("doc_id").alias("k_id")), "kept-documents")
-    repeated = written(found.groupBy(F.col("doc_id").alias("r_id")).count().where("count > 1").select("r_id"), "repeated-ids")
+    kept = written(named.groupBy("root").agg(F.min("fp").alias("kept_fp"), F.min("doc_id").alias("id")), "kept-documents")
+    repeated = written(found.groupBy(F.col("doc_id").alias("id")).count().where("count > 1").select("id"), "repeated-ids")
 
-    def small(df):
-        return F.broadcast(df) if df.count() <= lines.BROADCAST_ROWS else df
+    def among(some, ids, how):
+        return some.alias("x").join(small(ids).alias("y"), F.col("x.id").eqNullSafe(F.col("y.id")), how)
 
-    out = docs.join(small(kept.select("k_id").distinct()), docs["doc_id"].eqNullSafe(F.col("k_id")), "left_semi")
+    out = among(docs.select(F.col("doc_id").alias("id"), whole_row(docs)), kept.select("id").distinct(), "left_semi")
     if repeated.isEmpty():
-        return out
+        return out.select("row.*")
     # Rows that share an id are told apart by fingerprint and, where that is equal too, by a row number.
-    once = out.join(small(repeated), out["doc_id"].eqNullSafe(F.col("r_id")), "left_anti")
-    several = out.join(small(repeated), out["doc_id"].eqNullSafe(F.col("r_id")), "left_semi")
-    several = written(several.withColumn("__row", F.monotonically_increasing_id()), "repeated-rows")
-    fps = simhash.fingerprints(several.select(F.col("__row").alias("doc_id"), "text"))
-    rows = several.select("__row", F.col("doc_id").alias("id")).join(fps.withColumnRenamed("doc_id", "__row"), "__row")
-    chosen = rows.join(kept, rows["id"].eqNullSafe(kept["k_id"]) & (rows["fp"] == kept["k_fp"])).groupBy("root").agg(
-        F.min("__row").alias("__row")).select("__row")
-    return once.unionByName(several.join(chosen, "__row", "left_semi").select(*docs.columns))
+    once = among(out, repeated, "left_anti")
+    several = written(among(out, repeated, "left_semi").withColumn("no", F.monotonically_increasing_id()), "repeated-rows")
+    fps = simhash.fingerprints(several.select(F.col("no").alias("doc_id"), F.col("row.text").alias("text")))
+    rows = several.select("no", F.col("id").alias("row_id")).join(fps.withColumnRenamed("doc_id", "no"), "no")
+    chosen = rows.join(kept, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("fp") == F.col("kept_fp"))).groupBy("root").agg(
+        F.min("no").alias("no")).select("no")
+    return once.select("row.*").unionByName(several.join(chosen, "no", "left_semi").select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
