@@ -104,6 +104,20 @@ def test_recommendation_names_the_best(spark, quick):
     assert got["selected_for_future_forecast"] == min(averages, key=averages.get)
 
 
+def test_selected_future_holds_all_models_and_marks_one(spark, quick):
+    got = run(spark, "selected_future")
+    assert set(got["model"]) == set(models.MODEL_NAMES)
+    assert (got.groupby("model")["period"].nunique() == catalog.HORIZON).all() and (got["predicted"] >= 0).all()
+    advice = run(spark, "recommended_model").set_index("summary_type")["model"]
+    assert set(got[got["selected"]]["model"]) == {advice["selected_for_future_forecast"]}
+    steps = run(spark, "tree_forecast").sort_values("period")
+    forest = got[got["model"] == models.FOREST].sort_values("period")
+    assert forest["predicted"].tolist() == steps["predicted"].tolist()
+    last = catalog._orders_table(spark, FOLDER).orderBy("period", ascending=False).first()
+    assert set(got[got["model"] == models.NAIVE]["predicted"]) == {float(last["n"])}
+    spark.catalog.clearCache()
+
+
 @pytest.mark.parametrize("kind", ["numeric", "text"])
 def test_clusters_and_profile(spark, quick, kind):
     clusters, profile = run(spark, f"{kind}_clusters"), run(spark, f"{kind}_cluster_profile")

@@ -12,6 +12,7 @@ from trendcast.operators import (
     backtest, cleaning, features, metrics, models, ols, recursive, reshape, rollups, segment, segmented, spectrum, splits,
     stats, textvec, trees,
 )
+from trendcast.plans import flows
 from trendcast.plans.bindings import (
     FLAGS, HORIZON, STOP_WORDS, TRAIN_END, TYPES, VAL_END, WINDOWS, document_features, hourly_events, nation_orders,
     order_events, raw_orders, table,
@@ -431,6 +432,15 @@ def future_comparison(spark, d):
     return segmented.future_comparison(baseline, _segmented(spark, d, [models.LINEAR]).future)
 
 
+@query
+def total_future(spark, d):
+    """Naive and linear models refitted on all months of the total and forecast."""
+    t, rows = _total_rows(spark, d)
+    plan = flows.ForecastPlan(horizon=HORIZON, model_names=(models.NAIVE, models.LINEAR))
+    future = flows.future_forecasts(t, rows, features.SEGMENT_FEATURES, plan, "period", {}, zero_growth=True)
+    return future.select("model", "period", F.round("predicted", 4).alias("predicted"))
+
+
 # --- tree models ----------------------------------------------------------------------------------
 
 def _with_sane_scores(table, *keys):
@@ -593,6 +603,15 @@ def recommended_model(spark, d):
     return backtest.recommend(metrics.summarise_windows(detailed), scores, clip=True)
 
 
+@query
+def selected_future(spark, d):
+    """All models refitted on all months and forecast; the recommended one is marked."""
+    rows, names = _tree_rows(spark, d)
+    future = flows.future_forecasts(
+        _orders_table(spark, d), rows, names, flows.ForecastPlan(horizon=HORIZON), "period", {})
+    return flows.mark_selected(future.select("model", "period", "predicted"), recommended_model(spark, d))
+
+
 @query
 def model_recommendation(spark, d):
     advice = recommended_model(spark, d)

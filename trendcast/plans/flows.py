@@ -164,7 +164,7 @@ def run_forecast(spark: SparkSession, spec: EventSpec, plan: ForecastPlan, out:
 
 def future_forecasts(
     table: DataFrame, rows: DataFrame, names: Sequence[str], plan: ForecastPlan, period: str,
-    params: Mapping[str, Params],
+    params: Mapping[str, Params], zero_growth: bool = False,
 ) -> DataFrame:
     """Refit each model on all rows and forecast; one table with a ``model`` column."""
     start = recursive.forecast_start(table, names, (), period)
@@ -172,12 +172,19 @@ def future_forecasts(
     def one(name: str) -> DataFrame:
         fitted = models.fit_model(name, rows, names, params=params.get(name), seed=plan.seed)
         steps = recursive.forecast(
-            start, fitted, plan.horizon, period=period, features=names, mode=plan.mode, clip=plan.clip)
+            start, fitted, plan.horizon, period=period, features=names, mode=plan.mode, clip=plan.clip,
+            zero_growth=zero_growth)
         return steps.withColumn("model", F.lit(name))
 
     return backtest.union_all(backtest.in_parallel(one, plan.model_names))
 
 
+def mark_selected(future: DataFrame, advice: DataFrame) -> DataFrame:
+    """``future`` with a column ``selected``: whether ``advice`` (of :func:`backtest.recommend`) forecasts with that model."""
+    chosen = advice.where("summary_type = 'selected_for_future_forecast'").select("model").scalar()
+    return future.withColumn("selected", F.col("model") == chosen)
+
+
 def _slug(name: str) -> str:
     return name.lower().replace(" ", "_")
 

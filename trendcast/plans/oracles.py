@@ -378,6 +378,8 @@ SELECT 'no_segmentation' AS scheme, model, period, round(predicted, 4) AS predic
 WHERE model = 'Linear Regression'
 UNION ALL SELECT scheme, model, period, predicted AS predicted_total FROM frows
 WHERE cluster = 'aggregated_total' AND model = 'Linear Regression'"""
+SQL["total_future"] = f"""WITH RECURSIVE {_SEG}, {_BASE}
+SELECT model, period, round(predicted, 4) AS predicted FROM bfuture"""
 
 # --- text -------------------------------------------------------------------------------------------
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
