@@ -64,3 +64,17 @@ def test_equal_rows_and_an_empty_table(spark):
     same = spark.createDataFrame([([1.0, 2.0],)] * 5, "v array<double>")
     assert [tuple(r) for r in segment.choose_k(same, "v", (2, 3), restarts=2).orderBy("k").collect()] == [(2, None), (3, None)]
     assert segment.choose_k(same.limit(0), "v", (2, 3)).count() == 0
+
+
+def test_weights_stand_for_copies_and_one_sum_a_fit_reaches_the_driver(spark, df, points, monkeypatch):
+    copies = spark.createDataFrame([(p, 1 + i % 3) for i, p in enumerate(points)], "v array<double>, w int")
+    written_out = spark.createDataFrame([(p,) for i, p in enumerate(points) for _ in range(1 + i % 3)], "v array<double>")
+    joint, single = kmeans.fit_many(copies, "v", (2, 3), range(2), weight="w"), kmeans.fit_many(written_out, "v", (2, 3), range(2))
+    for k in joint:
+        assert joint[k].cost == pytest.approx(single[k].cost) and joint[k].centres == pytest.approx(single[k].centres)
+    sent = []
+    collect = type(df).collect
+    monkeypatch.setattr(type(df), "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    monkeypatch.setattr(type(df), "toLocalIterator", lambda self, **k: iter(self.collect()))
+    kmeans._pass(kmeans.packed(df.repartition(5), "v"), [np.zeros((2, 2)), np.ones((3, 2))])
+    assert sum(map(len, sent)) == 2
