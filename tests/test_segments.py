@@ -57,6 +57,24 @@ def test_silhouette_over_many_tiles_uses_all_rows(spark):
     assert got["c"] == pytest.approx(brute_silhouette(points, labels)) and got["s"] is None
 
 
+def test_silhouette_shuffles_rows_and_sums_only(spark, monkeypatch):
+    """Copies count, sums of many clusters meet in buckets, and a pair of tiles is no shuffled row."""
+    rng = np.random.default_rng(6)
+    points, labels = rng.normal(size=(700, 3)), rng.integers(0, 40, 700)
+    points, labels = np.vstack([points, points[:300]]), np.append(labels, labels[:300])
+    df = spark.createDataFrame([(x.tolist(), int(c), int(c) % 3) for x, c in zip(points, labels)], "v array<double>, c int, s int")
+    monkeypatch.setattr(segment, "BUCKET_CLUSTERS", 7)
+    monkeypatch.setattr(segment, "RUN_BYTES", 4000)
+    seen = []
+    mapped = type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: (seen.append(self), mapped(self, *a, **k))[1])
+    got = dict(rows(segment.silhouette_scores(df, "v", ["c", "s"], tile_rows=300), "labelling", "silhouette"))
+    assert got["c"] == pytest.approx(brute_silhouette(points, labels))
+    assert got["s"] == pytest.approx(brute_silhouette(points, labels % 3))
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Cross" in plan and "strategy=shuffle_replicate_nl" in plan
+
+
 def test_sample_is_exact_and_stable(blobs):
     a = {r for r in rows(segment.stable_sample(blobs, "id", 20, 1), "id")}
     b = {r for r in rows(segment.stable_sample(blobs.repartition(5), "id", 20, 1), "id")}
