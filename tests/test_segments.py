@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -143,6 +144,32 @@ def test_tfidf_by_hand(spark):
     assert textvec.fit_tfidf(terms, 3, 10) is None
 
 
+def test_words_are_counted_as_their_grams_would_be(spark, monkeypatch):
+    """Batches of words give the counts and vectors of the arrays of n-grams, and each term leaves a task once."""
+    rng = random.Random(8)
+    vocabulary = "aa bb cc dd the élan ff".split()
+    texts = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([0, 1, 2, 9])))) for i in range(80)] + [(99, None)]
+    df = spark.createDataFrame(texts, "id int, t string").coalesce(1)
+    for n in (1, 2, 3):
+        terms, words = textvec.add_terms(df, "t", ["THE", "bb"], n), textvec.add_words(df, "t")
+        every = textvec.term_statistics(terms)
+        counted = textvec.term_statistics(words, "words", ["THE", "bb"], n)
+        plain = terms.select("id", F.explode("terms").alias("term")).groupBy("term").agg(
+            F.count("*").alias("tf"), F.countDistinct("id").alias("df"))
+        expected = sorted(rows(plain, "term", "tf", "df"))
+        assert sorted(rows(every, "term", "tf", "df")) == sorted(rows(counted, "term", "tf", "df")) == expected
+        model = textvec.fit_tfidf(words, 2, 30, "words", ["THE", "bb"], n)
+        got = {r.id: dict(zip(r.indices, r.values)) for r in model.parts(words, "id").collect()}
+        vectors = {r.id: r.tfidf for r in model.transform(words).select("id", "tfidf").collect()}
+        assert set(got) == set(vectors) and all(
+            got[i] == pytest.approx(dict(zip(v.indices.tolist(), v.values.tolist()))) for i, v in vectors.items())
+        means = dict(rows(textvec.mean_weights(model.parts(words, "id"), "id", len(model.vocabulary)), "id", "mean"))
+        assert all(means[i] == pytest.approx(v.toArray().tolist()) for i, v in vectors.items())
+    monkeypatch.setattr(textvec, "PIECE_WORDS", 10)
+    lists = pa.array([["a"] * 9, None, ["b"] * 30, [], ["c"]])
+    assert pa.concat_arrays(list(textvec._pieces(lists))).equals(lists) and len(list(textvec._pieces(lists))) == 2
+
+
 def test_vocabulary_ranks_by_corpus_count_then_term(spark):
     df = spark.createDataFrame([(["b", "b", "a"],), (["a", "c"],)], "terms array<string>")
     stats = textvec.term_statistics(df)
