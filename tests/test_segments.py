@@ -170,6 +170,23 @@ def test_words_are_counted_as_their_grams_would_be(spark, monkeypatch):
     assert pa.concat_arrays(list(textvec._pieces(lists))).equals(lists) and len(list(textvec._pieces(lists))) == 2
 
 
+def test_ngrams_of_rare_words_are_not_counted_and_not_missed(spark, monkeypatch):
+    rng = random.Random(9)
+    vocabulary = [f"w{i:02d}" for i in range(60)]
+    texts = [(i, " ".join(rng.choices(vocabulary, [1 / (1 + j) for j in range(60)], k=25))) for i in range(120)]
+    words = textvec.add_words(spark.createDataFrame(texts, "id int, t string"), "t")
+    for n, options in ((2, [(3, 20)]), (3, [(3, 40), (10, 15)]), (2, [(2, 500)])):
+        every = textvec.term_statistics(words, "words", ["w01"], n)
+        some = textvec.frequent_statistics(words, options, "words", ["w01"], n).persist()
+        for option in options:
+            assert rows(textvec.choose_vocabulary(some, *option), "term", "tf", "df") == rows(
+                textvec.choose_vocabulary(every, *option), "term", "tf", "df")
+        assert (some.count() < every.count()) == (options[0][1] < 60)
+    monkeypatch.setattr(textvec, "MOST_WORDS", 5)
+    assert textvec.frequent_statistics(words, [(3, 20)], "words", [], 2).count() == textvec.term_statistics(
+        words, "words", [], 2).count()
+
+
 def test_vocabulary_ranks_by_corpus_count_then_term(spark):
     df = spark.createDataFrame([(["b", "b", "a"],), (["a", "c"],)], "terms array<string>")
     stats = textvec.term_statistics(df)
