@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
@@ -187,6 +188,39 @@ def test_ngrams_of_rare_words_are_not_counted_and_not_missed(spark, monkeypatch)
         words, "words", [], 2).count()
 
 
+def test_a_large_file_is_not_dealt_out_again(spark, tmp_path):
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.getrandbits(60):x}" for _ in range(600)) for _ in range(800)]
+    for name, group in (("many", 100), ("one", 800)):
+        pq.write_table(pa.table({"id": list(range(800)), "t": texts}), tmp_path / f"{name}.parquet", row_group_size=group)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        many, one = (spark.read.parquet(str(tmp_path / f"{n}.parquet")) for n in ("many", "one"))
+        assert textvec.dealt_out(many) is many  # one file, read by many tasks
+        assert textvec.dealt_out(one).select(F.spark_partition_id()).distinct().count() == 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_options_share_one_reading_of_the_texts(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [(i, None if i == 7 else " ".join(rng.choice(["aa", "bb", "cc", "dd", "ee"]) for _ in range(i % 9))) for i in range(60)]
+    words = textvec.add_words(spark.createDataFrame(texts, "id int, t string"), "t")
+    models = [textvec.fit_tfidf(words, 1, n, "words", ["dd"], 2) for n in (4, 9)]
+    every = sorted({term for m in models for term in m.vocabulary})
+    counted = textvec.term_rows(words, every, "words", ["dd"], 2, "id")
+    for m in models:
+        got = dict(rows(textvec.mean_weights(m.weighted(counted, every, "id"), "id", len(m.vocabulary)), "id", "mean"))
+        for r in m.transform(words).collect():
+            assert got[r.id] == pytest.approx(r.tfidf.toArray())
+    read = []
+    monkeypatch.setattr(segment, "term_rows", lambda *args: read.append(args) or textvec.term_rows(*args))
+    grid = [{"min_df": 1, "max_features": n, "svd_components": 2} for n in (4, 9)]
+    segment.text_segmentation(words.withColumn("year", F.col("id")), words.withColumn("year", F.col("id")), "t", "id", grid, **SMALL)
+    assert len(read) == 1
+
+
 def test_vocabulary_ranks_by_corpus_count_then_term(spark):
     df = spark.createDataFrame([(["b", "b", "a"],), (["a", "c"],)], "terms array<string>")
     stats = textvec.term_statistics(df)
