@@ -95,6 +95,22 @@ def test_restarts_never_raise_the_cost(blobs):
     assert cost([1, 2, 3]) <= min(cost([s]) for s in (1, 2, 3)) + 1e-9
 
 
+def test_starts_share_the_passes(blobs, monkeypatch):
+    v = blobs.select("id", array_to_vector("v").alias("features")).persist()
+    passes = []
+    one = segment.kmeans._pass
+    monkeypatch.setattr(segment.kmeans, "_pass", lambda blocks, fits: passes.append(len(fits)) or one(blocks, fits))
+    model = segment.fit_kmeans(v, 3, range(6))
+    assert passes[0] == passes[-1] == 6  # of the first iteration, and of the costs at the end
+    got = model.transform(v).collect()
+    centres = np.array(model.clusterCenters())
+    assert [r.cluster for r in got] == [int(((centres - r.features.toArray()) ** 2).sum(1).argmin()) for r in got]
+    cost = sum(((centres[r.cluster] - r.features.toArray()) ** 2).sum() for r in got)
+    assert model.summary.trainingCost == pytest.approx(cost)
+    with pytest.raises(ValueError, match="no rows"):
+        segment.fit_kmeans(v.limit(0), 3, range(2))
+
+
 def test_scaler_leaves_a_constant_unscaled(spark):
     train = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, c double")
     full = spark.createDataFrame([(3.0, 7.0), (None, 5.0)], "a double, c double")

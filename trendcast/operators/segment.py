@@ -12,7 +12,6 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -20,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from trendcast.functions.arrays import first_arg_max
 from trendcast.functions.coerce import finite
 from trendcast.operators import kmeans
-from trendcast.operators.backtest import in_parallel
 from trendcast.operators.cleaning import present
 from trendcast.operators.textvec import (
     TEXT_GRID, SvdModel, TfidfModel, add_words, english_stop_words, frequent_statistics, mean_vector, svd_of_parts,
@@ -86,12 +84,35 @@ def finite_array(col: str) -> Column:
     return F.transform(col, lambda x: finite(x, VALUE_BOUND))
 
 
-def fit_kmeans(df: DataFrame, k: int, seeds: Sequence[int], features: str = "features", threads: int = 4) -> KMeansModel:
-    """Best of several starts by within-cluster cost."""
-    def one(seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster", maxIter=300).fit(df)
+class Cost(NamedTuple):
+    trainingCost: float
 
-    return min(in_parallel(one, seeds, threads), key=lambda m: m.summary.trainingCost)
+
+@dataclass(frozen=True)
+class KMeansClusters:
+    """A fit over a column of ML vectors, with the names of Spark's ``KMeansModel``."""
+
+    fit: kmeans.Fit
+    features: str
+
+    @property
+    def summary(self) -> Cost:
+        return Cost(self.fit.cost)
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return list(self.fit.centres)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        wide = df.withColumn("__x", vector_to_array(self.features))
+        return _assigned(wide, "__x", self.fit, "cluster").drop("__x")
+
+
+def fit_kmeans(df: DataFrame, k: int, seeds: Sequence[int], features: str = "features") -> KMeansClusters:
+    """Best of several starts by within-cluster cost. All starts share one pass over the rows per iteration."""
+    fits = kmeans.fit_many(df.select(vector_to_array(features).alias("x")), "x", [k], seeds)
+    if not fits:
+        raise ValueError("no rows to cluster")
+    return KMeansClusters(fits[k], features)
 
 
 def silhouette_scores(
