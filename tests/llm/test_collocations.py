@@ -57,6 +57,22 @@ def test_equals_brute_force(spark, monkeypatch, dictionary, span):
     assert sorted(map(tuple, got.collect())) == want and len(want) > 50
 
 
+@pytest.mark.parametrize("dictionary", [400_000, 0])
+def test_prefixes_are_summed_where_the_windows_meet(spark, monkeypatch, dictionary):
+    docs = some_docs()
+    df = spark.createDataFrame([(lang, text, 1, "w", 2, 3) for lang, text in docs], SCHEMA).repartition(5)
+    for common, shares in ((1.0, 64), (1 / 40, 3)):  # no word is common, some are
+        monkeypatch.setattr(collocations, "COMMON", common)
+        monkeypatch.setattr(collocations, "SHARES", shares)
+        got = collocations.collocations(df, least=5, dictionary=dictionary)
+        assert sorted(map(tuple, got.collect())) == brute(docs, 5)
+    _, numbers = collocations._numbered(
+        collocations.word_counts(df).where("word is null or n >= 5"), lambda: collocations.word_counts(df), dictionary, 5)
+    met = collocations.windows(df, numbers)
+    assert 0 < len(numbers.common) < 40 and met.where("share = 0").count() and met.where("share > 0").count()
+    assert met.where("share > 0").selectExpr("max(share)").first()[0] <= 3
+
+
 def test_top_and_empty_tables(spark):
     df = spark.createDataFrame([(lang, text, 1, "w", 2, 3) for lang, text in some_docs()], SCHEMA)
     assert sorted(map(tuple, collocations.collocations(df, least=5, top=3).collect())) == brute(some_docs(), 5, 3)

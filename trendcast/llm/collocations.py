@@ -26,6 +26,8 @@ PLACES = [f"w{i}" for i in range(1, ORDER + 1)]
 DICTIONARY = 400_000
 FLUSH = 1_000_000
 SPAN = 1 << 20
+# Words that make up more than this part of all words are common; their number is bounded by its inverse.
+COMMON, SHARES = 1 / 5000, 64
 
 # Pieces end at these; ASCII capitals are lowered; byte 0xFF, which UTF-8 never has, stands for the end of a piece.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -95,8 +97,8 @@ def hashed(salt: str) -> Column:
 class Numbers:
     """Numbers of the words of a language: ranks, 0 for rare words, or hashes, as ``hashed`` gives them."""
 
-    def __init__(self, ranks: dict[str, dict[bytes, int]] | None, salt: str):
-        self.ranks, self.salt = ranks, salt
+    def __init__(self, ranks: dict[str, dict[bytes, int]] | None, salt: str, common: np.ndarray):
+        self.ranks, self.salt, self.common = ranks, salt, common
         self.known: dict[str, dict[bytes, int]] = {}
 
     def of(self, lang: str, part: list[bytes]) -> np.ndarray:
@@ -116,19 +118,28 @@ class Numbers:
 
 
 def windows(docs: DataFrame, numbers: Numbers) -> DataFrame:
-    """(w1, w2, w3, w4) of every word that another follows in its piece; 0 is padding."""
+    """(w1, w2, w3, w4, share, f): the windows of every word that another follows in its piece; 0 is padding.
+
+    Equal windows that lie close together are counted here, f is their number. ``share`` is 0, but for windows that begin
+    with two common words, which have a share from 1 to ``SHARES`` by their last two words."""
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(numbers)
 
-    def lead(ids: np.ndarray) -> pa.RecordBatch:
+    def lead(ids: np.ndarray, last: int) -> pa.RecordBatch:
+        """The windows that begin before ``last``."""
         padded = np.concatenate([ids, np.zeros(ORDER, np.int64)])
-        n = len(ids)
-        begins = np.flatnonzero((padded[:n] != 0) & (padded[1:n + 1] != 0))
+        begins = np.flatnonzero((padded[:last] != 0) & (padded[1:last + 1] != 0))
         columns, going = [padded[begins]], np.ones(len(begins), bool)
         for k in range(1, ORDER):
             going = going & (padded[begins + k] != 0)
             columns.append(np.where(going, padded[begins + k], 0))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], PLACES)
+        counted = pa.table(columns, PLACES).group_by(PLACES, use_threads=False).aggregate([([], "count_all")])
+        w1, w2, w3, w4 = (counted[p].to_numpy() for p in PLACES)
+        common = np.isin(w1, shared.value.common) & np.isin(w2, shared.value.common)
+        share = np.where(common, 1 + (w3 * 31 + w4) % SHARES, 0)
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(w) for w in (w1, w2, w3, w4)), pa.array(share.astype(np.int32)),
+             pa.array(counted["count_all"].to_numpy())], [*PLACES, "share", "f"])
 
     def emit(batches):
         numbers = shared.value
@@ -142,26 +153,25 @@ def windows(docs: DataFrame, numbers: Numbers) -> DataFrame:
                     size += len(ids)
                     if size > SPAN:  # the last words also begin windows that reach into what follows
                         ids = np.concatenate(held)
-                        yield lead_before(ids, lead)
+                        yield lead(ids, len(ids) - (ORDER - 1))
                         held, size = [ids[-(ORDER - 1):]], ORDER - 1
                 held.append(gap)
                 size += 1
         if held:
-            yield lead(np.concatenate(held))
-
-    def lead_before(ids, lead):
-        # Windows that begin in the last places are left for the next array, which starts with those places.
-        batch = lead(ids)
-        n = len(ids)
-        begins = np.flatnonzero((ids[:-1] != 0) & (ids[1:] != 0))
-        return batch.slice(0, int(np.searchsorted(begins, n - (ORDER - 1))))
+            ids = np.concatenate(held)
+            yield lead(ids, len(ids))
 
-    return read(docs).mapInArrow(tidy(emit), ", ".join(f"{p} long" for p in PLACES))
+    return read(docs).mapInArrow(tidy(emit), ", ".join(f"{p} long" for p in PLACES) + ", share int, f long")
 
 
 def _numbered(vocabulary: DataFrame, counts, dictionary: int, least: int) -> tuple[DataFrame, Numbers]:
     """(code, lang, word, n) of the frequent words, and the numbers of all."""
     frequent = vocabulary.where(F.col("word").isNotNull())
+    every = vocabulary.where(F.col("word").isNull()).agg(F.sum("n")).first()[0] or 0
+
+    def common(codes: DataFrame) -> np.ndarray:
+        return np.array([r["code"] for r in codes.where(F.col("n") > every * COMMON).select("code").collect()], np.int64)
+
     if frequent.count() <= dictionary:  # few enough to number here
         rows = sorted(frequent.select("n", "lang", "word").toArrow().to_pylist(), key=lambda r: (-r["n"], r["lang"], r["word"]))
         ranks: dict[str, dict[bytes, int]] = {}
@@ -169,13 +179,14 @@ def _numbered(vocabulary: DataFrame, counts, dictionary: int, least: int) -> tup
             ranks.setdefault(r["lang"], {})[r["word"].encode()] = code
         listed = pa.table({"code": pa.array(range(1, len(rows) + 1), pa.int64()), **{
             k: pa.array([r[k] for r in rows], t) for k, t in (("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()))}})
-        return written(vocabulary.sparkSession.createDataFrame(listed), "word-ranks"), Numbers(ranks, "")
+        codes = written(vocabulary.sparkSession.createDataFrame(listed), "word-ranks")
+        return codes, Numbers(ranks, "", common(codes))
     everything = written(counts().where(F.col("word").isNotNull()).select("lang", "word", "n"), "all-words")
     salt = 0
     while not everything.groupBy(hashed(str(salt))).count().where("count > 1").isEmpty():
         salt += 1
     codes = everything.where(F.col("n") >= least).withColumn("code", hashed(str(salt)))
-    return codes, Numbers(None, str(salt))
+    return codes, Numbers(None, str(salt), common(codes))
 
 
 def phrase_counts(docs: DataFrame, numbers: Numbers, least: int) -> DataFrame:
@@ -184,23 +195,30 @@ def phrase_counts(docs: DataFrame, numbers: Numbers, least: int) -> DataFrame:
     if numbers.ranks is not None:  # two ranks fit one number, in as few bits as they take: narrower rows in the shuffle
         bits = sum(map(len, numbers.ranks.values())).bit_length()
         low = F.lit((1 << bits) - 1)
-        pair = F.shiftleft("w1", bits).bitwiseOR(F.col("w2")).alias("w12")
-        rest = F.shiftleft("w3", bits).bitwiseOR(F.col("w4")).alias("w34")
-        counted = found.groupBy(pair, rest).agg(F.count("*").alias("f")).select(
-            "w12", F.shiftright("w34", bits).alias("w3"), F.col("w34").bitwiseAND(low).alias("w4"), "f")
-        prefix, pairs = ["w12", "w3"], [F.shiftright("w12", bits).alias("w1"), F.col("w12").bitwiseAND(low).alias("w2")]
+        first, last = ["w12"], ["w34"]
+        found = found.select(F.shiftleft("w1", bits).bitwiseOR(F.col("w2")).alias("w12"), "share",
+                             F.shiftleft("w3", bits).bitwiseOR(F.col("w4")).alias("w34"), "f")
+        w1, w2 = F.shiftright("w12", bits), F.col("w12").bitwiseAND(low)
+        w3, w4 = F.shiftright("w34", bits), F.col("w34").bitwiseAND(low)
     else:
-        counted = found.groupBy(*PLACES).agg(F.count("*").alias("f"))
-        prefix, pairs = PLACES[:-1], [F.col("w1"), F.col("w2")]
-    # Judged on the count, so that the filter stays above the aggregate and both uses share one shuffle.
-    fourth = F.when(F.col("f") >= least, F.col("w4")).otherwise(F.lit(0))
-    longest = counted.where(fourth != 0).select(*pairs, "w3", "w4", "f")
-    whole = F.grouping_id() == 0
-    two_words = F.grouping_id() == 1
-    shorter = counted.rollup(*prefix).agg(F.sum("f").alias("f"), whole.alias("three"), two_words.alias("two"))
-    shorter = shorter.where((F.col("f") >= least) & (F.col("two") | (F.col("three") & (F.col("w3") != 0))))
-    shorter = shorter.select(*pairs, F.coalesce("w3", F.lit(0)).alias("w3"), F.lit(0).cast("long").alias("w4"), "f")
-    return longest.unionByName(shorter)
+        first, last = PLACES[:2], PLACES[2:]
+        w1, w2, w3, w4 = (F.col(p) for p in PLACES)
+    pair, none = [w1.alias("w1"), w2.alias("w2")], F.lit(0).cast("long")
+    counted = found.repartition(*first, "share").groupBy(*first, "share", *last).agg(F.sum("f").alias("f"))
+    # Judged on the counts, so that the filters stay above the aggregates and all uses share one shuffle.
+    enough = F.col("f") >= least
+    longest = counted.where(F.when(enough, w4).otherwise(none) != 0).select(*pair, w3.alias("w3"), w4.alias("w4"), "f")
+    threes = counted.groupBy(*first, "share", w3.alias("w3")).agg(F.sum("f").alias("f"))
+    twos = counted.groupBy(*first, "share").agg(F.sum("f").alias("f")).withColumn("w3", none)
+    whole = F.col("share") == 0
+
+    def summed(part: DataFrame) -> DataFrame:
+        """Sums of the shares. What is whole and rare goes before the shuffle."""
+        rest = part.where(F.when(whole, F.col("f")).otherwise(F.lit(least)) >= least)
+        return rest.groupBy(*first, "w3").agg(F.sum("f").alias("f")).where(enough).select(*pair, "w3", none.alias("w4"), "f")
+
+    threes = threes.where(F.when(F.col("f") > 0, F.col("w3")).otherwise(none) != 0)
+    return longest.unionByName(summed(threes)).unionByName(summed(twos))
 
 
 def _parts(first: int, last: int) -> Column:
