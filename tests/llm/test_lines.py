@@ -95,3 +95,41 @@ def test_only_small_tables_are_broadcast(spark):
 
     assert hinted(spark.range(10)) and hinted(spark.range(0))
     assert not hinted(spark.range(4).select(F.repeat(F.lit("x"), 4 << 20).alias("text")))
+
+
+def test_white_space_between_words(spark):
+    rows = [(1, "a b c d e"), (2, "\ta  b\x0bc \x0c d\re "), (3, "a b\u00a0c d e"), (4, " \t \r"), (5, "A B C D E F\n a\tb c d e")]
+    got = lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == brute(rows)
+
+
+def family(spark, n):
+    rng = random.Random(n)
+    base = [f"b{k}" for k in range(40)]
+    rows = [(i, " ".join(f"x{rng.randrange(10**9)}" if rng.random() < 0.05 else w for w in base)) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_pairs_follow_the_lines_of_a_family(spark, monkeypatch):
+    counts = []
+
+    def counted(df, name, write=lines.written):
+        table = write(df, name)
+        if name in ("line-pairs", "line-candidates"):
+            counts.append(table.count())
+        return table
+
+    monkeypatch.setattr(lines, "written", counted)
+    for n in (300, 1200):
+        counts.clear()
+        lines.dedup_lines(family(spark, n)).count()
+        assert sum(counts) <= 16 * n
+
+
+def test_what_nothing_reads_any_more_takes_no_disk(spark, monkeypatch):
+    tables = {}
+    write = lines.written
+    monkeypatch.setattr(lines, "written", lambda df, name: tables.setdefault((name, len(tables)), write(df, name)))
+    out = lines.dedup_lines(family(spark, 200))
+    assert {name for (name, _), table in tables.items() if spark.read.parquet(table.written_to).count()} == {"repeated-lines"}
+    assert out.count() == 200

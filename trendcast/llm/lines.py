@@ -3,74 +3,80 @@
 A line is the set of its lower-cased words. A line goes if an earlier line of the corpus, in order of document and
 place, has a Jaccard similarity of at least ``threshold`` with it; the earliest always stays.
 
-1. Words are ordered by rarity. The order comes from counts of all words in 2^14 hash buckets, a table of fixed size
+1. Words are ordered by rarity. The order comes from counts of all words in 2^18 hash buckets, a table of fixed size
    that travels inside the expressions; any fixed order gives right results, a good one gives few candidates.
 2. Equal sets collapse to their earliest line by one aggregate.
-3. Prefix filter. Similar lines share a word among the first size - ceil(t * size) + 1, and k words among the first
-   size - ceil(t * size) + k. Short lines are sent out under each word of the shorter prefix. A word alone selects too
-   little in longer lines: with words dealt to m classes and k = m + 1, two shared words are of one class, so these
-   lines are sent out under each pair of words of one class in the longer prefix, about 0.45 keys a word.
-4. In each group, a line meets the ``NEAREST`` lines before it: in most cases the whole group, and in a family of near
-   copies almost all lines find their match there. The work follows the number of rows.
-5. Of larger groups, lines without a match meet some centres, and what then has none all lines of its groups.
-
-Candidates pass the length and positional filters and a sketch of the words that they do not share, none of which
-loses a match. They are then verified on their whole word sets, read again from the documents concerned only.
+3. Prefix filter. Similar lines share a word among the first size - ceil(t * size) + 1. Lines travel under these words
+   with their size and a sketch of 128 bits, on which each word that only one of two lines has flips one bit. Pairs
+   are held against the length, positional and sketch filters where they meet; none of these loses a match.
+4. Of the four words with the smallest hashes, similar lines mostly share three. Under each three of them a line meets
+   the ``NEAREST`` lines before it, and the one of the nearest sketch is verified. In a family of near copies most lines
+   find their match there, by work that follows their number. (The rarest words would not do: edits are rare words.)
+5. What then has no match meets all lines under all words of its prefix.
+
+Candidates are verified on their words, read again from the documents concerned only.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import small, text_or_empty, whole_row, written
+from trendcast.llm.shared import emptied, small, text_or_empty, whole_row, written
 
-BUCKET_BITS, HASH_BITS = 14, 54
+# A word's number: its class of frequency, then its length modulo 32, the longest first, then bits of its hash.
+BUCKET_BITS, HASH_BITS, LENGTH_BITS = 18, 51, 5
 BUCKETS = 1 << BUCKET_BITS
-NEAREST, CENTRES = 8, 16
-# Keys of lines or documents (two numbers each) are broadcast up to so many rows; more are joined by a shuffle.
+LEAST_HASHES, NEAREST = 4, 8
 KEY = ["doc_id", "place"]
-# Sizes from and below which lines are keyed by pairs, and their number of classes. Lines up to 1 / threshold times
-# the upper end have these keys too, so that partners on both sides of a limit meet.
-LEVELS = ((12, 60, 8), (60, 240, 24), (240, 960, 96), (960, 1 << 30, 384))
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"[\x20\x09-\x0D]+"), "")
+    """The words of a line and, where white space is not a single space, empty strings."""
+    low = F.lower(line)
+    # A pattern of one letter is split without a regular expression.
+    plain = F.when(low.rlike(r"[\x09-\x0D]"), F.translate(low, "\t\n\x0b\x0c\r", " " * 5)).otherwise(low)
+    return F.split(plain, " ", -1)
 
 
-def _hashes(words: Column) -> Column:
-    return F.transform(words, lambda w: F.xxhash64(w))
+def _number(word: Column) -> Column:
+    short = F.length(word).bitwiseAND(F.lit(31)).bitwiseXOR(F.lit(31)).cast("long")
+    return F.shiftleft(short, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
 
 
-def _bucket(h: Column) -> Column:
-    # The lowest bits, which a word's number keeps.
-    return h.bitwiseAND(F.lit(BUCKETS - 1))
+def _numbers(line: Column) -> Column:
+    """The different words of a line as numbers without their class."""
+    return F.array_remove(F.array_distinct(F.transform(_words(line), _number)), _number(F.lit("")))
+
+
+def _bucket(number: Column) -> Column:
+    return number.bitwiseAND(F.lit(BUCKETS - 1))
 
 
 def rarity(docs: DataFrame) -> Column:
-    """For each word bucket a class of frequency from 0, rare, to 15: an array of fixed size, from all words of all
+    """For each word bucket a class of frequency, 0 for the rarest: an array of fixed size, from all words of all
     documents."""
-    counts = docs.select(F.explode(_hashes(_words(text_or_empty(docs)))).alias("h")).groupBy(
-        _bucket(F.col("h")).cast("int").alias("bucket")).count().collect()  # at most one row a bucket
-    known = {r["bucket"]: r["count"] for r in counts}
-    usual = max(1, sum(known.values()) / BUCKETS)
-    classes = [min(15, max(0, math.ceil(2 * math.log2(max(1, known.get(b, 0)) / usual)))) for b in range(BUCKETS)]
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
+    words = docs.select(F.explode(_words(text_or_empty(docs))).alias("w")).where("w != ''")
+    counts = words.groupBy(_bucket(F.xxhash64("w")).cast("int").alias("bucket")).count().toArrow()  # a row a bucket at most
+    classes = ["0"] * BUCKETS
+    for bucket, n in zip(counts["bucket"].to_pylist(), counts["count"].to_pylist()):
+        classes[bucket] = str(min(127, math.ceil(4 * math.log2(n))))
+    return F.split(F.lit(",".join(classes)), ",").cast("array<int>")
 
 
 def token_set(line: Column, classes: Column) -> Column:
     """The words of a line as distinct numbers, rarest first: by class, then by length, then by hash."""
-    low = F.lit((1 << HASH_BITS) - 1)
+    def ranked(n):
+        rank = F.element_at(classes, (_bucket(n) + 1).cast("int")).cast("long")
+        return F.shiftleft(rank, HASH_BITS + LENGTH_BITS).bitwiseOR(n)
 
-    def number(w, h):
-        rank = F.coalesce(F.element_at(classes, (_bucket(h) + 1).cast("int")), F.lit(0)) * 32 + 31 - F.least(
-            F.length(w), F.lit(31))
-        return F.shiftleft(rank.cast("long"), HASH_BITS) + h.bitwiseAND(low)
+    return F.sort_array(F.transform(_numbers(line), ranked))
 
-    words = _words(line)
-    return F.sort_array(F.array_distinct(F.zip_with(words, _hashes(words), number)))
+
+def _short(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
 
 
 def _spare(size: Column, threshold: float) -> Column:
@@ -78,76 +84,67 @@ def _spare(size: Column, threshold: float) -> Column:
     return size - F.ceil(F.lit(threshold) * size - 1e-6)
 
 
-def _keys(threshold: float) -> Column:
-    """Keys of a line with columns ``size`` and ``prefix``, as structs of key and place of its first word."""
-    size, prefix, spare = F.col("size"), F.col("prefix"), _spare(F.col("size"), threshold)
-    none = F.array().cast("array<struct<key:bigint,at:int>>")
-
-    def key(at, *words):
-        return F.struct(F.xxhash64(*words).alias("key"), at.alias("at"))
+def _sketch(tokens: Column, keep) -> Column:
+    """One bit for each word, by six bits of its hash: of all words or of those that ``keep`` gives 1 for."""
+    def flipped(bits, t):
+        place = F.shiftright(t, BUCKET_BITS).bitwiseAND(F.lit(63)).cast("int")
+        return bits.bitwiseXOR(F.call_function("shiftleft", keep(t), place))
 
-    first = F.slice(prefix, F.lit(1), (spare + 1).cast("int"))
-    parts = [F.when(size < LEVELS[0][0] / threshold, F.transform(first, lambda x, i: key(i, x))).otherwise(none)]
-    for low, high, classes in LEVELS:
-        m = F.lit(classes)
-        longer = F.slice(prefix, F.lit(1), (spare + classes + 1).cast("int"))
+    return F.aggregate(tokens, F.lit(0).cast("long"), flipped)
 
-        parts.append(F.when((size >= low) & (size < high / threshold), _pairs(longer, m, key)).otherwise(none))
-    return F.concat(*parts)
 
+def _differ(a: str, b: str) -> Column:
+    """At least so many words are in one of two lines only."""
+    return F.bit_count(F.col(f"{a}.x").bitwiseXOR(F.col(f"{b}.x"))) + F.bit_count(F.col(f"{a}.y").bitwiseXOR(F.col(f"{b}.y")))
 
-def _pairs(words: Column, classes: Column, key) -> Column:
-    def after(x, i):
-        alike = F.filter(F.slice(words, i + 2, F.size(words)), lambda y: y % classes == x % classes)
-        return F.transform(alike, lambda y: key(i, classes, x, y))
 
-    return F.flatten(F.transform(words, after))
+def _least(a: str, b: str, threshold: float) -> Column:
+    """The number of words that similar lines of these sizes share."""
+    return F.ceil(F.lit(threshold / (1 + threshold)) * (F.col(f"{a}.size") + F.col(f"{b}.size")) - 1e-6)
 
 
 def _may_match(a: str, b: str, threshold: float) -> Column:
-    """Length and positional filter: false only if the lines cannot be as similar as asked for."""
-    sa, sb, ia, ib = (F.col(f"{x}.{c}") for c in ("size", "at") for x in (a, b))
-    least = F.ceil(F.lit(threshold / (1 + threshold)) * (sa + sb) - 1e-6)
-    overlap = F.least(ia, ib) + 1 + F.least(sa - ia - 1, sb - ib - 1)
-    return (sa >= threshold * sb - 1e-6) & (sb >= threshold * sa - 1e-6) & (overlap >= least)
-
-
-def _similar(docs: DataFrame, lines: DataFrame, pairs: DataFrame, classes: Column, threshold: float) -> DataFrame:
-    """The later ``line`` of those ``pairs`` (a, b: lines) that are similar, with its key."""
-    some = small(written(pairs.distinct(), "line-candidates"))
-    sketch = lines.select("line", "size", "bits")
-    some = some.join(sketch.toDF("a", "sa", "xa"), "a").join(sketch.toDF("b", "sb", "xb"), "b")
-    # Each word that only one line has flips one bit of its sketch.
-    differ = F.bit_count(F.col("xa").bitwiseXOR(F.col("xb")))
-    union = F.col("sa") + F.col("sb")
-    pairs = written(some.where(union - differ >= 2 * F.ceil(F.lit(threshold / (1 + threshold)) * union - 1e-6)).select(
-        "a", "b"), "line-pairs")
+    """Sketch and length filter: false only if the lines cannot be as similar as asked for."""
+    sa, sb = F.col(f"{a}.size"), F.col(f"{b}.size")
+    return (sa + sb - _differ(a, b) >= 2 * _least(a, b, threshold)) & (sa >= threshold * sb - 1e-6) & (
+        sb >= threshold * sa - 1e-6)
+
+
+def _may_start(a: str, b: str, threshold: float) -> Column:
+    """Positional filter: false only if the lines cannot be as similar, or share a word before this one too."""
+    rest = F.least(F.col(f"{a}.size") - F.col(f"{a}.at"), F.col(f"{b}.size") - F.col(f"{b}.at"))
+    return rest >= _least(a, b, threshold)
+
+
+def _similar(docs: DataFrame, lines: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """The later line, b, of those ``pairs`` (a, b: lines) that are similar, with its key."""
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), "line-numbers")
     keys = written(lines.select("line", *KEY).join(small(wanted), "line", "left_semi"), "line-keys")
     ids = written(keys.select("doc_id").distinct(), "line-documents")
     some = docs.alias("d").join(small(ids).alias("i"), F.col("d.doc_id").eqNullSafe(F.col("i.doc_id")), "left_semi")
-    sets = _line_sets(some.select("doc_id", "text"), classes).alias("l").join(
+    some = _lines(some.select("doc_id", "text")).alias("l").join(
         small(keys).alias("k"), F.col("l.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("l.place") == F.col("k.place")))
-    sets = written(sets.select("k.line", F.struct("k.doc_id", "k.place").alias("key"), "l.tokens").dropDuplicates(
-        ["line"]), "line-sets")
-    both = F.size(F.array_intersect("ta", "tb"))
     # Rows that repeat an id and a text have lines with equal keys, which are one line.
-    similar = pairs.join(sets.toDF("a", "ka", "ta"), "a").join(sets.toDF("b", "kb", "tb"), "b").where("ka != kb").where(
-        both / (F.size("ta") + F.size("tb") - both) >= F.lit(threshold))
-    later = F.when(F.col("ka") < F.col("kb"), F.struct(F.col("b").alias("line"), F.col("kb").alias("key"))).otherwise(
-        F.struct(F.col("a").alias("line"), F.col("ka").alias("key")))
-    return written(similar.select(later.alias("x")).select("x.line", "x.key.*").distinct(), "line-matches")
-
-
-def _line_sets(docs: DataFrame, classes: Column) -> DataFrame:
-    """(doc_id, place, tokens) of every line. ``place`` orders the lines of an id; it holds the line's number, then bits
+    sets = written(some.select(
+        "k.line", F.array_distinct(F.transform(F.array_remove(_words(F.col("l.text")), ""), lambda w: F.xxhash64(w))).alias(
+            "words")).dropDuplicates(["line"]), "line-sets")
+    both = F.size(F.array_intersect("wa", "wb"))
+    similar = pairs.join(sets.toDF("a", "wa"), "a").join(sets.toDF("b", "wb"), "b").where(
+        both / (F.size("wa") + F.size("wb") - both) >= F.lit(threshold))
+    later = written(similar.select(F.col("b").alias("line")).distinct(), "line-later")
+    found = written(keys.join(small(later), "line", "left_semi"), "line-matches")
+    emptied(wanted, keys, ids, sets, later)
+    return found
+
+
+def _lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, place, text) of every line. ``place`` orders the lines of an id; it holds the line's number, then bits
     of a hash of the text, so that different texts under one id keep apart. Rows with the same id and text count as one
-    document. The sets are worked out inside the generator, once."""
+    document."""
     text = text_or_empty(docs)
     digest = F.xxhash64(text).bitwiseAND(F.lit(0x7FFFFFFF))
-    sets = F.transform(F.split(text, "\n", -1), lambda line: token_set(line, classes))
-    rows = docs.select("doc_id", digest.alias("digest"), F.posexplode(sets).alias("no", "tokens"))
-    return rows.select("doc_id", (F.shiftleft(F.col("no").cast("long"), 31) + F.col("digest")).alias("place"), "tokens")
+    rows = docs.select("doc_id", digest.alias("digest"), F.posexplode(F.split(text, "\n", -1)).alias("no", "text"))
+    return rows.select("doc_id", (F.shiftleft(F.col("no").cast("long"), 31) + F.col("digest")).alias("place"), "text")
 
 
 def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
@@ -157,77 +154,91 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1)
         raise ValueError("the keys hold for thresholds from 0.75 to 1")
     docs = docs.select("doc_id", text_or_empty(docs).alias("text"))
     classes = rarity(docs)
+    # The sets are worked out inside the generator, once.
+    sets = F.transform(F.split("text", "\n", -1), lambda line: token_set(line, classes))
+    digest = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF))
+    rows = docs.select("doc_id", digest.alias("digest"), F.posexplode(sets).alias("no", "tokens"))
     size = F.size("tokens")
-    more = F.lit(0)
-    for low, _, m in LEVELS:
-        more = F.when(size >= low, m).otherwise(more)
-    prefix = F.slice("tokens", F.lit(1), (_spare(size, threshold) + more + 1).cast("int"))
-    narrow = written(_line_sets(docs, classes).where(size >= max(1, min_words)).select(
-        *KEY, F.monotonically_increasing_id().alias("line"), F.xxhash64("tokens").alias("set_id"), size.alias("size"),
-        F.aggregate("tokens", F.lit(0).cast("long"), lambda a, t: a.bitwiseXOR(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), t.bitwiseAND(F.lit(63)).cast("int")))).alias("bits"),
-        F.transform(prefix, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix")), "lines")
+    x = _sketch(F.col("tokens"), lambda t: F.lit(1).cast("long"))
+    y = _sketch(F.col("tokens"), lambda t: F.shiftright(t, BUCKET_BITS + 6).bitwiseAND(F.lit(1)))
+    prefix = F.slice("tokens", F.lit(1), (_spare(size, threshold) + 1).cast("int"))
+    lines = written(rows.where(size >= max(1, min_words)).select(
+        "doc_id", (F.shiftleft(F.col("no").cast("long"), 31) + F.col("digest")).alias("place"),
+        F.monotonically_increasing_id().alias("line"), F.xxhash64("tokens").alias("set_id"), size.alias("size"),
+        x.alias("x"), y.alias("y"),
+        # The low bits of a number tell words apart well enough here: more candidates at most.
+        _short(prefix).alias("prefix"), F.slice(F.sort_array(_short(F.col("tokens"))), 1, LEAST_HASHES).alias("hashes")), "lines")
+    # All words flip a bit of x; those of y are taken out again.
+    narrow = lines.withColumn("x", F.col("x").bitwiseXOR(F.col("y")))
 
     # Of equal sets the earliest line goes on.
-    key = F.struct(*KEY)
-    heads = narrow.groupBy("set_id", "size").agg(F.min(key).alias("head"), F.count("*").alias("n")).where("n > 1")
-    copies = written(narrow.select("set_id", "size", "line", *KEY).join(heads.drop("n"), ["set_id", "size"]).where(
-        key != F.col("head")).select("line", *KEY), "line-copies")
-    firsts = narrow.join(small(copies.select("line")), "line", "left_anti")
-
-    rows = firsts.select("line", "size", F.explode(_keys(threshold)).alias("k")).select("k.key", "line", "size", "k.at")
-    group = Window.partitionBy("key")
-    line = F.struct("line", "size", "at")
-    met = rows.withColumn("before", F.collect_list(line).over(group.orderBy("line").rowsBetween(-NEAREST, -1))).withColumn(
-        "crowded", F.count("*").over(group) > NEAREST + 1)
-    # A crowded line meets itself too, which keeps one row of it; of other meetings the two lines are kept.
-    meets = F.when(F.col("crowded"), F.concat("before", F.array(line))).otherwise(F.col("before"))
-    met = met.select("key", line.alias("b"), F.explode(meets).alias("a"))
-    met = met.where((F.col("a.line") == F.col("b.line")) | _may_match("a", "b", threshold))
-    itself = F.col("a.line") == F.col("b.line")
-    # Half of a key is enough to tell groups apart here: more candidates at most.
-    met = written(met.select(
-        F.when(itself, F.pmod("key", F.lit(1 << 31)).cast("int")).alias("key"), F.col("b.line").alias("line"),
-        F.when(itself, F.col("b.size")).alias("size"), F.when(itself, F.col("b.at")).alias("at"),
-        F.when(~itself, F.col("a.line")).alias("other")), "line-groups")
-    crowded = met.where("other is null").select("key", "line", "size", "at")
-
-    def candidates(some, others):
-        close = some.alias("b").join(others.alias("a"), (F.col("a.key") == F.col("b.key")) & (
-            F.col("a.line") != F.col("b.line")) & _may_match("a", "b", threshold))
-        return close.select(F.least("a.line", "b.line").alias("a"), F.greatest("a.line", "b.line").alias("b"))
-
-    near = met.where("other is not null").select(F.col("other").alias("a"), F.col("line").alias("b"))
-    found = [_similar(docs, narrow, near, classes, threshold)]
-    left = crowded.join(small(found[0].select("line")), "line", "left_anti")
-    centres = crowded.groupBy("key", F.pmod(F.xxhash64("line"), F.lit(CENTRES)).alias("salt")).agg(F.min(line).alias("c"))
-    found.append(_similar(docs, narrow, candidates(left, centres.select("key", "c.*")), classes, threshold))
-    left = left.join(small(found[1].select("line")), "line", "left_anti")
-    found.append(_similar(docs, narrow, candidates(left, crowded), classes, threshold))
-    out = copies.select(*KEY)
-    for matches in found:
-        out = out.unionByName(matches.select(*KEY))
-    return written(out.distinct(), "repeated-lines")
+    equal = ["set_id", "size"]
+    repeats = written(narrow.groupBy(*equal).count().where("count > 1").drop("count"), "line-repeats")
+    several = narrow.select(*equal, "line", *KEY).join(small(repeats), equal, "left_semi")
+    heads = written(several.groupBy(*equal).agg(F.min(F.struct(*KEY, "line")).alias("head")), "line-heads")
+    others = written(several.join(small(heads), equal).where("line != head.line").select(
+        "line", *KEY, (F.struct(*KEY) != F.struct("head.doc_id", "head.place")).alias("gone")), "line-copies")
+    copies = others.where("gone").select(*KEY)
+    # Lines of fewer words have only equal lines as similar ones. The others are numbered in the order of the corpus.
+    carried = ["line", "size", "x", "y"]
+    firsts = narrow.where((1 - threshold) * F.col("size") >= threshold - 1e-6).join(
+        small(others.select("line")), "line", "left_anti").orderBy(*KEY)
+    firsts = written(firsts.select(*KEY, F.monotonically_increasing_id().alias("line"), *carried[1:], "prefix", "hashes"),
+                     "line-firsts")
+    copies = written(copies, "line-repeated")
+    emptied(lines, repeats, heads, others)
+
+    hashes = [F.get("hashes", F.lit(i)) for i in range(LEAST_HASHES)]
+    threes = F.array(*[F.xxhash64(*some) for some in itertools.combinations(hashes, LEAST_HASHES - 1)])
+    order = Window.partitionBy("key").orderBy("line")
+    before = F.array(*[F.lag(F.struct(*carried), i).over(order) for i in range(1, NEAREST + 1)])
+    met = firsts.select(*carried, F.explode(threes).alias("key")).withColumn("before", before)
+    met = met.select(F.struct(*carried).alias("b"), F.explode("before").alias("a")).where(
+        F.col("a").isNotNull() & _may_match("a", "b", threshold))
+    met = met.select(F.col("b.line").alias("b"), F.col("a.line").alias("a"), _differ("a", "b").alias("differ"))
+    near = written(met.groupBy("b").agg(F.min_by("a", "differ").alias("a")), "line-pairs")
+    close = _similar(docs, firsts, near, threshold)
+
+    # Matched lines look for nobody, but later ones meet them. Both sides of the join have the same columns before their
+    # groups are counted, so that one shuffle by word serves both: ``mark`` is twice the place, odd for a matched line.
+    known = firsts.join(small(close.select("line", F.lit(1).alias("found"))), "line", "left")
+    groups = known.select(*carried, "prefix", F.coalesce("found", F.lit(0)).alias("found"), F.posexplode("prefix").alias("at", "key"))
+    groups = groups.select(*carried, (2 * F.col("at") + F.col("found")).alias("mark"), "key",
+                           F.coalesce(F.get("prefix", F.col("at") - 1), F.lit(-1)).alias("last")).withColumn(
+        "n", F.count("*").over(Window.partitionBy("key"))).where("n > 1").withColumn("at", F.shiftright("mark", 1))
+    a, b = groups.alias("a"), groups.where("mark % 2 = 0").alias("b")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.line") < F.col("b.line"))
+                   & _may_match("a", "b", threshold) & _may_start("a", "b", threshold)
+                   # Lines whose words before this one are equal too have met there.
+                   & ((F.col("a.last") != F.col("b.last")) | (F.col("a.last") < 0)))
+    far = written(pairs.select(F.col("a.line").alias("a"), F.col("b.line").alias("b")).distinct(), "line-pairs")
+    last = _similar(docs, firsts, far, threshold)
+    out = copies.unionByName(close.select(*KEY)).unionByName(last.select(*KEY))
+    out = written(out.distinct(), "repeated-lines")
+    emptied(firsts, copies, near, close, far, last)
+    return out
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, and the columns ``n_lines`` and ``n_removed``, which
     replace any of those names. A null text stays null and has no lines."""
-    removed = repeated_lines(docs, threshold, min_words).groupBy(F.col("doc_id").alias("r_id")).agg(
-        F.collect_list("place").alias("r_places"))
+    # A place is the number of a line, then a digest of the text.
+    removed = repeated_lines(docs, threshold, min_words).groupBy(
+        F.col("doc_id").alias("r_id"), F.col("place").bitwiseAND(F.lit(0x7FFFFFFF)).alias("r_digest")).agg(
+        F.collect_list(F.shiftright("place", 31).cast("int")).alias("r_numbers"))
     removed = small(removed)
     kept_columns = docs.drop("n_lines", "n_removed")
     rows = kept_columns.select(whole_row(kept_columns))
-    joined = rows.join(removed, F.col("row.doc_id").eqNullSafe(F.col("r_id")), "left")
     whole = F.col("row.text")
-    lines = F.split(whole, "\n", -1)
     digest = F.xxhash64(F.coalesce(whole, F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
-    places = F.transform(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.shiftleft(i.cast("long"), 31) + digest)
-    kept = F.array_except(places, F.coalesce("r_places", F.array().cast("array<bigint>")))
-    text = F.array_join(F.transform(kept, lambda p: F.element_at(lines, (F.shiftright(p, 31) + 1).cast("int"))), "\n")
+    joined = rows.join(removed, F.col("row.doc_id").eqNullSafe(F.col("r_id")) & (digest == F.col("r_digest")), "left")
+    lines = F.split(whole, "\n", -1)
+    # Inside the lambda stands nothing that is worked out again for each line.
+    kept = F.filter(lines, lambda line, i: ~F.array_contains("r_numbers", i))
+    text = F.when(F.col("r_numbers").isNull(), whole).otherwise(F.array_join(kept, "\n"))
     none = whole.isNull()
     # Not named row again: inside the lambdas that name would mean the new one.
     out = joined.select(F.col("row").withField("text", text).alias("changed"),
                         F.when(none, 0).otherwise(F.size(lines)).alias("n_lines"),
-                        F.when(none, 0).otherwise(F.size(lines) - F.size(kept)).alias("n_removed"))
+                        F.when(none | F.col("r_numbers").isNull(), 0).otherwise(F.size("r_numbers")).alias("n_removed"))
     return out.select("changed.*", "n_lines", "n_removed")

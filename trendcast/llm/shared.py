@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import uuid
@@ -31,8 +32,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     loses nothing of it."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+@contextlib.contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of what is run here as it ends, not when the driver collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def emptied(*tables: DataFrame) -> None:
+    """Free the disk of tables from ``written`` that nothing reads any more."""
+    for table in tables:
+        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(table.written_to)
 
 
 def text_or_empty(df: DataFrame, text: str = "text") -> Column:
