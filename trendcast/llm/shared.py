@@ -54,7 +54,8 @@ def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
 def emptied(*tables: DataFrame) -> None:
     """Free the disk of tables from ``written`` that nothing reads any more."""
     for table in tables:
-        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(table.written_to)
+        none = [F.lit(None).cast(field.dataType).alias(field.name) for field in table.schema]
+        table.sparkSession.range(0).select(*none).write.mode("overwrite").parquet(table.written_to)
 
 
 def text_or_empty(df: DataFrame, text: str = "text") -> Column:
