@@ -77,6 +77,31 @@ def test_silhouette_shuffles_rows_and_sums_only(spark, monkeypatch):
     assert "Join Cross" in plan and "strategy=shuffle_replicate_nl" in plan
 
 
+def test_far_rows_meet_through_nodes(spark, monkeypatch):
+    """In few dimensions only near boxes meet row by row, and silhouettes are those of all pairs."""
+    rng = np.random.default_rng(8)
+    points = np.column_stack([rng.lognormal(size=5000), 0.1 * rng.normal(size=5000), 5.0 * rng.integers(0, 2, 5000)])
+    points = np.vstack([points, points[:50]])
+    labels = np.where(points[:, 0] > 3, 7, (points[:, 1] > 0.02).astype(int))
+    labels[60] = 9
+    df = spark.createDataFrame([(x.tolist(), int(c), int(c) % 2) for x, c in zip(points, labels)], "v array<double>, c int, s int")
+    seen = []
+    look = segment._far_tiles
+    monkeypatch.setattr(segment, "_far_tiles", lambda packed: seen.append(look(packed)) or seen[-1])
+    got = dict(rows(segment.silhouette_scores(df, "v", ["c", "s"], tile_rows=128), "labelling", "silhouette"))
+    assert seen[0].apart.mean() > 0.5
+    assert got["c"] == pytest.approx(brute_silhouette(points, labels), abs=1e-9)
+    assert got["s"] == pytest.approx(brute_silhouette(points, labels % 2), abs=1e-9)
+
+
+def test_rows_of_many_dimensions_all_meet(spark):
+    rng = np.random.default_rng(9)
+    points, labels = rng.normal(size=(1300, 5)), rng.integers(0, 3, 1300)
+    df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(points, labels)], "v array<double>, c int")
+    got = dict(rows(segment.silhouette_scores(df, "v", ["c"], tile_rows=64), "labelling", "silhouette"))
+    assert got["c"] == pytest.approx(brute_silhouette(points, labels), abs=1e-9)
+
+
 def test_sample_is_exact_and_stable(blobs):
     a = {r for r in rows(segment.stable_sample(blobs, "id", 20, 1), "id")}
     b = {r for r in rows(segment.stable_sample(blobs.repartition(5), "id", 20, 1), "id")}
