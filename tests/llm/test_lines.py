@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,3 +135,20 @@ def test_what_nothing_reads_any_more_takes_no_disk(spark, monkeypatch):
     out = lines.dedup_lines(family(spark, 200))
     assert {name for (name, _), table in tables.items() if spark.read.parquet(table.written_to).count()} == {"repeated-lines"}
     assert out.count() == 200
+
+
+def test_each_word_is_worked_out_once_for_many_lines(monkeypatch):
+    hashed, hashes = [], lines._hashes
+    monkeypatch.setattr(lines, "_hashes", lambda words: hashed.extend(words.to_pylist()) or hashes(words))
+    texts = ["a b c\n\nb a  a\tc", "", "c b a d\nd"] * 50
+    ids = list(range(len(texts)))
+    piece = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(texts)], ["doc_id", "digest", "low"])
+    classes = np.zeros(lines.BUCKETS, dtype=np.int8)
+    rows = lines._line_rows(piece, classes, 0.8, 1).to_pylist()
+    assert sorted(w for w in hashed if w) == ["a", "b", "c", "d"]
+    assert [(r["doc_id"], r["place"] >> 31, r["size"]) for r in rows[:4]] == [(0, 0, 3), (0, 2, 3), (2, 0, 4), (2, 1, 1)]
+    same, four, one = rows[0], rows[2], rows[3]
+    assert {k: same[k] for k in ("set_id", "x", "y", "prefix", "hashes")} == {k: rows[1][k] for k in ("set_id", "x", "y", "prefix", "hashes")}
+    assert len({r["set_id"] for r in rows}) == 3
+    assert (four["x"] ^ same["x"] ^ one["x"], four["y"] ^ same["y"] ^ one["y"]) == (0, 0)
+    assert [len(r["prefix"]) for r in (same, four, one)] == [1, 1, 1] and sorted(same["hashes"] + one["hashes"]) == four["hashes"]

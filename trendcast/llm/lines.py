@@ -4,7 +4,7 @@ A line is the set of its lower-cased words. A line goes if an earlier line of th
 place, has a Jaccard similarity of at least ``threshold`` with it; the earliest always stays.
 
 1. Words are ordered by rarity. The order comes from counts of all words in 2^18 hash buckets, a table of fixed size
-   that travels inside the expressions; any fixed order gives right results, a good one gives few candidates.
+   that travels with the tasks; any fixed order gives right results, a good one gives few candidates.
 2. Equal sets collapse to their earliest line by one aggregate.
 3. Prefix filter. Similar lines share a word among the first size - ceil(t * size) + 1. Lines travel under these words
    with their size and a sketch of 128 bits, on which each word that only one of two lines has flips one bit. Pairs
@@ -20,16 +20,21 @@ Candidates are verified on their words, read again from the documents concerned
 from __future__ import annotations
 
 import itertools
-import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from trendcast.llm.shared import emptied, small, text_or_empty, whole_row, written
+from trendcast.llm.shared import emptied, small, small_batches, text_or_empty, tidy, whole_row, written
 
 # A word's number: its class of frequency, then its length modulo 32, the longest first, then bits of its hash.
 BUCKET_BITS, HASH_BITS, LENGTH_BITS = 18, 51, 5
 BUCKETS = 1 << BUCKET_BITS
 LEAST_HASHES, NEAREST = 4, 8
+PIECE_BYTES = 4 << 20  # of texts that are split into words together
 KEY = ["doc_id", "place"]
 
 
@@ -41,56 +46,132 @@ def _words(line: Column) -> Column:
     return F.split(plain, " ", -1)
 
 
-def _number(word: Column) -> Column:
-    short = F.length(word).bitwiseAND(F.lit(31)).bitwiseXOR(F.lit(31)).cast("long")
-    return F.shiftleft(short, HASH_BITS).bitwiseOR(F.xxhash64(word).bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts, in the last column, have about ``PIECE_BYTES`` each."""
+    ends = np.cumsum(pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + PIECE_BYTES, side="right")))
+        yield batch.slice(start, end - start)
+        start = end
 
 
-def _numbers(line: Column) -> Column:
-    """The different words of a line as numbers without their class."""
-    return F.array_remove(F.array_distinct(F.transform(_words(line), _number)), _number(F.lit("")))
+def _split_words(texts: pa.Array) -> pa.ListArray:
+    """As ``_words``, of lower-cased texts."""
+    for white in "\t\n\x0b\x0c\r":
+        texts = pc.replace_substring(texts, white, " ")
+    return pc.split_pattern(texts, " ")
 
 
-def _bucket(number: Column) -> Column:
-    return number.bitwiseAND(F.lit(BUCKETS - 1))
+def _hashes(words: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(np.array(words.to_pylist(), dtype=object), categorize=False)
 
 
-def rarity(docs: DataFrame) -> Column:
+def rarity(docs: DataFrame) -> np.ndarray:
     """For each word bucket a class of frequency, 0 for the rarest: an array of fixed size, from all words of all
     documents."""
-    words = docs.select(F.explode(_words(text_or_empty(docs))).alias("w")).where("w != ''")
-    counts = words.groupBy(_bucket(F.xxhash64("w")).cast("int").alias("bucket")).count().toArrow()  # a row a bucket at most
-    classes = ["0"] * BUCKETS
-    for bucket, n in zip(counts["bucket"].to_pylist(), counts["count"].to_pylist()):
-        classes[bucket] = str(min(127, math.ceil(4 * math.log2(n))))
-    return F.split(F.lit(",".join(classes)), ",").cast("array<int>")
-
-
-def token_set(line: Column, classes: Column) -> Column:
-    """The words of a line as distinct numbers, rarest first: by class, then by length, then by hash."""
-    def ranked(n):
-        rank = F.element_at(classes, (_bucket(n) + 1).cast("int")).cast("long")
-        return F.shiftleft(rank, HASH_BITS + LENGTH_BITS).bitwiseOR(n)
-
-    return F.sort_array(F.transform(_numbers(line), ranked))
-
-
-def _short(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for piece in _pieces(batch):
+                counts = pc.list_flatten(_split_words(piece.column(0))).value_counts()
+                words, n = counts.field("values"), counts.field("counts").to_numpy()
+                filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
+                found = (_hashes(words) & np.uint64(BUCKETS - 1)).astype(np.int64)[filled]
+                total += np.bincount(found, n[filled], BUCKETS).astype(np.int64)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["bucket", "n"])
+
+    texts = docs.select(F.lower(text_or_empty(docs)).alias("low"))
+    counts = texts.mapInArrow(tidy(count), "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    found = counts.toArrow()  # a row a bucket at most
+    classes = np.zeros(BUCKETS, dtype=np.int8)
+    classes[found["bucket"].to_numpy()] = np.minimum(127, np.ceil(4 * np.log2(found["n"].to_numpy())))
+    return classes
+
+
+def _ranked(words: pa.Array, classes: np.ndarray) -> np.ndarray:
+    """Words as numbers, rarest first: by class, then by length, then by hash."""
+    hashed = _hashes(words)
+    length = pc.utf8_length(words).to_numpy().astype(np.uint64)
+    short = (length & np.uint64(31)) ^ np.uint64(31)
+    rank = classes[(hashed & np.uint64(BUCKETS - 1)).astype(np.int64)].astype(np.uint64)
+    bits = hashed & np.uint64((1 << HASH_BITS) - 1)
+    return rank << np.uint64(HASH_BITS + LENGTH_BITS) | short << np.uint64(HASH_BITS) | bits
+
+
+def _mixed(n: np.ndarray) -> np.ndarray:
+    """Numbers as 64 well mixed bits (the finalizer of SplitMix64), whose sums tell sets apart."""
+    n = (n ^ n >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    n = (n ^ n >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return n ^ n >> np.uint64(31)
+
+
+def _first(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray, most: np.ndarray) -> pa.ListArray:
+    """The first values of each run, at most ``most``."""
+    kept = np.minimum(sizes, most)
+    offsets = np.concatenate([[0], np.cumsum(kept)])
+    places = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], kept)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values[places].astype(np.int32)))
+
+
+def _line_rows(piece: pa.RecordBatch, classes: np.ndarray, threshold: float, min_words: int) -> pa.RecordBatch:
+    """What ``_scanned`` gives of the lines of some documents (doc_id, digest, low)."""
+    split = pc.split_pattern(piece.column(2), "\n")
+    doc = pc.list_parent_indices(split).to_numpy()
+    no = np.arange(len(doc)) - np.searchsorted(doc, doc)
+    words = _split_words(pc.list_flatten(split))
+    line, coded = pc.list_parent_indices(words).to_numpy(), pc.list_flatten(words).dictionary_encode()
+    filled = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False)
+    numbers, place = np.unique(_ranked(coded.dictionary, classes), return_inverse=True)
+    codes = coded.indices.to_numpy()
+    named = filled[codes]
+    # One sort puts the words of each line side by side, rarest first.
+    keys = np.unique(line[named].astype(np.int64) * len(numbers) + place[codes[named]])
+    line, token = np.divmod(keys, len(numbers) or 1)
+    sizes = np.bincount(line, minlength=len(doc))
+    wanted = sizes >= max(1, min_words)
+    line, token = line[wanted[line]], token[wanted[line]]
+    sizes = sizes[wanted]
+    starts = np.cumsum(sizes) - sizes
+    one = np.uint64(1)
+    bit = one << (numbers >> np.uint64(BUCKET_BITS) & np.uint64(63))
+    second = numbers >> np.uint64(BUCKET_BITS + 6) & one
+
+    def combined(how, values):
+        return pa.array((how.reduceat(values[token], starts) if len(starts) else values[:0]).view(np.int64))
+
+    short = (numbers & np.uint64(0x7FFFFFFF)).astype(np.int64)
+    # In each line the smallest hashes come first.
+    least = np.sort(line << 31 | short[token]) & 0x7FFFFFFF
+    spare = sizes - np.ceil(threshold * sizes - 1e-6).astype(np.int64)
+    at = doc[wanted]
+    return pa.RecordBatch.from_arrays([
+        piece.column(0).take(pa.array(at)),
+        pa.array((no[wanted].astype(np.int64) << 31) + piece.column(1).to_numpy()[at]),
+        combined(np.add, _mixed(numbers)), pa.array(sizes, pa.int32()),
+        combined(np.bitwise_xor, bit * (one - second)), combined(np.bitwise_xor, bit * second),
+        # The low bits of a number tell words apart well enough here: more candidates at most.
+        _first(short[token], starts, sizes, spare + 1), _first(least, starts, sizes, np.full(len(sizes), LEAST_HASHES)),
+    ], ["doc_id", "place", "set_id", "size", "x", "y", "prefix", "hashes"])
 
-def _spare(size: Column, threshold: float) -> Column:
-    """How many words of a line a similar line may lack."""
-    return size - F.ceil(F.lit(threshold) * size - 1e-6)
 
+def _scanned(docs: DataFrame, threshold: float, min_words: int) -> DataFrame:
+    """(doc_id, place, set_id, size, x, y, prefix, hashes) of every line of ``min_words`` words: the sketch (one bit for each
+    word, by six bits of its hash, in x or y by a seventh), the words of its prefix and the least word hashes."""
+    classes = rarity(docs)
+    small_batches(docs.sparkSession, 2000)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
-def _sketch(tokens: Column, keep) -> Column:
-    """One bit for each word, by six bits of its hash: of all words or of those that ``keep`` gives 1 for."""
-    def flipped(bits, t):
-        place = F.shiftright(t, BUCKET_BITS).bitwiseAND(F.lit(63)).cast("int")
-        return bits.bitwiseXOR(F.call_function("shiftleft", keep(t), place))
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in _pieces(batch):
+                yield _line_rows(piece, classes, threshold, min_words)
 
-    return F.aggregate(tokens, F.lit(0).cast("long"), flipped)
+    digest = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF))
+    return docs.select("doc_id", digest.alias("digest"), F.lower("text").alias("low")).mapInArrow(
+        tidy(scan), f"doc_id {id_type}, place long, set_id long, size int, x long, y long, prefix array<int>, hashes array<int>")
 
 
 def _differ(a: str, b: str) -> Column:
@@ -153,35 +234,20 @@ def repeated_lines(docs: DataFrame, threshold: float = 0.8, min_words: int = 1)
     if not 0.75 <= threshold <= 1:
         raise ValueError("the keys hold for thresholds from 0.75 to 1")
     docs = docs.select("doc_id", text_or_empty(docs).alias("text"))
-    classes = rarity(docs)
-    # The sets are worked out inside the generator, once.
-    sets = F.transform(F.split("text", "\n", -1), lambda line: token_set(line, classes))
-    digest = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF))
-    rows = docs.select("doc_id", digest.alias("digest"), F.posexplode(sets).alias("no", "tokens"))
-    size = F.size("tokens")
-    x = _sketch(F.col("tokens"), lambda t: F.lit(1).cast("long"))
-    y = _sketch(F.col("tokens"), lambda t: F.shiftright(t, BUCKET_BITS + 6).bitwiseAND(F.lit(1)))
-    prefix = F.slice("tokens", F.lit(1), (_spare(size, threshold) + 1).cast("int"))
-    lines = written(rows.where(size >= max(1, min_words)).select(
-        "doc_id", (F.shiftleft(F.col("no").cast("long"), 31) + F.col("digest")).alias("place"),
-        F.monotonically_increasing_id().alias("line"), F.xxhash64("tokens").alias("set_id"), size.alias("size"),
-        x.alias("x"), y.alias("y"),
-        # The low bits of a number tell words apart well enough here: more candidates at most.
-        _short(prefix).alias("prefix"), F.slice(F.sort_array(_short(F.col("tokens"))), 1, LEAST_HASHES).alias("hashes")), "lines")
-    # All words flip a bit of x; those of y are taken out again.
-    narrow = lines.withColumn("x", F.col("x").bitwiseXOR(F.col("y")))
+    rows = _scanned(docs, threshold, min_words)
+    lines = written(rows.withColumn("line", F.monotonically_increasing_id()), "lines")
 
     # Of equal sets the earliest line goes on.
     equal = ["set_id", "size"]
-    repeats = written(narrow.groupBy(*equal).count().where("count > 1").drop("count"), "line-repeats")
-    several = narrow.select(*equal, "line", *KEY).join(small(repeats), equal, "left_semi")
+    repeats = written(lines.groupBy(*equal).count().where("count > 1").drop("count"), "line-repeats")
+    several = lines.select(*equal, "line", *KEY).join(small(repeats), equal, "left_semi")
     heads = written(several.groupBy(*equal).agg(F.min(F.struct(*KEY, "line")).alias("head")), "line-heads")
     others = written(several.join(small(heads), equal).where("line != head.line").select(
         "line", *KEY, (F.struct(*KEY) != F.struct("head.doc_id", "head.place")).alias("gone")), "line-copies")
     copies = others.where("gone").select(*KEY)
     # Lines of fewer words have only equal lines as similar ones. The others are numbered in the order of the corpus.
     carried = ["line", "size", "x", "y"]
-    firsts = narrow.where((1 - threshold) * F.col("size") >= threshold - 1e-6).join(
+    firsts = lines.where((1 - threshold) * F.col("size") >= threshold - 1e-6).join(
         small(others.select("line")), "line", "left_anti").orderBy(*KEY)
     firsts = written(firsts.select(*KEY, F.monotonically_increasing_id().alias("line"), *carried[1:], "prefix", "hashes"),
                      "line-firsts")
