@@ -5,6 +5,7 @@ from __future__ import annotations
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,7 +35,7 @@ def prefix_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
                 found = counter.changes(text)
                 changes.append(found)
                 n_bytes.append(len(text.encode()))
-                n_tokens.append(sum(array("h", found)))
+                n_tokens.append(int(np.frombuffer(found, np.int16).sum(dtype=np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()),
                  pa.array(changes, pa.binary())], ["doc_id", "n_bytes", "n_tokens", "prefix_changes"])
