@@ -78,3 +78,17 @@ def test_weights_stand_for_copies_and_one_sum_a_fit_reaches_the_driver(spark, df
     monkeypatch.setattr(type(df), "toLocalIterator", lambda self, **k: iter(self.collect()))
     kmeans._pass(kmeans.packed(df.repartition(5), "v"), [np.zeros((2, 2)), np.ones((3, 2))])
     assert sum(map(len, sent)) == 2
+
+
+def test_blocks_are_stored_before_the_first_pass(spark, monkeypatch):
+    spark.catalog.clearCache()
+    whole, stored = kmeans._pass, []
+
+    def look(blocks, fits):
+        stored.append([(i.numCachedPartitions(), i.numPartitions()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()])
+        return whole(blocks, fits)
+
+    monkeypatch.setattr(kmeans, "_pass", look)
+    df = spark.createDataFrame([([float(i % 3), float(i % 5)],) for i in range(60)], "v array<double>").repartition(3)
+    assert set(kmeans.fit_many(df, "v", (2,), (1,))) == {2}
+    assert any(n == m > 0 for n, m in stored[0])

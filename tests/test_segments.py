@@ -330,3 +330,27 @@ def test_limitations(spark):
     out = dict(rows(segmented.limitations(totals, {"text": scores}, small, 5), "theme", "evidence"))
     assert out == {"sample_size": "2 periods available", "recursive_forecasting": "horizon of 5 periods",
                    "text_separation": "best silhouette 0.5000", "cluster_imbalance": "a: x 0.2000; b: y 0.1000"}
+
+
+def test_tiles_go_to_python_in_small_batches_and_once(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    points, labels = rng.normal(size=(900, 20)), rng.integers(0, 3, 900)
+    df = spark.createDataFrame([(x.tolist(), int(c)) for x, c in zip(points, labels)], "v array<double>, c int")
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(segment, "PAIR_BYTES", 60_000)
+    whole = segment._distance_sums
+
+    def watched(batches, buckets):
+        def look():
+            for batch in batches:
+                # A tile has 16 kB; its own vectors come with its first pair only, so batches of 60 kB have few of them.
+                assert batch.num_rows <= 10 and batch.nbytes < 150_000
+                seen.add(sum(x.is_valid for x in batch.column(1)))
+                yield batch
+        return whole(look(), buckets)
+
+    monkeypatch.setattr(segment, "_distance_sums", watched)
+    (got,) = rows(segment.silhouette_scores(df, "v", ["c"], tile_rows=100), "silhouette")
+    assert got[0] == pytest.approx(brute_silhouette(points, labels))
+    assert seen.value == 9
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None
